@@ -82,7 +82,7 @@ def main() -> int:
     parser.add_argument("--sf", default="/root/testdata/sf0.01")
     parser.add_argument("names", nargs="*")
     args = parser.parse_args()
-    spark = get_session("check", "local[8]", 8, {"spark.ui.enabled": "false"})
+    spark = get_session("check", "local[8]", 8, {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(args.sf)
     queries, oracles = entry.queries(), entry.oracle_sql()

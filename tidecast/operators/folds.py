@@ -34,9 +34,9 @@ def fold_table(
         raise ValueError(f"cv_type must be one of {CV_TYPES}, not {cv_type!r}")
     rolling = cv_type == "rolling_window"
     first_ds = (
-        F.lag("ds", train_length - 1).over(ts.BY_DATE)
+        F.lag("ds", train_length - 1).over(ts.by_date())
         if rolling
-        else F.min("ds").over(ts.WHOLE_SERIES)
+        else F.min("ds").over(ts.whole_series())
     )
     rows = ts.indexed(series.select("series_id", "ds")).withColumn("train_start_ds", first_ds)
     cutoff = F.col("rn") + 1

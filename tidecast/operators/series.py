@@ -7,7 +7,7 @@ series stay small no matter how many facts a day holds. All windows below partit
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from tidecast.functions import dates as dt
 from tidecast.functions import numbers as nm
@@ -20,8 +20,13 @@ HOLDOUT_DAYS = 14
 RANK_WINDOW_DAYS = 365
 # --------------------------------------------------------------------------------------
 
-BY_DATE = Window.partitionBy("series_id").orderBy("ds")
-WHOLE_SERIES = Window.partitionBy("series_id")
+
+def whole_series() -> WindowSpec:
+    return Window.partitionBy("series_id")
+
+
+def by_date() -> WindowSpec:
+    return whole_series().orderBy("ds")
 
 
 def daily_series(metric: DataFrame, value: str, series_id: Column | None = None) -> DataFrame:
@@ -60,8 +65,8 @@ def with_bounds(series: DataFrame) -> DataFrame:
     """G18 on every row."""
     return series.withColumns(
         {
-            "cap": F.max("y").over(WHOLE_SERIES) * CAP_FACTOR,
-            "floor": F.min("y").over(WHOLE_SERIES) * FLOOR_FACTOR,
+            "cap": F.max("y").over(whole_series()) * CAP_FACTOR,
+            "floor": F.min("y").over(whole_series()) * FLOOR_FACTOR,
         }
     )
 
@@ -70,8 +75,8 @@ def indexed(series: DataFrame) -> DataFrame:
     """``rn`` counts rows from 0 in date order; ``n`` is the length of the series."""
     return series.withColumns(
         {
-            "rn": F.row_number().over(BY_DATE) - 1,
-            "n": F.count(F.lit(1)).over(WHOLE_SERIES).cast("int"),
+            "rn": F.row_number().over(by_date()) - 1,
+            "n": F.count(F.lit(1)).over(whole_series()).cast("int"),
         }
     )
 

@@ -27,11 +27,11 @@ def scope(account: str, pos="All") -> rg.Scope:
 
 
 def stats(t: Tables, account: str, agg_on: list[str], pos="All"):
-    return rg.account(account).stats(t.inputs(), scope(account, pos), agg_on)
+    return rg.account(account).stats(t, scope(account, pos), agg_on)
 
 
 def cancellations(t: Tables, account: str, agg_on: list[str], pos="All"):
-    return rg.account(account).cancellations(t.inputs(), scope(account, pos), agg_on)
+    return rg.account(account).cancellations(t, scope(account, pos), agg_on)
 
 
 def partner_affiliates(t: Tables, account: str, pattern: str | None = None):
@@ -462,7 +462,7 @@ def p7_rename_cast(t: Tables):
         FROM perf_4 GROUP BY ALL""",
 )
 def p8_metric_select(t: Tables):
-    return rg.metric_values(t.inputs(), "account_4", "GrossBookings", scope("account_4"))
+    return rg.metric_values(t, "account_4", "GrossBookings", scope("account_4"))
 
 
 @query(
@@ -560,7 +560,7 @@ def j5_full_outer(t: Tables):
 @query("j6_metric_outer_join", combined_sql("perf_4", "cancel_4", ["hotel_id", "yyyy_mm_dd", "pos"]))
 def j6_metric_outer_join(t: Tables):
     keys = ["hotel_id", "yyyy_mm_dd", "pos"]
-    return rg.account("account_4").combined(t.inputs(), scope("account_4"), keys)
+    return rg.account("account_4").combined(t, scope("account_4"), keys)
 
 
 @query(
@@ -582,7 +582,7 @@ def j7_campaign_restrict(t: Tables):
              FROM country_campaigns) m JOIN campaigns ON campaign_id = id""",
 )
 def j9_campaign_merge(t: Tables):
-    return rg.account("account_1").pos_map(t.inputs(), scope("account_1"))
+    return rg.account("account_1").pos_map(t, scope("account_1"))
 
 
 @query(
@@ -813,7 +813,7 @@ def m3_profit(t: Tables):
 )
 def m4_as_booked(t: Tables):
     table = rg.account("account_3").combined(
-        t.inputs(), scope("account_3"), rg.METRIC_KEYS, fill_first=True
+        t, scope("account_3"), rg.METRIC_KEYS, fill_first=True
     )
     return table.select("yyyy_mm_dd", "pos", "asbooked_commission")
 
@@ -893,7 +893,7 @@ COMBINED_KEYS = ["yyyy_mm_dd", "pos"]
 @query("g10_combined_1", combined_sql("report_1", "cancel_1", ["hotel_id", "yyyy_mm_dd", "pos"]))
 def g10_combined_1(t: Tables):
     keys = ["hotel_id", "yyyy_mm_dd", "pos"]
-    return rg.account("account_1").combined(t.inputs(), scope("account_1"), keys)
+    return rg.account("account_1").combined(t, scope("account_1"), keys)
 
 
 @query(
@@ -904,7 +904,7 @@ def g10_combined_1(t: Tables):
 )
 def g10_combined_2(t: Tables):
     keys = ["yyyy_mm_dd", "pos", "device"]
-    return rg.account("account_2").combined(t.inputs(), scope("account_2"), keys)
+    return rg.account("account_2").combined(t, scope("account_2"), keys)
 
 
 @query(
@@ -916,12 +916,12 @@ def g10_combined_2(t: Tables):
 )
 def g10_combined_3(t: Tables):
     keys = ["hotel_id", "yyyy_mm_dd", "pos"]
-    return rg.account("account_3").combined(t.inputs(), scope("account_3"), keys)
+    return rg.account("account_3").combined(t, scope("account_3"), keys)
 
 
 @query("g10_combined", combined_sql("perf_4", "cancel_4", COMBINED_KEYS))
 def g10_combined(t: Tables):
-    return rg.account("account_4").combined(t.inputs(), scope("account_4"), COMBINED_KEYS)
+    return rg.account("account_4").combined(t, scope("account_4"), COMBINED_KEYS)
 
 
 @query("g11_two_stage", stats_sql("perf_3", "hotel_id", STAY))
@@ -935,7 +935,7 @@ def g11_two_stage(t: Tables):
         WHERE regexp_extract(affiliate_name, '(.*?)\.', 1) <> ''""",
 )
 def g14_distinct_pos(t: Tables):
-    return rg.account("account_3").pos_map(t.inputs(), scope("account_3"))
+    return rg.account("account_3").pos_map(t, scope("account_3"))
 
 
 @query(
@@ -962,9 +962,8 @@ def g14_distinct_pos(t: Tables):
 )
 def k11_all_metrics(t: Tables):
     """K11 + K12: all 24 metrics, each account in one pass per summary."""
-    tables = t.inputs()
     parts = [
-        rg.metrics_long(tables, name, list(rg.METRICS), scope(name)).withColumn(
+        rg.metrics_long(t, name, list(rg.METRICS), scope(name)).withColumn(
             "account", F.lit(name)
         )
         for name in rg.ACCOUNTS
@@ -986,9 +985,8 @@ def k11_all_metrics(t: Tables):
         FROM aff_4""",
 )
 def k13_pos_map(t: Tables):
-    tables = t.inputs()
     parts = [
-        account.pos_map(tables, scope(name)).select(F.lit(name).alias("account"), "pos")
+        account.pos_map(t, scope(name)).select(F.lit(name).alias("account"), "pos")
         for name, account in rg.ACCOUNTS.items()
     ]
     return mt.stack_facts(*parts)

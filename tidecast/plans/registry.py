@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, functions as F
@@ -48,7 +48,8 @@ class Scope:
     devices: list[str] = field(default_factory=lambda: ["web", "mobile"])
 
 
-Tables = dict[str, DataFrame]
+# Input tables by role name; a role is only opened by the accounts that need it.
+Tables = Mapping[str, DataFrame]
 
 
 @dataclass(frozen=True)

@@ -39,13 +39,12 @@ def get_session(
     return builder.getOrCreate()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the rows survive lost executors and later reads skip the work.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for written intermediate results that every executor can reach.
 
-    The folder comes from ``spark.checkpoint.dir``. Only a local session may fall back to a
-    temporary folder, because a cluster needs one that every executor can reach.
+    It comes from ``spark.checkpoint.dir``. Only a local session may fall back to a
+    temporary folder.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -54,6 +53,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
                 raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
             folder = tempfile.mkdtemp(prefix="tidecast-checkpoint-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint: the rows survive lost executors and later reads skip the work."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

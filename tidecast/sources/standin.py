@@ -8,6 +8,7 @@ views in SQL.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -18,6 +19,36 @@ START, END = "1995-01-01", "2001-12-31"
 MAX_RPB = 400000.0
 HOLIDAY_YEARS = (1995, 2002)
 
+# Known schemas, so that opening a table needs no job to look into its files.
+SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double,"
+    " c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,"
+    " l_quantity double, l_extendedprice double, l_discount double, l_tax double,"
+    " l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string,"
+    " value double, props string",
+}
+
+ROLES = [
+    "reservations",
+    "affiliates",
+    "preferred_scores",
+    "fallback_scores",
+    "device_classes",
+    "web_costs",
+    "mobile_costs",
+    "click_log",
+    "performance",
+    "account_1_report",
+    "campaigns",
+    "country_campaigns",
+    "holidays",
+]
+
 
 def _pick(index: Column, *values: str | None) -> Column:
     return F.get(F.array(*[F.lit(v) for v in values]), index.cast("int"))
@@ -27,15 +58,26 @@ def _money(column: str) -> Column:
     return F.col(column).cast("decimal(18,2)")
 
 
-class Tables:
-    """The given tables under one folder, and the views over them."""
+class Tables(Mapping):
+    """The given tables under one folder, and the views over them by role name."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.sf_dir}/{name}.parquet")
+
+    def __getitem__(self, role: str) -> DataFrame:
+        if role not in ROLES:
+            raise KeyError(role)
+        return getattr(self, role)
+
+    def __iter__(self):
+        return iter(ROLES)
+
+    def __len__(self) -> int:
+        return len(ROLES)
 
     @cached_property
     def points_of_sale(self) -> DataFrame:
@@ -288,12 +330,3 @@ class Tables:
             .select("pos", F.explode(F.filter(entries, lambda e: e.isNotNull())).alias("e"))
             .select("e.yyyy_mm_dd", "e.name", F.lower("pos").alias("cc1"), "e.level")
         )
-
-    def inputs(self) -> dict[str, DataFrame]:
-        """All views by the role names the account registry uses."""
-        roles = [
-            "reservations", "affiliates", "preferred_scores", "fallback_scores",
-            "device_classes", "web_costs", "mobile_costs", "click_log", "performance",
-            "account_1_report", "campaigns", "country_campaigns", "holidays",
-        ]
-        return {role: getattr(self, role) for role in roles}
