@@ -132,6 +132,12 @@ def fit_predict(
     if "regressor" in frame.columns:
         used.append("regressor")
     days = frame.select(*used).repartition(slots, *keys).groupBy(*keys)
-    sets = work.repartition(slots, *keys).groupBy(*keys)
+    # own names, because both sides may stem from the same columns
+    set_keys = [f"set_{k}" for k in keys]
+    sets = (
+        work.withColumnsRenamed(dict(zip(keys, set_keys)))
+        .repartition(slots, *set_keys)
+        .groupBy(*set_keys)
+    )
     fitted = days.cogroup(sets).applyInPandas(_fit_group(keys, all_days), schema)
     return fitted.withColumn("y", F.when(~F.isnan("y"), F.col("y")))
