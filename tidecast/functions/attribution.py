@@ -6,6 +6,8 @@ All functions return NULL for malformed text instead of failing under ANSI mode.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, functions as F
 
 # --- Fixed values -------------------------------------------------------------------
@@ -24,6 +26,7 @@ PLACEMENT_CODES = {"LU": "localuniversal", "MR": "mapresults"}
 DEVICE_CODES = {"PC": "desktop", "Mobile": "mobile", "Tablet": "tablet"}
 LABEL_PLACEMENTS = ("mapresults", "localuniversal")
 DEFAULT_CAMPAIGN = 66
+MARKED_KEYS = ("placement", "hotel_id")
 # ------------------------------------------------------------------------------------
 
 
@@ -127,12 +130,24 @@ def label_entries(label: Column) -> Column:
     return F.flatten(F.transform(F.split(label, "_"), _item_entries))
 
 
-def label_value(label: Column, key: str) -> Column:
-    """value of one label key; the last one wins, NULL when the key is missing."""
-    hits = F.filter(label_entries(label), lambda e: e["key"] == key)
+def entry_value(entries: Column, key: str) -> Column:
+    """value of one key among entries; the last one wins, NULL when it is missing."""
+    hits = F.filter(entries, lambda e: e["key"] == key)
     return F.try_element_at(hits, F.lit(-1))["value"]
 
 
+def label_value(label: Column, key: str) -> Column:
+    """value of one label key, straight from the text where that is possible.
+
+    A plain key occurs only as a 'key-value' item, so one pattern finds its last item
+    without taking the label apart, and the expression stays in generated code.
+    """
+    if key in MARKED_KEYS:
+        return entry_value(label_entries(label), key)
+    last_item = rf"(?s)^(?:.*_)?{re.escape(key)}-([^_-]*)(?:_.*)?$"
+    return F.when(label.rlike(last_item), F.regexp_extract(label, last_item, 1))
+
+
 def label_map(label: Column) -> Column:
     """the label as a map in which later entries replace earlier ones."""
     entries = label_entries(label)

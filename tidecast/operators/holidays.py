@@ -8,8 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidecast.operators import joins
-
 # --- Fixed values ---------------------------------------------------------------------
 TOP_POS = 5
 MIN_ROWS_ELSEWHERE = 10
@@ -31,10 +29,10 @@ def ranked_holidays(calendar: DataFrame, pos_map: DataFrame, ranks: DataFrame) -
     """Calendar rows of mapped points of sale, with their rank.
 
     A point of sale mapped several times repeats its rows, and these repeats count below.
+    All three sides are short lists, so the joins carry no hint.
     """
-    mapped = joins.dimension_join(calendar, pos_map.select("pos"), "pos")
     ranks = ranks.select(*series_key(ranks), "pos", "pos_rank")
-    return joins.dimension_join(mapped, ranks, "pos")
+    return calendar.join(pos_map.select("pos"), "pos").join(ranks, "pos")
 
 
 def select_holidays(

@@ -412,7 +412,7 @@ def campaign_pos_map(
     named = campaigns.select(
         F.col("id").alias("campaign_id"), F.col("name").alias("campaign_name")
     )
-    return joins.dimension_join(countries, named, "campaign_id")
+    return countries.join(named, "campaign_id")
 
 
 def affiliate_pos_map(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import DateType, DecimalType, IntegralType
+from pyspark.sql.types import DateType, DoubleType, IntegralType
 
 from tidecast.plans.standin_sql import VIEWS, with_views
 from tidecast.sources.standin import Tables
@@ -30,15 +30,25 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+# Sums of amounts with two decimals, and of their products with two-decimal scores. Adding
+# doubles in another order changes digits far behind these.
+AMOUNTS = {
+    "y", "total", "value", "cost", "score", "kept", "expected", "commission", "nits_pred",
+    "nits_bookings", "nits_commission", "gross_commission", "nits_profit", "gross_profit",
+    "cancelled_commission", "asbooked_commission",
+}
+AMOUNT_DIGITS = 4
+
+
 def plain(df: DataFrame) -> DataFrame:
-    """Dates as text, decimals as doubles, whole numbers as bigint: types both sides share."""
+    """Dates as text, amounts rounded, whole numbers as bigint: forms both sides share."""
     columns = []
     for field in df.schema.fields:
         column = F.col(f"`{field.name}`")
         if isinstance(field.dataType, DateType):
             column = F.date_format(column, "yyyy-MM-dd")
-        elif isinstance(field.dataType, DecimalType):
-            column = column.cast("double")
+        elif isinstance(field.dataType, DoubleType) and field.name in AMOUNTS:
+            column = F.round(column, AMOUNT_DIGITS)
         elif isinstance(field.dataType, IntegralType):
             column = column.cast("bigint")
         columns.append(column.alias(field.name))

@@ -713,10 +713,14 @@ def f8_affiliate_attrs(t: Tables):
        FROM reservations r LEFT JOIN label_values v ON r.id = v.id""",
 )
 def f9_label_parse(t: Tables):
-    keys = {"cid": "cid", "ucc": "ucc", "placement": "placement", "hotel_id": "label_hotel_id"}
     label = F.col("label")
-    return t.reservations.select(
-        "id", *[at.label_value(label, key).alias(name) for key, name in keys.items()]
+    rows = t.reservations.select("id", "label", at.label_entries(label).alias("entries"))
+    return rows.select(
+        "id",
+        at.label_value(label, "cid").alias("cid"),
+        at.label_value(label, "ucc").alias("ucc"),
+        at.entry_value(F.col("entries"), "placement").alias("placement"),
+        at.entry_value(F.col("entries"), "hotel_id").alias("label_hotel_id"),
     )
 
 

@@ -29,7 +29,11 @@ ROUND = 2  # digits both engines agree on after different orders of summation
 
 
 def metric_daily(t: Tables):
-    return rg.metric_values(t, "account_4", METRIC, scope("account_4"))
+    """The metric table. Series, ranks and holidays of one query all start from it, so the
+    big tables behind it are read once."""
+    return t.settle(
+        "metric", lambda: rg.metric_values(t, "account_4", METRIC, scope("account_4"))
+    )
 
 
 def series_all(t: Tables):
@@ -219,7 +223,8 @@ def closed_prediction(t: Tables):
 
 @query("g12_daily_series", f"SELECT series_id, {DS}, y FROM series_all")
 def g12_daily_series(t: Tables):
-    return series_all(t)
+    values = rg.metric_values(t, "account_4", METRIC, scope("account_4"))
+    return ts.daily_series(values, METRIC)
 
 
 @query(
@@ -244,11 +249,11 @@ def g15_holiday_count(t: Tables):
 
 @query(
     "g18_bounds",
-    """SELECT series_id, round(max(y) * 1.1, 2) AS cap, round(min(y) * 0.9, 2) AS floor
+    """SELECT series_id, round(max(y) * 1.1, 4) AS cap, round(min(y) * 0.9, 4) AS floor
        FROM series_pos GROUP BY series_id""",
 )
 def g18_bounds(t: Tables):
-    return rounded(ts.bounds(series_pos(t)), "cap", "floor")
+    return rounded(ts.bounds(series_pos(t)), "cap", "floor", digits=4)
 
 
 @query("w1_avg_rank", "SELECT pos, CAST(pos_rank AS DOUBLE) AS pos_rank FROM pos_ranks")
@@ -303,18 +308,20 @@ def t3_top_pos(t: Tables):
     return pos_ranks(t).where(F.col("pos_rank") <= hol.TOP_POS).select("pos", "pos_rank")
 
 
-@query("m6_log", f"SELECT series_id, {DS}, round(ln(y), 6) AS y FROM series_all")
+@query("m6_log", f"SELECT series_id, {DS}, round(ln(y), 6) AS transformed FROM series_all")
 def m6_log(t: Tables):
     """R1 + M6."""
-    return rounded(ts.transform(series_all(t), "log"), "y", digits=6)
+    series = ts.transform(series_all(t), "log").withColumnRenamed("y", "transformed")
+    return rounded(series, "transformed", digits=6)
 
 
 @query(
     "m7_boxcox",
-    f"SELECT series_id, {DS}, round((pow(y, 0.25) - 1) / 0.25, 6) AS y FROM series_all",
+    f"SELECT series_id, {DS}, round((pow(y, 0.25) - 1) / 0.25, 6) AS transformed FROM series_all",
 )
 def m7_boxcox(t: Tables):
-    return rounded(ts.transform(series_all(t), "box_cox", 0.25), "y", digits=6)
+    series = ts.transform(series_all(t), "box_cox", 0.25).withColumnRenamed("y", "transformed")
+    return rounded(series, "transformed", digits=6)
 
 
 @query(
@@ -360,13 +367,14 @@ def r3_regressor_attach(t: Tables):
 @query(
     "r4_future_frame",
     f"""SELECT f.series_id, CAST(f.ds AS VARCHAR) AS ds, f.y,
-               round(cap, 2) AS cap, round(floor, 2) AS floor
+               round(cap, 4) AS cap, round(floor, 4) AS floor
         FROM closed_frame f JOIN (SELECT series_id, max(y) * 1.1 AS cap, min(y) * 0.9 AS floor
                                   FROM series_pos GROUP BY series_id) b USING (series_id)""",
 )
 def r4_future_frame(t: Tables):
     """R4 + R5."""
-    return rounded(ts.with_future(ts.with_bounds(series_pos(t)), HORIZON), "cap", "floor")
+    frame = ts.with_future(ts.with_bounds(series_pos(t)), HORIZON)
+    return rounded(frame, "cap", "floor", digits=4)
 
 
 @query(
@@ -736,6 +744,6 @@ SQL_VIEWS["flag_series"] = (
 def flagship_weekly_forecast(t: Tables):
     """Reservations, scores and clicks to daily bookings, forecast and weekly totals."""
     bookings = rg.metric_values(t, "account_3", "GrossBookings", scope("account_3"))
-    series = ts.daily_series(bookings, "gross_bookings")
+    series = t.settle("series", lambda: ts.daily_series(bookings, "gross_bookings"))
     forecast = fc.forecast(series, HORIZON, origin=ORIGIN)
     return rp.weekly_totals(rp.daily_prediction(ts.tail(forecast, HORIZON)))

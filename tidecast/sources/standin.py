@@ -8,11 +8,13 @@ views in SQL.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tidecast.session import cut_lineage
+
 # Partner ids in the stand-in affiliates are region keys.
 STANDIN_PARTNERS = {"account_1": 0, "account_2": 1, "account_3": 2, "account_4": 3}
 START, END = "1995-01-01", "2001-12-31"
@@ -54,16 +56,19 @@ def _pick(index: Column, *values: str | None) -> Column:
     return F.get(F.array(*[F.lit(v) for v in values]), index.cast("int"))
 
 
-def _money(column: str) -> Column:
-    return F.col(column).cast("decimal(18,2)")
-
-
 class Tables(Mapping):
     """The given tables under one folder, and the views over them by role name."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.settled: dict[str, DataFrame] = {}
+
+    def settle(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A result several parts of one query read: built and checkpointed once."""
+        if name not in self.settled:
+            self.settled[name] = cut_lineage(build())
+        return self.settled[name]
 
     def read(self, name: str) -> DataFrame:
         return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.sf_dir}/{name}.parquet")
@@ -128,7 +133,7 @@ class Tables(Mapping):
             F.when(key % 211 != 0, (key % 200).cast("int")).alias("hotel_id"),
             (key % 1000).cast("int").alias("hotel_ufi"),
             (key % 7 + 1).cast("int").alias("roomnights"),
-            _money("o_totalprice").alias("commission_amount_euro"),
+            F.col("o_totalprice").alias("commission_amount_euro"),
         )
 
     @cached_property
@@ -149,10 +154,9 @@ class Tables(Mapping):
                 F.concat(F.lit("account_4_"), pos, F.lit("."), place, F.lit("."), device)
             )
         )
-        nations = F.broadcast(self.read("nation"))
         return (
             self.read("customer")
-            .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+            .join(self.read("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
             .select(key.alias("id"), region.alias("partner_id"), name.alias("name"))
         )
 
@@ -166,7 +170,7 @@ class Tables(Mapping):
             .where(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH", "3-MEDIUM"))
             .withColumn("copy", F.explode(F.coalesce(copies, F.array(F.lit(0)))))
         )
-        value = (((key + 31 * F.col("copy")) % 100).cast("decimal(10,0)") / 100).cast("decimal(6,2)")
+        value = ((key + 31 * F.col("copy")) % 100) / 100
         return rows.select(
             key.alias("hotelreservation_id"),
             F.when(key % 7 != 0, value).alias("prediction"),
@@ -184,7 +188,7 @@ class Tables(Mapping):
             .where(F.col("o_orderpriority").isin("2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED"))
             .withColumn("copy", F.explode(F.coalesce(copies, F.array(F.lit(0)))))
         )
-        value = (((key * 7 + F.col("copy")) % 100).cast("decimal(10,0)") / 100).cast("decimal(6,2)")
+        value = ((key * 7 + F.col("copy")) % 100) / 100
         return rows.select(
             key.cast("string").alias("hotelreservation_id"),
             value.alias("nits_score"),
@@ -217,8 +221,8 @@ class Tables(Mapping):
                 _pick(F.col("l_suppkey") % 6, "DE", "FR", "IT", "ES", "UK", "US").alias("locale"),
                 F.lit(1).alias("clicks_core"),
                 F.when(F.col("l_returnflag") != "N", F.lit(1)).alias("clicks_bob"),
-                _money("l_quantity").alias("cost_core"),
-                F.when(F.col("l_returnflag") != "A", _money("l_tax")).alias("cost_bob"),
+                F.col("l_quantity").alias("cost_core"),
+                F.when(F.col("l_returnflag") != "A", F.col("l_tax")).alias("cost_bob"),
             )
         )
 
@@ -242,7 +246,7 @@ class Tables(Mapping):
             F.when(F.col("l_orderkey") % 40 != 0, F.col("l_linenumber")).alias("hour"),
             silo.alias("siloname"),
             (F.col("l_partkey") % 200).cast("int").alias("partnerpropertyid"),
-            _money("l_quantity").alias("cost_eur"),
+            F.col("l_quantity").alias("cost_eur"),
             F.col("l_linenumber").alias("length_of_stay"),
         )
 
@@ -255,10 +259,10 @@ class Tables(Mapping):
             F.concat(F.lit("NATION"), (F.col("l_suppkey") % 25).cast("string")).alias("pos"),
             (line % 4).alias("clicks"),
             (line % 3).alias("bookings"),
-            ((line % 3) * (1 - _money("l_discount"))).alias("nits_bookings"),
-            (_money("l_extendedprice") - _money("l_quantity")).alias("commission_expected_euro"),
-            _money("l_extendedprice").alias("commission_amount_euro"),
-            _money("l_quantity").alias("cost_euro"),
+            ((line % 3) * (1 - F.col("l_discount"))).alias("nits_bookings"),
+            (F.col("l_extendedprice") - F.col("l_quantity")).alias("commission_expected_euro"),
+            F.col("l_extendedprice").alias("commission_amount_euro"),
+            F.col("l_quantity").alias("cost_euro"),
             (line + 1).alias("roomnights"),
         )
 
@@ -271,13 +275,11 @@ class Tables(Mapping):
             F.to_date("o_orderdate").alias("yyyy_mm_dd"),
             (key % 200).cast("int").alias("hotel_id"),
             F.lit(1).alias("bookings"),
-            (1 - (key % 100).cast("decimal(10,0)") / 100).cast("decimal(8,2)").alias(
-                "nits_bookings"
-            ),
-            _money("o_totalprice").alias("commission"),
-            (_money("o_totalprice") - (key % 100).cast("decimal(10,0)")).alias("nits_commission"),
+            (1 - (key % 100) / 100).alias("nits_bookings"),
+            F.col("o_totalprice").alias("commission"),
+            (F.col("o_totalprice") - key % 100).alias("nits_commission"),
             (key % 7 + 1).cast("int").alias("roomnights"),
-            (key % 13).cast("decimal(10,2)").alias("cost"),
+            (key % 13).cast("double").alias("cost"),
             (key % 5).cast("int").alias("clicks"),
         )
 
