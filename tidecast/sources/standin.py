@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tidecast.session import cut_lineage
 
@@ -52,10 +52,6 @@ ROLES = [
 ]
 
 
-def _pick(index: Column, *values: str | None) -> Column:
-    return F.get(F.array(*[F.lit(v) for v in values]), index.cast("int"))
-
-
 class Tables(Mapping):
     """The given tables under one folder, and the views over them by role name."""
 
@@ -86,143 +82,115 @@ class Tables(Mapping):
 
     @cached_property
     def points_of_sale(self) -> DataFrame:
-        return self.read("nation").select(
-            F.col("n_nationkey").alias("campaign_id"),
-            F.regexp_replace("n_name", "_", "").alias("pos"),
+        return self.read("nation").selectExpr(
+            "n_nationkey AS campaign_id", "replace(n_name, '_', '') AS pos"
         )
 
     @cached_property
     def reservations(self) -> DataFrame:
-        key = F.col("o_orderkey")
-        hotel = F.when(key % 17 == 0, "abc").otherwise((key % 50).cast("string"))
-        nation = (key % 25).cast("string")
-        label = (
-            F.when(key % 3 == 0, F.concat(F.lit("x-hotel-"), hotel, F.lit("_xqdz")))
-            .when(
-                key % 4 == 0,
-                F.concat(
-                    F.lit("linkmob-core"), _pick(key % 5, "de", "fr", "it", "es", "uk"),
-                    F.lit("-hotel-"), hotel, F.lit("_xqdz"),
-                ),
-            )
-            .when(
-                key % 4 == 1,
-                F.concat(F.lit("cid-1_cid-"), nation, F.lit("_ucc-XX_MapResults-a-b")),
-            )
-            .when(key % 4 == 2, F.concat(F.lit("ucc-NATION"), nation, F.lit("_localuniversal")))
-        )
-        status = (
-            F.when(key % 101 == 0, None)
-            .when(key % 97 == 0, "test")
-            .when(F.col("o_orderstatus") == "P", "fraudulent")
-            .otherwise("ok")
-        )
-        cancelled = F.col("o_orderpriority").isin("1-URGENT", "5-LOW")
-        return self.read("orders").select(
-            key.cast("string").alias("id"),
-            F.col("o_orderdate").alias("created"),
-            F.when(
-                cancelled, F.date_add(F.to_date("o_orderdate"), (key % 30).cast("int"))
-            ).alias("date_cancelled"),
-            status.alias("status"),
-            F.col("o_custkey").alias("affiliate_id"),
-            label.alias("label"),
-            F.concat(F.lit("nation"), (F.col("o_custkey") % 30).cast("string")).alias(
-                "booker_cc1"
-            ),
-            F.when(key % 211 != 0, (key % 200).cast("int")).alias("hotel_id"),
-            (key % 1000).cast("int").alias("hotel_ufi"),
-            (key % 7 + 1).cast("int").alias("roomnights"),
-            F.col("o_totalprice").alias("commission_amount_euro"),
+        hotel = "CASE WHEN o_orderkey % 17 = 0 THEN 'abc' ELSE string(o_orderkey % 50) END"
+        locale = "array('de', 'fr', 'it', 'es', 'uk')[int(o_orderkey % 5)]"
+        nation = "o_orderkey % 25"
+        return self.read("orders").selectExpr(
+            "string(o_orderkey) AS id",
+            "o_orderdate AS created",
+            "CASE WHEN o_orderpriority IN ('1-URGENT', '5-LOW')"
+            " THEN date_add(date(o_orderdate), int(o_orderkey % 30)) END AS date_cancelled",
+            "CASE WHEN o_orderkey % 101 = 0 THEN NULL WHEN o_orderkey % 97 = 0 THEN 'test'"
+            " WHEN o_orderstatus = 'P' THEN 'fraudulent' ELSE 'ok' END AS status",
+            "o_custkey AS affiliate_id",
+            f"CASE WHEN o_orderkey % 3 = 0 THEN concat('x-hotel-', {hotel}, '_xqdz')"
+            f" WHEN o_orderkey % 4 = 0"
+            f" THEN concat('linkmob-core', {locale}, '-hotel-', {hotel}, '_xqdz')"
+            f" WHEN o_orderkey % 4 = 1"
+            f" THEN concat('cid-1_cid-', {nation}, '_ucc-XX_MapResults-a-b')"
+            f" WHEN o_orderkey % 4 = 2 THEN concat('ucc-NATION', {nation}, '_localuniversal')"
+            " END AS label",
+            "concat('nation', o_custkey % 30) AS booker_cc1",
+            "CASE WHEN o_orderkey % 211 <> 0 THEN int(o_orderkey % 200) END AS hotel_id",
+            "int(o_orderkey % 1000) AS hotel_ufi",
+            "int(o_orderkey % 7 + 1) AS roomnights",
+            "o_totalprice AS commission_amount_euro",
         )
 
     @cached_property
     def affiliates(self) -> DataFrame:
-        key, region = F.col("c_custkey"), F.col("n_regionkey")
-        pos = F.regexp_replace("n_name", "_", "")
-        place = _pick(key % 4, "DMeta", "Mobile", "LU", "MR")
-        device = _pick(key % 3, "PC", "Tablet", "Mobile")
-        name = (
-            F.when(region == 0, F.concat(F.lit("acct_"), pos, F.lit("."), place, F.lit("."), device))
-            .when(
-                region == 1,
-                F.concat(F.lit("acct_"), _pick(key % 3, "Core", "core", "Bob"), F.lit("."), pos,
-                         F.lit("."), device),
-            )
-            .when(region == 2, F.concat(pos, F.lit("."), place, F.lit("."), device))
-            .otherwise(
-                F.concat(F.lit("account_4_"), pos, F.lit("."), place, F.lit("."), device)
+        place = "array('DMeta', 'Mobile', 'LU', 'MR')[int(c_custkey % 4)]"
+        device = "array('PC', 'Tablet', 'Mobile')[int(c_custkey % 3)]"
+        core = "array('Core', 'core', 'Bob')[int(c_custkey % 3)]"
+        nations = self.read("nation").withColumnRenamed("n_nationkey", "c_nationkey")
+        return (
+            self.read("customer")
+            .join(nations, "c_nationkey")
+            .selectExpr("c_custkey", "n_regionkey", "replace(n_name, '_', '') AS pos")
+            .selectExpr(
+                "c_custkey AS id",
+                "n_regionkey AS partner_id",
+                f"CASE n_regionkey WHEN 0 THEN concat('acct_', pos, '.', {place}, '.', {device})"
+                f" WHEN 1 THEN concat('acct_', {core}, '.', pos, '.', {device})"
+                f" WHEN 2 THEN concat(pos, '.', {place}, '.', {device})"
+                f" ELSE concat('account_4_', pos, '.', {place}, '.', {device}) END AS name",
             )
         )
+
+    def _scored_orders(self, priorities: str, twice: str) -> DataFrame:
+        """Orders of some priorities, those of one priority twice (``copy`` 0 and 1)."""
         return (
-            self.read("customer")
-            .join(self.read("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-            .select(key.alias("id"), region.alias("partner_id"), name.alias("name"))
+            self.read("orders")
+            .where(f"o_orderpriority IN ({priorities})")
+            .selectExpr(
+                "o_orderkey",
+                "o_orderdate",
+                f"explode(sequence(0, int(o_orderpriority = '{twice}'))) AS copy",
+            )
         )
 
     @cached_property
     def preferred_scores(self) -> DataFrame:
         """Some reservations, '2-HIGH' ones twice, some without a prediction."""
-        key = F.col("o_orderkey")
-        copies = F.when(F.col("o_orderpriority") == "2-HIGH", F.sequence(F.lit(0), F.lit(1)))
-        rows = (
-            self.read("orders")
-            .where(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH", "3-MEDIUM"))
-            .withColumn("copy", F.explode(F.coalesce(copies, F.array(F.lit(0)))))
-        )
-        value = ((key + 31 * F.col("copy")) % 100) / 100
-        return rows.select(
-            key.alias("hotelreservation_id"),
-            F.when(key % 7 != 0, value).alias("prediction"),
-            F.to_date("o_orderdate").alias("created_date"),
+        rows = self._scored_orders("'1-URGENT', '2-HIGH', '3-MEDIUM'", "2-HIGH")
+        return rows.selectExpr(
+            "o_orderkey AS hotelreservation_id",
+            "CASE WHEN o_orderkey % 7 <> 0 THEN ((o_orderkey + 31 * copy) % 100) / 100D END"
+            " AS prediction",
+            "date(o_orderdate) AS created_date",
         )
 
     @cached_property
     def fallback_scores(self) -> DataFrame:
         """Other reservations, '4-NOT SPECIFIED' ones twice."""
-        key = F.col("o_orderkey")
-        twice = F.col("o_orderpriority") == "4-NOT SPECIFIED"
-        copies = F.when(twice, F.sequence(F.lit(0), F.lit(1)))
-        rows = (
-            self.read("orders")
-            .where(F.col("o_orderpriority").isin("2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED"))
-            .withColumn("copy", F.explode(F.coalesce(copies, F.array(F.lit(0)))))
-        )
-        value = ((key * 7 + F.col("copy")) % 100) / 100
-        return rows.select(
-            key.cast("string").alias("hotelreservation_id"),
-            value.alias("nits_score"),
-            F.col("o_orderdate").alias("mysql_row_created_at"),
+        rows = self._scored_orders("'2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED'", "4-NOT SPECIFIED")
+        return rows.selectExpr(
+            "string(o_orderkey) AS hotelreservation_id",
+            "((o_orderkey * 7 + copy) % 100) / 100D AS nits_score",
+            "o_orderdate AS mysql_row_created_at",
         )
 
     @cached_property
     def device_classes(self) -> DataFrame:
         """Device class of most reservations, '1-URGENT' ones twice."""
-        twice = F.col("o_orderpriority") == "1-URGENT"
-        classes = F.when(twice, F.array(F.lit("phone"), F.lit("desktop")))
         return (
             self.read("orders")
-            .where(F.col("o_orderpriority") != "3-MEDIUM")
-            .select(
-                F.col("o_orderkey").cast("string").alias("hotelreservation_id"),
-                F.explode(F.coalesce(classes, F.array(F.lit("tablet")))).alias("device_class"),
+            .where("o_orderpriority <> '3-MEDIUM'")
+            .selectExpr(
+                "string(o_orderkey) AS hotelreservation_id",
+                "explode(CASE WHEN o_orderpriority = '1-URGENT' THEN array('phone', 'desktop')"
+                " ELSE array('tablet') END) AS device_class",
             )
         )
 
     def _device_costs(self, linestatus: str) -> DataFrame:
         return (
             self.read("lineitem")
-            .where(F.col("l_linestatus") == linestatus)
-            .select(
-                F.when(F.col("l_orderkey") % 50 != 0, (F.col("l_partkey") % 200).cast("int")).alias(
-                    "hotel_id"
-                ),
-                F.to_date("l_shipdate").alias("yyyy_mm_dd"),
-                _pick(F.col("l_suppkey") % 6, "DE", "FR", "IT", "ES", "UK", "US").alias("locale"),
-                F.lit(1).alias("clicks_core"),
-                F.when(F.col("l_returnflag") != "N", F.lit(1)).alias("clicks_bob"),
-                F.col("l_quantity").alias("cost_core"),
-                F.when(F.col("l_returnflag") != "A", F.col("l_tax")).alias("cost_bob"),
+            .where(f"l_linestatus = '{linestatus}'")
+            .selectExpr(
+                "CASE WHEN l_orderkey % 50 <> 0 THEN int(l_partkey % 200) END AS hotel_id",
+                "date(l_shipdate) AS yyyy_mm_dd",
+                "array('DE', 'FR', 'IT', 'ES', 'UK', 'US')[int(l_suppkey % 6)] AS locale",
+                "1 AS clicks_core",
+                "CASE WHEN l_returnflag <> 'N' THEN 1 END AS clicks_bob",
+                "l_quantity AS cost_core",
+                "CASE WHEN l_returnflag <> 'A' THEN l_tax END AS cost_bob",
             )
         )
 
@@ -236,99 +204,82 @@ class Tables(Mapping):
 
     @cached_property
     def click_log(self) -> DataFrame:
-        supplier = F.col("l_suppkey")
-        silo = F.concat(
-            F.lit("NATION"), (supplier % 25).cast("string"),
-            _pick(F.col("l_linenumber") % 4, "DMeta", "Mobile", "Search", None),
-        )
-        return self.read("lineitem").select(
-            F.to_date("l_shipdate").alias("date"),
-            F.when(F.col("l_orderkey") % 40 != 0, F.col("l_linenumber")).alias("hour"),
-            silo.alias("siloname"),
-            (F.col("l_partkey") % 200).cast("int").alias("partnerpropertyid"),
-            F.col("l_quantity").alias("cost_eur"),
-            F.col("l_linenumber").alias("length_of_stay"),
+        silo = "array('DMeta', 'Mobile', 'Search', NULL)[l_linenumber % 4]"
+        return self.read("lineitem").selectExpr(
+            "date(l_shipdate) AS date",
+            "CASE WHEN l_orderkey % 40 <> 0 THEN l_linenumber END AS hour",
+            f"concat('NATION', l_suppkey % 25, {silo}) AS siloname",
+            "int(l_partkey % 200) AS partnerpropertyid",
+            "l_quantity AS cost_eur",
+            "l_linenumber AS length_of_stay",
         )
 
     @cached_property
     def performance(self) -> DataFrame:
-        line = F.col("l_linenumber")
-        return self.read("lineitem").select(
-            F.to_date("l_shipdate").alias("yyyy_mm_dd"),
-            (F.col("l_partkey") % 200).cast("int").alias("hotel_id"),
-            F.concat(F.lit("NATION"), (F.col("l_suppkey") % 25).cast("string")).alias("pos"),
-            (line % 4).alias("clicks"),
-            (line % 3).alias("bookings"),
-            ((line % 3) * (1 - F.col("l_discount"))).alias("nits_bookings"),
-            (F.col("l_extendedprice") - F.col("l_quantity")).alias("commission_expected_euro"),
-            F.col("l_extendedprice").alias("commission_amount_euro"),
-            F.col("l_quantity").alias("cost_euro"),
-            (line + 1).alias("roomnights"),
+        return self.read("lineitem").selectExpr(
+            "date(l_shipdate) AS yyyy_mm_dd",
+            "int(l_partkey % 200) AS hotel_id",
+            "concat('NATION', l_suppkey % 25) AS pos",
+            "l_linenumber % 4 AS clicks",
+            "l_linenumber % 3 AS bookings",
+            "(l_linenumber % 3) * (1 - l_discount) AS nits_bookings",
+            "l_extendedprice - l_quantity AS commission_expected_euro",
+            "l_extendedprice AS commission_amount_euro",
+            "l_quantity AS cost_euro",
+            "l_linenumber + 1 AS roomnights",
         )
 
     @cached_property
     def account_1_report(self) -> DataFrame:
         """Booking summary with costs, at campaign, hotel and day."""
-        key = F.col("o_orderkey")
-        return self.read("orders").select(
-            (F.col("o_custkey") % 30).cast("int").alias("campaign_id"),
-            F.to_date("o_orderdate").alias("yyyy_mm_dd"),
-            (key % 200).cast("int").alias("hotel_id"),
-            F.lit(1).alias("bookings"),
-            (1 - (key % 100) / 100).alias("nits_bookings"),
-            F.col("o_totalprice").alias("commission"),
-            (F.col("o_totalprice") - key % 100).alias("nits_commission"),
-            (key % 7 + 1).cast("int").alias("roomnights"),
-            (key % 13).cast("double").alias("cost"),
-            (key % 5).cast("int").alias("clicks"),
+        return self.read("orders").selectExpr(
+            "int(o_custkey % 30) AS campaign_id",
+            "date(o_orderdate) AS yyyy_mm_dd",
+            "int(o_orderkey % 200) AS hotel_id",
+            "1 AS bookings",
+            "1 - (o_orderkey % 100) / 100D AS nits_bookings",
+            "o_totalprice AS commission",
+            "o_totalprice - o_orderkey % 100 AS nits_commission",
+            "int(o_orderkey % 7 + 1) AS roomnights",
+            "double(o_orderkey % 13) AS cost",
+            "int(o_orderkey % 5) AS clicks",
         )
 
     @cached_property
     def campaigns(self) -> DataFrame:
-        return self.points_of_sale.select(
-            F.col("campaign_id").alias("id"), F.col("pos").alias("name")
-        )
+        return self.points_of_sale.selectExpr("campaign_id AS id", "pos AS name")
 
     @cached_property
     def country_campaigns(self) -> DataFrame:
         """Country to campaign; the last three countries share the first campaign."""
-        shared = F.when(F.col("campaign_id") > 21, 0).otherwise(F.col("campaign_id"))
-        return self.points_of_sale.select(
-            F.col("pos").alias("cc"), shared.cast("int").alias("campaign_id")
+        return self.points_of_sale.selectExpr(
+            "pos AS cc", "CASE WHEN campaign_id > 21 THEN 0 ELSE campaign_id END AS campaign_id"
         )
 
     @cached_property
     def holidays(self) -> DataFrame:
         """Calendar of every point of sale: common, shared, single and minor holidays."""
         first, last = HOLIDAY_YEARS
-        nation, year = F.col("campaign_id"), F.col("year")
-
-        def day(month: int, dom: int) -> Column:
-            return F.make_date(year, F.lit(month), F.lit(dom))
-
-        def entry(name: str | Column, date: Column, level: int, when: Column) -> Column:
-            name = F.lit(name) if isinstance(name, str) else name
-            made = F.struct(
-                date.alias("yyyy_mm_dd"), name.alias("name"), F.lit(level).alias("level")
-            )
-            return F.when(when, made)
-
-        always = F.lit(True)
-        before_november = F.date_sub(day(11, 1), 1)
-        fourth_thursday = F.date_add(F.next_day(before_november, "THU"), 21)
-        local = F.concat(F.lit("LocalDay"), nation.cast("string"))
-        entries = F.array(
-            entry("ChristmasEve", day(12, 24), 1, always),
-            entry("NewYearsDay", day(1, 1), 1, always),
-            entry("ThanksgivingDay", fourth_thursday, 1, nation < 3),
-            entry("SummerDay", day(7, 14), 1, nation % 2 == 0),
-            entry("SpringDay", day(5, 9), 1, nation % 4 == 1),
-            entry(local, F.date_add(day(3, 1), nation), 1, always),
-            entry("Observance", day(6, 21), 2, always),
+        thanksgiving = "date_add(next_day(date_sub(make_date(yr, 11, 1), 1), 'THU'), 21)"
+        entries = [
+            ("'ChristmasEve'", "make_date(yr, 12, 24)", 1, "true"),
+            ("'NewYearsDay'", "make_date(yr, 1, 1)", 1, "true"),
+            ("'ThanksgivingDay'", thanksgiving, 1, "campaign_id < 3"),
+            ("'SummerDay'", "make_date(yr, 7, 14)", 1, "campaign_id % 2 = 0"),
+            ("'SpringDay'", "make_date(yr, 5, 9)", 1, "campaign_id % 4 = 1"),
+            ("concat('LocalDay', campaign_id)", "date_add(make_date(yr, 3, 1), campaign_id)", 1,
+             "true"),
+            ("'Observance'", "make_date(yr, 6, 21)", 2, "true"),
+        ]
+        structs = ", ".join(
+            f"named_struct('name', {name}, 'day', {day}, 'level', {level}, 'kept', {kept})"
+            for name, day, level, kept in entries
         )
-        years = F.explode(F.sequence(F.lit(first), F.lit(last)))
         return (
-            self.points_of_sale.select("campaign_id", "pos", years.alias("year"))
-            .select("pos", F.explode(F.filter(entries, lambda e: e.isNotNull())).alias("e"))
-            .select("e.yyyy_mm_dd", "e.name", F.lower("pos").alias("cc1"), "e.level")
+            self.points_of_sale.selectExpr(
+                "campaign_id", "pos", f"explode(sequence({first}, {last})) AS yr"
+            )
+            .selectExpr("pos", f"inline(array({structs}))")
+            .where("kept")
+            .selectExpr("day AS yyyy_mm_dd", "name", "lower(pos) AS cc1", "level")
         )
