@@ -54,3 +54,19 @@ def test_options_are_checked():
         options(optimizer="grid")
     with pytest.raises(ValueError):
         options(level="quarterly")
+
+
+def test_external_regressor_must_know_the_future(spark, tables):
+    """Days the regressor does not know are left out, of history and forecast alike."""
+    days = spark.sql(
+        "SELECT explode(sequence(date'1996-01-01', date'2001-12-10')) AS ds"
+    ).withColumn("load", F.dayofmonth("ds"))
+    result = fj.forecast_account(
+        tables, "account_4", ["GrossCommission"], options(optimizer="default", horizon=7),
+        scope("account_4"), regressor=days,
+    )
+    parts = result.components.agg(
+        F.min("ds").alias("first"), F.max(F.abs("regressor")).alias("effect")
+    ).first()
+    assert str(parts["first"]) >= "1996-01-01" and parts["effect"] > 0
+    assert result.prediction.count() == 7

@@ -11,10 +11,11 @@ BROADCAST_ROWS = 500_000
 def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Mark ``df`` for broadcast only when it is proven small.
 
-    The check reads at most ``max_rows + 1`` rows. Beyond the bound the frame comes back
-    unmarked, and the join is a shuffled one that AQE may split where it is skewed.
+    The check is one distributed count over the filtered dimension. Beyond the bound the
+    frame comes back unmarked, and the join is a shuffled one that AQE may split where it
+    is skewed.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    return F.broadcast(df) if df.count() <= max_rows else df
 
 
 def dimension_join(

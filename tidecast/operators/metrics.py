@@ -178,12 +178,17 @@ def account_1_cancel_facts(
     start: str,
     end: str,
 ) -> DataFrame:
-    """Facts behind G6: cancelled reservations of a known device class, by campaign."""
+    """Facts behind G6: cancelled reservations of a known device class, by campaign.
+
+    The campaign is found first, beside broadcast lookups, so that only narrow rows of the
+    chosen campaigns are shuffled to meet the device classes.
+    """
     rows = cancelled_scan(reservations, affiliates, start, end)
-    rows = joins.inner_join_counted(rows, device_classes)
-    rows = joins.dimension_join(
-        attribute_campaign(rows, country_campaigns), campaigns, "campaign_id"
+    rows = attribute_campaign(rows, country_campaigns)
+    rows = joins.dimension_join(rows, campaigns, "campaign_id").select(
+        "hotelreservation_id", "yyyy_mm_dd", "hotel_id", "campaign_id", "pos", *CANCELLATION_SUMS
     )
+    rows = joins.inner_join_counted(rows, device_classes)
     return rows.withColumns({c: F.col(c) * F.col("copies") for c in CANCELLATION_SUMS})
 
 

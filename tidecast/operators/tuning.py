@@ -92,10 +92,14 @@ def select_closed_model(
     level: str = "daily",
     origin: str = ts.HISTORY_START,
 ) -> DataFrame:
-    """C8 with the closed form, from series to chosen weights."""
+    """C8 with the closed form, from series to chosen weights.
+
+    The holdout score looks at its last ``horizon`` rows when the horizon is shorter.
+    """
     split = ts.tail_split(series)
     train = split.where("is_train").select("series_id", "ds", "y")
-    holdout = split.where(~F.col("is_train")).select("series_id", "ds", "y")
+    scored = ~F.col("is_train") & (F.col("rn") >= F.col("n") - horizon)
+    holdout = split.where(scored).select("series_id", "ds", "y")
     scores = cv_scores_closed(train, horizon, train_length, cv_type, level, origin)
     params = F.broadcast(fc.closed_params(series.sparkSession))
     best = best_params(scores).join(params, "param_id")

@@ -90,10 +90,18 @@ def job_holidays(
     return hol.with_windows(hol.select_holidays(hol.ranked_holidays(calendar, pos_map, ranks)))
 
 
-def _frame(series: DataFrame, options: ForecastOptions, holidays: DataFrame, periods: int):
-    """Every calendar day with its bounds, holiday effects and optional level shift."""
-    frame = ts.with_gaps_filled(ts.with_bounds(series), periods)
-    if options.level_shift:
+def _frame(
+    series: DataFrame,
+    options: ForecastOptions,
+    holidays: DataFrame,
+    regressor: DataFrame | None,
+) -> DataFrame:
+    """Every calendar day, ``horizon`` days past the end, with its bounds, holiday effects
+    and optional regressor (R3; it has to know the days to come)."""
+    frame = ts.with_gaps_filled(ts.with_bounds(series), options.horizon)
+    if regressor is not None:
+        frame = ts.attach_regressor(frame, regressor)
+    elif options.level_shift:
         frame = ts.level_shift(frame).withColumnRenamed("level_shift", "regressor")
         frame = frame.withColumn("regressor", F.col("regressor").cast("double"))
     return fa.with_holiday_effects(frame, holidays)
@@ -105,20 +113,24 @@ def _holdout_score(frame, work, options: ForecastOptions) -> DataFrame:
 
 
 def forecast_series(
-    series: DataFrame, holidays: DataFrame, options: ForecastOptions
+    series: DataFrame,
+    holidays: DataFrame,
+    options: ForecastOptions,
+    regressor: DataFrame | None = None,
 ) -> ForecastResult:
     """Baseline, search, choice and final forecast for all series of a table.
 
     ``series``: (series_id, ds, y). Bounds come from the whole series, as the final model
-    needs them for days to come.
+    needs them for days to come. The holdout score looks at its last ``horizon`` days when
+    the horizon is shorter than the holdout.
     """
     keys = ["series_id"]
-    frame = cut_lineage(_frame(series, options, holidays, options.horizon))
-    split = ts.tail_split(series, options.holdout).select("series_id", "ds", "is_train")
-    holdout_frame = (
-        frame.join(split, ["series_id", "ds"])
-        .where(F.col("y").isNotNull())
-    )
+    frame = cut_lineage(_frame(series, options, holidays, regressor))
+    split = ts.tail_split(series, options.holdout)
+    scored = split.where(F.col("is_train") | (F.col("rn") >= F.col("n") - options.horizon))
+    holdout_frame = frame.join(
+        scored.select("series_id", "ds", "is_train"), ["series_id", "ds"]
+    ).where(F.col("y").isNotNull())
     groups = frame.select("series_id").distinct()
     base_work = fa.default_params(groups)
     selection = _holdout_score(holdout_frame, base_work, options).select(
@@ -126,7 +138,7 @@ def forecast_series(
     )
     final_work = base_work
     if options.optimizer == "random_search":
-        train = split.where("is_train").join(series, ["series_id", "ds"])
+        train = split.where("is_train").select("series_id", "ds", "y")
         folds = fd.fold_table(train, options.horizon, options.train_length, options.cv_type)
         folds = fd.sample_folds(folds, options.cv_size, options.seed)
         space = pm.param_space(frame.sparkSession)
@@ -174,6 +186,7 @@ def forecast_account(
     metrics: list[str],
     options: ForecastOptions,
     scope: rg.Scope | None = None,
+    regressor: DataFrame | None = None,
 ) -> ForecastResult:
     """The whole job for one account and any of its metrics.
 
@@ -196,4 +209,4 @@ def forecast_account(
         holidays = holidays.join(names, "series_id").select(
             series_id.alias("series_id"), "ds", "holiday", "lower_window", "upper_window"
         )
-    return forecast_series(series, holidays, options)
+    return forecast_series(series, holidays, options, regressor)

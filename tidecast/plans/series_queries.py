@@ -263,16 +263,19 @@ def w1_avg_rank(t: Tables):
 
 @query(
     "w1_avg_rank_ties",
-    """WITH c AS (SELECT hotel_id AS pos, count(*) AS total FROM performance GROUP BY hotel_id)
-       SELECT pos, total, CAST(rank() OVER (ORDER BY total DESC)
-              + (count(*) OVER (PARTITION BY total) - 1) / 2.0 AS DOUBLE) AS pos_rank FROM c""",
+    """WITH c AS (SELECT year(yyyy_mm_dd) AS series_id, pos, count(DISTINCT yyyy_mm_dd) AS total
+                  FROM performance GROUP BY ALL)
+       SELECT series_id, pos, CAST(rank() OVER (PARTITION BY series_id ORDER BY total DESC)
+              + (count(*) OVER (PARTITION BY series_id, total) - 1) / 2.0 AS DOUBLE) AS pos_rank
+       FROM c""",
 )
 def w1_avg_rank_ties(t: Tables):
-    """Row counts per hotel, which tie often."""
-    totals = t.performance.groupBy(F.col("hotel_id").alias("pos")).agg(
-        F.count(F.lit(1)).alias("total")
-    )
-    return ts.average_rank(totals)
+    """Points of sale by active days in each year, which tie often."""
+    days = t.performance.select(
+        F.year("yyyy_mm_dd").alias("series_id"), "pos", "yyyy_mm_dd"
+    ).distinct()
+    totals = days.groupBy("series_id", "pos").agg(F.count(F.lit(1)).alias("total"))
+    return ts.average_rank(totals, by=["series_id"]).select("series_id", "pos", "pos_rank")
 
 
 @query(
