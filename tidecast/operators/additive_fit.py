@@ -148,8 +148,12 @@ def fit_predict(
     """Fit on the training days and return yhat, its band and its parts for all days.
 
     ``days`` are day numbers, ``effects`` a 0/1 matrix with one column per holiday effect.
+    A series without room between floor and cap (all values zero) gets a linear trend.
     """
     logistic = settings.growth == "logistic"
+    if logistic and (cap is None or floor is None):
+        raise ValueError("logistic growth needs a cap and a floor")
+    logistic = logistic and cap > floor
     multiplicative = settings.seasonality_mode == "multiplicative"
     train_days = days[is_train]
     start, span = train_days[0], max(train_days[-1] - train_days[0], 1)

@@ -15,10 +15,35 @@ from tidecast.sources import scans
 from tidecast.sources.standin import END, MAX_RPB, STANDIN_PARTNERS, START, Tables
 
 DAYS = f"BETWEEN DATE '{START}' AND DATE '{END}'"
-GOOD = "status NOT IN ('fraudulent', 'test', 'unknown')"
 OVERRIDE = ("NATION9", 3)
 
 
+# Text rules in SQL, from the same fixed patterns. Written from the rules' meaning: the
+# mobile test is one alternation over label and name, empty matches fall through.
+HOTEL_SQL = (
+    f"coalesce(TRY_CAST(nullif(regexp_extract(label, '{at.HOTEL_IN_LABEL}', 1), '')"
+    " AS INTEGER), hotel_id)"
+)
+LOCALE_SQL = (
+    f"coalesce(nullif(upper(regexp_extract(label, '{at.LOCALE_IN_LABEL}', 1)), ''),"
+    f" '{at.DEFAULT_LOCALE}')"
+)
+DEVICE_SQL = (
+    f"if(coalesce(regexp_matches(label, '{at.MOBILE_IN_LABEL}'), false)"
+    f" OR regexp_matches(affiliate_name, '{at.MOBILE_IN_NAME}'), 'mobile', 'web')"
+)
+GREEDY_POS_SQL = (
+    f"regexp_extract(affiliate_name, '{at.POS_AFTER_UNDERSCORE}',"
+    f" {at.POS_AFTER_UNDERSCORE_GROUP})"
+)
+BAD_SQL = ", ".join(f"'{status}'" for status in scans.BAD_STATUSES)
+GOOD = f"NOT list_contains([{BAD_SQL}], status)"
+
+
+def name_part(column: str, group: int) -> str:
+    return f"regexp_extract({column}, '{at.DOTTED_NAME}', {group})"
+
+
 def scope(account: str, pos="All") -> rg.Scope:
     return rg.Scope(
         START, END, pos=pos, max_rpb=MAX_RPB, partner_id=STANDIN_PARTNERS[account],
@@ -43,7 +68,7 @@ SQL_VIEWS.update(
         "aff_1": "SELECT id AS affiliate_id, name AS affiliate_name FROM affiliates"
         " WHERE partner_id = 0",
         "aff_2": "SELECT id AS affiliate_id, name AS affiliate_name FROM affiliates"
-        " WHERE partner_id = 1 AND regexp_matches(name, '([_][Cc]ore[.])')",
+        f" WHERE partner_id = 1 AND regexp_matches(name, '{rg.CORE_NAME}')",
         "aff_3": "SELECT id AS affiliate_id, name AS affiliate_name FROM affiliates"
         " WHERE partner_id = 2 AND regexp_matches(name, '(DMeta|Mobile)')",
         "aff_4": "SELECT id AS affiliate_id, name AS affiliate_name FROM affiliates"
@@ -63,16 +88,10 @@ SQL_VIEWS.update(
             SELECT hotelreservation_id AS id, nits_score
             FROM fallback_scores WHERE CAST(mysql_row_created_at AS DATE) {DAYS}""",
         "book_2": f"""
-            SELECT b.id, coalesce(
-                       TRY_CAST(regexp_extract(label, 'hotel[-](.*)[_]xqdz', 1) AS INTEGER),
-                       hotel_id) AS hotel_id,
+            SELECT b.id, {HOTEL_SQL} AS hotel_id,
                    yyyy_mm_dd,
-                   CASE WHEN length(regexp_extract(label, '[-]core(.*)[-]hotel', 1)) > 0
-                        THEN upper(regexp_extract(label, '[-]core(.*)[-]hotel', 1))
-                        ELSE 'US' END AS locale,
-                   CASE WHEN regexp_matches(label, '(linkmob[-]core.*[-]hotel)') THEN 'mobile'
-                        WHEN regexp_matches(affiliate_name, '(Mobile)') THEN 'mobile'
-                        ELSE 'web' END AS device,
+                   {LOCALE_SQL} AS locale,
+                   {DEVICE_SQL} AS device,
                    bookings, commission, roomnights
             FROM valid_bookings b JOIN aff_2 USING (affiliate_id)
             WHERE commission <= {MAX_RPB}""",
@@ -95,24 +114,18 @@ SQL_VIEWS.update(
         "perf_2": """
             SELECT *, locale AS pos
             FROM clicks_2 FULL JOIN revenue_2 USING (hotel_id, locale, device, yyyy_mm_dd)""",
-        "cancel_2": """
+        "cancel_2": f"""
             SELECT yyyy_mm_dd, affiliate_id,
-                   CASE WHEN length(regexp_extract(label, '[-]core(.*)[-]hotel', 1)) > 0
-                        THEN upper(regexp_extract(label, '[-]core(.*)[-]hotel', 1))
-                        ELSE 'US' END AS locale,
-                   CASE WHEN regexp_matches(label, '(linkmob[-]core.*[-]hotel)') THEN 'mobile'
-                        WHEN regexp_matches(affiliate_name, '(Mobile)') THEN 'mobile'
-                        ELSE 'web' END AS device,
+                   {LOCALE_SQL} AS locale,
+                   {DEVICE_SQL} AS device,
                    1 AS cancellations, commission_amount_euro AS cancelled_commission,
                    roomnights AS cancelled_roomnights
             FROM valid_cancels JOIN aff_2 USING (affiliate_id)""",
         "book_3": f"""
-            SELECT b.id, coalesce(
-                       TRY_CAST(regexp_extract(label, 'hotel[-](.*)[_]xqdz', 1) AS INTEGER),
-                       hotel_id) AS hotel_id,
+            SELECT b.id, {HOTEL_SQL} AS hotel_id,
                    yyyy_mm_dd,
-                   regexp_extract(affiliate_name, '^(.*)[.](.*)[.].*', 1) AS distribution,
-                   regexp_extract(affiliate_name, '^(.*)[.](.*)[.].*', 2) AS placement,
+                   {name_part("affiliate_name", 1)} AS distribution,
+                   {name_part("affiliate_name", 2)} AS placement,
                    bookings, commission, roomnights
             FROM valid_bookings b JOIN aff_3 USING (affiliate_id)
             WHERE commission < {MAX_RPB}""",
@@ -137,10 +150,10 @@ SQL_VIEWS.update(
             SELECT *, distribution AS pos
             FROM clicks_3 FULL JOIN revenue_3
             USING (hotel_id, distribution, placement, yyyy_mm_dd)""",
-        "cancel_3": """
+        "cancel_3": f"""
             SELECT yyyy_mm_dd, hotel_id,
-                   regexp_extract(affiliate_name, '^(.*)[.](.*)[.].*', 1) AS pos,
-                   regexp_extract(affiliate_name, '^(.*)[.](.*)[.].*', 2) AS placement,
+                   {name_part("affiliate_name", 1)} AS pos,
+                   {name_part("affiliate_name", 2)} AS placement,
                    1 AS cancellations, commission_amount_euro AS cancelled_commission,
                    roomnights AS cancelled_roomnights
             FROM valid_cancels JOIN aff_3 USING (affiliate_id)""",
@@ -151,9 +164,9 @@ SQL_VIEWS.update(
             FROM performance
             WHERE yyyy_mm_dd {DAYS} AND clicks > 0
               AND commission_expected_euro <= {MAX_RPB}""",
-        "cancel_4": """
+        "cancel_4": f"""
             SELECT yyyy_mm_dd, hotel_id,
-                   regexp_extract(affiliate_name, '(.*)[_](.*)[.](.*)[.].*', 2) AS pos,
+                   {GREEDY_POS_SQL} AS pos,
                    1 AS cancellations, commission_amount_euro AS cancelled_commission,
                    roomnights AS cancelled_roomnights
             FROM valid_cancels JOIN aff_4 USING (affiliate_id)""",
@@ -234,7 +247,7 @@ def combined_sql(perf: str, cancels: str, key_names: list[str], extra: str = "")
     extra_sum = "sum(length_of_stay) AS length_of_stay," if extra else ""
     return f"""
         WITH s AS (
-            SELECT {keys.replace('yyyy_mm_dd', 'yyyy_mm_dd')}, sum(nits_bookings) AS nits_bookings,
+            SELECT {keys}, sum(nits_bookings) AS nits_bookings,
                    sum(nits_commission) AS nits_commission, sum(bookings) AS gross_bookings,
                    sum(commission) AS gross_commission, sum(cost) AS cost,
                    sum(clicks) AS clicks, {extra_sum} sum(roomnights) AS roomnights
@@ -600,8 +613,7 @@ def u1_union_devices(t: Tables):
 
 @query(
     "f1_label_hotel",
-    """SELECT id, coalesce(TRY_CAST(regexp_extract(label, 'hotel[-](.*)[_]xqdz', 1) AS INTEGER),
-                           hotel_id) AS hotel_id FROM reservations""",
+    f"SELECT id, {HOTEL_SQL} AS hotel_id FROM reservations",
 )
 def f1_label_hotel(t: Tables):
     hotel = at.hotel_from_label(F.col("label"), F.col("hotel_id"))
@@ -610,9 +622,7 @@ def f1_label_hotel(t: Tables):
 
 @query(
     "f2_label_locale",
-    """SELECT id, CASE WHEN length(regexp_extract(label, '[-]core(.*)[-]hotel', 1)) > 0
-                       THEN upper(regexp_extract(label, '[-]core(.*)[-]hotel', 1))
-                       ELSE 'US' END AS locale FROM reservations""",
+    f"SELECT id, {LOCALE_SQL} AS locale FROM reservations",
 )
 def f2_label_locale(t: Tables):
     return t.reservations.select("id", at.locale_from_label(F.col("label")).alias("locale"))
@@ -620,10 +630,7 @@ def f2_label_locale(t: Tables):
 
 @query(
     "f3_label_device",
-    """SELECT id, CASE WHEN regexp_matches(label, '(linkmob[-]core.*[-]hotel)') THEN 'mobile'
-                       WHEN regexp_matches(affiliate_name, '(Mobile)') THEN 'mobile'
-                       ELSE 'web' END AS device
-       FROM reservations JOIN aff_2 USING (affiliate_id)""",
+    f"SELECT id, {DEVICE_SQL} AS device FROM reservations JOIN aff_2 USING (affiliate_id)",
 )
 def f3_label_device(t: Tables):
     named = partner_affiliates(t, "account_2", rg.CORE_NAME)
@@ -636,8 +643,8 @@ def f3_label_device(t: Tables):
 
 @query(
     "f4_name_parts",
-    """SELECT id, regexp_extract(name, '^(.*)[.](.*)[.].*', 1) AS distribution,
-              regexp_extract(name, '^(.*)[.](.*)[.].*', 2) AS placement FROM affiliates""",
+    f"""SELECT id, {name_part('name', 1)} AS distribution, {name_part('name', 2)} AS placement
+        FROM affiliates""",
 )
 def f4_name_parts(t: Tables):
     name = F.col("name")
@@ -679,7 +686,7 @@ def f6_pos_lazy(t: Tables):
 
 @query(
     "f7_pos_greedy",
-    "SELECT id, regexp_extract(name, '(.*)[_](.*)[.](.*)[.].*', 2) AS pos FROM affiliates",
+    f"SELECT id, {GREEDY_POS_SQL.replace('affiliate_name', 'name')} AS pos FROM affiliates",
 )
 def f7_pos_greedy(t: Tables):
     pos = at.pos_from_name(
