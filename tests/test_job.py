@@ -1,9 +1,12 @@
 """The forecast job from tables to files."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
 from tidecast.plans import forecast_job as fj
+from tidecast.plans import run_job
 from tidecast.plans.metric_queries import scope
 from tidecast.sources.csv_files import read_daily_prediction
 
@@ -70,3 +73,25 @@ def test_external_regressor_must_know_the_future(spark, tables):
     ).first()
     assert str(parts["first"]) >= "1996-01-01" and parts["effect"] > 0
     assert result.prediction.count() == 7
+
+
+def test_command_line(spark, tables, tmp_path):
+    """Account 1 under its own partner id, from parquet files to CSV files."""
+    names = {}
+    for role in ("account_1_report", "campaigns", "country_campaigns", "holidays"):
+        names[role] = str(tmp_path / role)
+        rows = tables[role]
+        if "yyyy_mm_dd" in rows.columns:  # move the history into the default date range
+            rows = rows.withColumn("yyyy_mm_dd", F.add_months("yyyy_mm_dd", 12 * 21))
+        rows.write.parquet(names[role])
+    (tmp_path / "tables.json").write_text(json.dumps(names))
+    args = run_job.arguments().parse_args(
+        ["--account", "account_1", "--tables", str(tmp_path / "tables.json"),
+         "--out", str(tmp_path / "out"), "--metric_class", "RoomNights", "GrossBookings",
+         "--run_date", "2022-06-01", "--forecast_horizon", "14", "--optimizer", "default",
+         "--pos", "NATION1", "NATION2"]
+    )
+    result = run_job.run(spark, args)
+    assert result.prediction.count() == 28
+    lines = spark.read.option("header", True).csv(str(tmp_path / "out" / "daily_prediction"))
+    assert lines.columns == ["series_id", "ds", "yhat"] and lines.count() == 28

@@ -47,22 +47,19 @@ def fit(rows: DataFrame, keys: list[str], origin: str = ts.HISTORY_START) -> Dat
         *keys, on_day.alias("wd"), day_number(F.col("ds"), origin).cast("double").alias("x"), "y"
     )
 
-    def per_weekday(value: Column) -> Column:
-        sums = [
-            F.coalesce(F.sum(F.when(F.col("wd") == d, value)), F.lit(0.0)) for d in WEEKDAYS
-        ]
-        return F.array(*sums)
+    def per_weekday(value: str) -> Column:
+        sums = [f"coalesce(sum({value}) FILTER (WHERE wd = {d}), 0D)" for d in WEEKDAYS]
+        return F.expr(f"array({', '.join(sums)})")
 
-    x, y, one = F.col("x"), F.col("y"), F.lit(1.0)
     sums = numbered.groupBy(*keys).agg(
-        F.count(one).cast("double").alias("n"),
-        F.sum(x).alias("sx"),
-        F.sum(y).alias("sy"),
-        F.sum(x * x).alias("sxx"),
-        F.sum(x * y).alias("sxy"),
-        per_weekday(one).alias("wd_n"),
-        per_weekday(x).alias("wd_sx"),
-        per_weekday(y).alias("wd_sy"),
+        F.expr("double(count(*))").alias("n"),
+        F.expr("sum(x)").alias("sx"),
+        F.expr("sum(y)").alias("sy"),
+        F.expr("sum(x * x)").alias("sxx"),
+        F.expr("sum(x * y)").alias("sxy"),
+        per_weekday("1D").alias("wd_n"),
+        per_weekday("x").alias("wd_sx"),
+        per_weekday("y").alias("wd_sy"),
     )
     slope = F.try_divide(
         F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy"),

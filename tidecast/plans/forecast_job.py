@@ -187,14 +187,18 @@ def forecast_account(
     options: ForecastOptions,
     scope: rg.Scope | None = None,
     regressor: DataFrame | None = None,
+    pos: str | list[str] = "All",
 ) -> ForecastResult:
     """The whole job for one account and any of its metrics.
 
+    Without a ``scope`` it covers the history up to the day before the run date, for the
+    chosen ``pos``.
+
     ``tables`` also holds ``holidays``, the calendar. Series are account-level sums, or one
     per metric and point of sale with ``per_pos``.
     """
     end_date = str(date.fromisoformat(options.run_date) - timedelta(days=1))
-    scope = scope or rg.Scope(options.start_date, end_date)
+    scope = scope or rg.Scope(options.start_date, end_date, pos=pos)
     daily_pos = cut_lineage(rg.metrics_long(tables, account_name, metrics, scope))
     series_id = (
         F.concat_ws("/", "series_id", "pos") if options.per_pos else F.col("series_id")

@@ -146,7 +146,12 @@ def _cancels_2(tables: Tables, scope: Scope) -> DataFrame:
 
 def _pos_2(tables: Tables, scope: Scope) -> DataFrame:
     """The locales that occur; this account has no list of its own."""
-    return _stats_2(tables, scope).select("pos").distinct()
+    clicks = mt.two_device_costs(
+        tables["web_costs"], tables["mobile_costs"], scope.start, scope.end, scope.devices
+    )
+    bookings = mt.by_locale(_bookings(tables, scope, _affiliates_2(tables, scope), True))
+    locales = clicks.select("locale").unionByName(bookings.select("locale"))
+    return scans.keep_pos(locales.withColumnRenamed("locale", "pos"), scope.pos).distinct()
 
 
 # account 3
