@@ -15,8 +15,11 @@ ORACLES: dict[str, str] = {}
 SQL_VIEWS = dict(VIEWS)
 
 
-def query(name: str, sql: str | None = None):
-    """Register a query over ``Tables``; ``sql`` may use any view in ``SQL_VIEWS``."""
+def query(name: str, sql: str | None = None, bigints: str = ""):
+    """Register a query over ``Tables``; ``sql`` may use any view in ``SQL_VIEWS``.
+
+    ``bigints`` names whole-number columns of the SQL result that are narrower than bigint.
+    """
 
     def register(build: Callable[[Tables], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,7 +27,11 @@ def query(name: str, sql: str | None = None):
 
         QUERIES[name] = run
         if sql is not None:
-            ORACLES[name] = with_views(sql, SQL_VIEWS)
+            text = with_views(sql, SQL_VIEWS)
+            if bigints:
+                casts = ", ".join(f"CAST({c} AS BIGINT) AS {c}" for c in bigints.split())
+                text = f"SELECT * REPLACE ({casts}) FROM ({text})"
+            ORACLES[name] = text
         return build
 
     return register

@@ -309,6 +309,7 @@ def s2_timestamp_date_scan(t: Tables):
                roomnights
         FROM valid_bookings b JOIN aff_2 USING (affiliate_id)
         WHERE commission <= {MAX_RPB}""",
+    "bookings roomnights",
 )
 def s3_reservation_scan(t: Tables):
     named = partner_affiliates(t, "account_2", rg.CORE_NAME)
@@ -344,6 +345,7 @@ def s5_score_scans(t: Tables):
     "s6_click_cost",
     f"""SELECT hotel_id, {DAY}, locale, device, CAST(clicks AS BIGINT) AS clicks,
                CAST(cost AS DOUBLE) AS cost FROM clicks_2""",
+    "hotel_id",
 )
 def s6_click_cost(t: Tables):
     facts = mt.two_device_costs(t.web_costs, t.mobile_costs, START, END)
@@ -355,6 +357,7 @@ def s6_click_cost(t: Tables):
     "s7_performance_scan",
     f"""SELECT {DAY}, hotel_id, pos, clicks, CAST(nits_commission AS DOUBLE) AS expected
         FROM perf_4""",
+    "hotel_id clicks",
 )
 def s7_performance_scan(t: Tables):
     rows = scans.performance(t.performance, START, END, MAX_RPB)
@@ -374,7 +377,7 @@ def s8_holiday_calendar(t: Tables):
     return scans.holiday_calendar(t.holidays, "1996-01-01", "2001-12-31")
 
 
-@query("s9_campaign_lookup", "SELECT campaign_id, pos FROM points_of_sale")
+@query("s9_campaign_lookup", "SELECT campaign_id, pos FROM points_of_sale", "campaign_id")
 def s9_campaign_lookup(t: Tables):
     return mt.campaign_scan(t.campaigns)
 
@@ -408,6 +411,7 @@ def p2_value_cap(t: Tables):
 @query(
     "p3_nonnull",
     f"SELECT hotel_id, {DAY}, locale, clicks_bob FROM web_costs WHERE hotel_id IS NOT NULL",
+    "hotel_id clicks_bob",
 )
 def p3_nonnull(t: Tables):
     return scans.not_null(t.web_costs, "hotel_id").select(
@@ -482,6 +486,7 @@ def p8_metric_select(t: Tables):
     "p9_literals",
     """SELECT id, CAST(yyyy_mm_dd AS VARCHAR) AS yyyy_mm_dd, 1 AS cancellations,
               'web' AS device FROM valid_cancels JOIN aff_4 USING (affiliate_id)""",
+    "cancellations",
 )
 def p9_literals(t: Tables):
     rows = mt.cancelled_scan(t.reservations, partner_affiliates(t, "account_4"), START, END)
@@ -553,6 +558,7 @@ def j4_score_fallback(t: Tables):
                CAST(cost AS DOUBLE) AS cost, CAST(bookings AS BIGINT) AS bookings,
                CAST(commission AS DOUBLE) AS commission
         FROM perf_2""",
+    "hotel_id",
 )
 def j5_full_outer(t: Tables):
     clicks = mt.two_device_costs(t.web_costs, t.mobile_costs, START, END)
@@ -570,7 +576,11 @@ def j5_full_outer(t: Tables):
     return mt.sum_facts(mt.stack_facts(clicks, scored), mt.ACCOUNT_2_KEYS, sums)
 
 
-@query("j6_metric_outer_join", combined_sql("perf_4", "cancel_4", ["hotel_id", "yyyy_mm_dd", "pos"]))
+@query(
+    "j6_metric_outer_join",
+    combined_sql("perf_4", "cancel_4", ["hotel_id", "yyyy_mm_dd", "pos"]),
+    "hotel_id",
+)
 def j6_metric_outer_join(t: Tables):
     keys = ["hotel_id", "yyyy_mm_dd", "pos"]
     return rg.account("account_4").combined(t, scope("account_4"), keys)
@@ -580,6 +590,7 @@ def j6_metric_outer_join(t: Tables):
     "j7_campaign_restrict",
     f"""SELECT campaign_id, pos, {DAY}, CAST(sum(commission) AS DOUBLE) AS commission
         FROM report_1 WHERE pos IN ('NATION1', 'NATION2') GROUP BY ALL""",
+    "campaign_id",
 )
 def j7_campaign_restrict(t: Tables):
     report = scans.date_scan(t.account_1_report, "yyyy_mm_dd", START, END)
@@ -593,6 +604,7 @@ def j7_campaign_restrict(t: Tables):
     """SELECT campaign_id, name AS campaign_name, cc AS pos
        FROM (SELECT cc, CASE WHEN cc = 'NATION9' THEN 3 ELSE campaign_id END AS campaign_id
              FROM country_campaigns) m JOIN campaigns ON campaign_id = id""",
+    "campaign_id",
 )
 def j9_campaign_merge(t: Tables):
     return rg.account("account_1").pos_map(t, scope("account_1"))
@@ -614,6 +626,7 @@ def u1_union_devices(t: Tables):
 @query(
     "f1_label_hotel",
     f"SELECT id, {HOTEL_SQL} AS hotel_id FROM reservations",
+    "hotel_id",
 )
 def f1_label_hotel(t: Tables):
     hotel = at.hotel_from_label(F.col("label"), F.col("hotel_id"))
@@ -742,7 +755,7 @@ def f9_label_map(t: Tables):
     return pairs.groupBy("key", "value").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-@query("f10_campaign_chain", "SELECT id, campaign_id FROM campaign_chain")
+@query("f10_campaign_chain", "SELECT id, campaign_id FROM campaign_chain", "campaign_id")
 def f10_campaign_chain(t: Tables):
     rows = mt.cancelled_scan(t.reservations, partner_affiliates(t, "account_1"), START, END)
     return mt.attribute_campaign(rows, t.country_campaigns).select(
@@ -755,6 +768,7 @@ def f10_campaign_chain(t: Tables):
     """SELECT campaign_id, count(*) AS n_pos
        FROM (SELECT CASE WHEN cc = 'NATION9' THEN 3 ELSE campaign_id END AS campaign_id
              FROM country_campaigns) JOIN campaigns ON id = campaign_id GROUP BY ALL""",
+    "campaign_id",
 )
 def f11_override(t: Tables):
     pos_map = mt.campaign_pos_map(t.campaigns, t.country_campaigns, OVERRIDE)
@@ -840,6 +854,7 @@ def m4_as_booked(t: Tables):
                CAST(sum(commission) AS DOUBLE) AS gross_commission,
                CAST(sum(roomnights) AS BIGINT) AS roomnights
         FROM report_1 GROUP BY ALL""",
+    "hotel_id",
 )
 def g1_booking_summary(t: Tables):
     report = scans.date_scan(t.account_1_report, "yyyy_mm_dd", START, END)
@@ -852,7 +867,7 @@ def g2_stats_full(t: Tables):
     return stats(t, "account_1", ["yyyy_mm_dd", "pos"])
 
 
-@query("g3_stats_two_device", stats_sql("perf_2", f"hotel_id, {DAY}"))
+@query("g3_stats_two_device", stats_sql("perf_2", f"hotel_id, {DAY}"), "hotel_id")
 def g3_stats_two_device(t: Tables):
     return stats(t, "account_2", ["hotel_id", "yyyy_mm_dd"])
 
@@ -888,12 +903,16 @@ def g7_cancel_locale(t: Tables):
     return cancellations(t, "account_2", ["yyyy_mm_dd", "affiliate_id", "locale", "device"])
 
 
-@query("g8_cancel_distribution", cancels_sql("cancel_3", f"{DAY}, hotel_id, pos, placement"))
+@query(
+    "g8_cancel_distribution",
+    cancels_sql("cancel_3", f"{DAY}, hotel_id, pos, placement"),
+    "hotel_id",
+)
 def g8_cancel_distribution(t: Tables):
     return cancellations(t, "account_3", ["yyyy_mm_dd", "hotel_id", "pos", "placement"])
 
 
-@query("g9_cancel_pos", cancels_sql("cancel_4", f"{DAY}, hotel_id, pos"))
+@query("g9_cancel_pos", cancels_sql("cancel_4", f"{DAY}, hotel_id, pos"), "hotel_id")
 def g9_cancel_pos(t: Tables):
     return cancellations(t, "account_4", ["yyyy_mm_dd", "hotel_id", "pos"])
 
@@ -901,7 +920,11 @@ def g9_cancel_pos(t: Tables):
 COMBINED_KEYS = ["yyyy_mm_dd", "pos"]
 
 
-@query("g10_combined_1", combined_sql("report_1", "cancel_1", ["hotel_id", "yyyy_mm_dd", "pos"]))
+@query(
+    "g10_combined_1",
+    combined_sql("report_1", "cancel_1", ["hotel_id", "yyyy_mm_dd", "pos"]),
+    "hotel_id",
+)
 def g10_combined_1(t: Tables):
     keys = ["hotel_id", "yyyy_mm_dd", "pos"]
     return rg.account("account_1").combined(t, scope("account_1"), keys)
@@ -924,6 +947,7 @@ def g10_combined_2(t: Tables):
         "perf_3", "cancel_3", ["hotel_id", "yyyy_mm_dd", "pos"],
         "CAST(coalesce(length_of_stay, 0) AS BIGINT) AS length_of_stay,",
     ),
+    "hotel_id",
 )
 def g10_combined_3(t: Tables):
     keys = ["hotel_id", "yyyy_mm_dd", "pos"]
@@ -935,7 +959,7 @@ def g10_combined(t: Tables):
     return rg.account("account_4").combined(t, scope("account_4"), COMBINED_KEYS)
 
 
-@query("g11_two_stage", stats_sql("perf_3", "hotel_id", STAY))
+@query("g11_two_stage", stats_sql("perf_3", "hotel_id", STAY), "hotel_id")
 def g11_two_stage(t: Tables):
     return stats(t, "account_3", ["hotel_id"])
 

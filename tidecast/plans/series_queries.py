@@ -410,6 +410,7 @@ def r6_holiday_select(t: Tables):
 @query(
     "r7_holiday_windows",
     f"SELECT {DS}, holiday, lower_window, upper_window FROM holiday_windows",
+    "lower_window upper_window",
 )
 def r7_holiday_windows(t: Tables):
     """R7 + U3."""
@@ -432,7 +433,7 @@ def c1_rolling_folds(t: Tables):
     return folds.select("series_id", "fold_id", "train_start", "cutoff")
 
 
-@query("c2_backtest_folds", FOLD_SQL.format(folds=folds_sql("train_pos", False)))
+@query("c2_backtest_folds", FOLD_SQL.format(folds=folds_sql("train_pos", False)), "train_start")
 def c2_backtest_folds(t: Tables):
     folds = fd.fold_table(train_pos(t), HORIZON, cv_type="backtesting")
     return folds.select("series_id", "fold_id", "train_start", "cutoff")
