@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+_shipped: set[str] = set()
+
 # Settings every job wants; all of them can be changed at run time.
 JOB_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -39,6 +45,24 @@ def get_session(
     return builder.getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, which need it to run Python functions of it.
+
+    Spark's own file service carries the archive, so no folder needs to be shared.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="tidecast-package-")) / "tidecast_package.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    atexit.register(shutil.rmtree, archive.parent, ignore_errors=True)
+    _shipped.add(context.applicationId)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder for written intermediate results that every executor can reach.
 
