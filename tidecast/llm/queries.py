@@ -8,14 +8,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidecast.llm.common import table
+from tidecast.llm.chat import format_conversations, read_back
+from tidecast.llm.common import staged, table
 from tidecast.llm.exact_dedup import exact_dedup
+from tidecast.llm.packing import Capacity, cut_pieces, pack
 from tidecast.llm.sentencepiece_table import encode_pieces
 from tidecast.llm.token_counts import count_tokens
+from tidecast.llm.token_files import token_files
 
 TOKEN_LIMIT = 512
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_files(table(spark, sf_dir, "documents"), path, end_id=2)
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return count_tokens(table(spark, sf_dir, "documents"), path, TOKEN_LIMIT)
@@ -33,10 +41,38 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+SEQUENCE_TOKENS = 4096
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return pack(cut_pieces(docs, path, 1, SEQUENCE_TOKENS), Capacity(SEQUENCE_TOKENS))
+
+
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"))
+
+
+# A conversation made of control strings, asked for beside the table's own.
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+CONTROL_ROWS = [(-7, 0, "user", CONTROL_TEXT), (-7, 1, "assistant", CONTROL_TEXT)]
+
+
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    kinds = "conv_id long, turn long, role string, text string"
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    turns = given.unionByName(spark.createDataFrame(CONTROL_ROWS, kinds))
+    return read_back(staged(format_conversations(turns, path), "conversations"), path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_token_files": op4_token_files,
     "op5_token_counts": op5_token_counts,
     "op6_sentencepiece": op6_sentencepiece,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_best_fit_packing": op9_best_fit_packing,
+    "op10_chat_format": op10_chat_format,
 }
 
 ORACLES: dict[str, str] = {

@@ -61,10 +61,16 @@ class Encoder:
     """Ids of whole texts as little-endian unsigned 32-bit integers, as the library gives them.
 
     ``end_id`` follows each text. Nothing is truncated, padded or added otherwise; special
-    strings inside texts are handled as the library does by default.
+    strings inside texts are handled as the library does by default, or as ordinary text.
     """
 
-    def __init__(self, path: str, end_id: int | None = None, cache_size: int = 2_000_000):
+    def __init__(
+        self,
+        path: str,
+        end_id: int | None = None,
+        cache_size: int = 2_000_000,
+        special_is_text: bool = False,
+    ):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -74,7 +80,8 @@ class Encoder:
         # Only the byte-level vocabulary keeps blanks; the other one drops them.
         self.blanks = self.library.normalizer is None
         self.pattern = regex.compile(BYTE_PATTERN if self.blanks else WORD_PATTERN)
-        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.library.encode_special_tokens = special_is_text
+        self.special = [] if special_is_text else [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.first, self.later = WordCache(cache_size // 8), WordCache(cache_size)
         self.parts: dict[str, bytes] = {}
 
@@ -128,9 +135,9 @@ class Encoder:
 _encoders: dict[tuple, Encoder] = {}
 
 
-def encoder(path: str, end_id: int | None = None) -> Encoder:
+def encoder(path: str, end_id: int | None = None, special_is_text: bool = False) -> Encoder:
     """The worker's encoder for a vocabulary file; workers live on from task to task."""
-    key = (path, end_id)
+    key = (path, end_id, special_is_text)
     if key not in _encoders:
-        _encoders[key] = Encoder(path, end_id)
+        _encoders[key] = Encoder(path, end_id, special_is_text=special_is_text)
     return _encoders[key]
