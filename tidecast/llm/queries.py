@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from fractions import Fraction
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from tidecast.llm.chat import format_conversations, read_back
 from tidecast.llm.common import staged, table
 from tidecast.llm.exact_dedup import exact_dedup
+from tidecast.llm.jaccard_join import Similarity, near_duplicates
 from tidecast.llm.packing import Capacity, cut_pieces, pack
 from tidecast.llm.sentencepiece_table import encode_pieces
 from tidecast.llm.token_counts import count_tokens
@@ -19,6 +21,10 @@ from tidecast.llm.token_files import token_files
 TOKEN_LIMIT = 512
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), Similarity(4, Fraction(85, 100)))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return token_files(table(spark, sf_dir, "documents"), path, end_id=2)
@@ -67,6 +73,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op4_token_files": op4_token_files,
     "op5_token_counts": op5_token_counts,
     "op6_sentencepiece": op6_sentencepiece,
