@@ -94,6 +94,9 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+# ASCII without letters.
+NO_LETTER = np.zeros(256, bool)
+NO_LETTER[:128] = [not chr(b).isalpha() for b in range(128)]
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
@@ -119,9 +122,20 @@ def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
     Returns them on end, and where each text's words begin (one more at the end).
     """
+    data, starts, ends, begin = word_spans(column, _SPACE)
+    return span_hashes(data, starts, ends), begin
+
+
+def word_spans(
+    column: pa.Array, between: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes with A-Z lower-cased, starts and ends of words, where each text's words begin).
+
+    ``between`` says of each byte value whether it stands between words.
+    """
     data, begin = text_bytes(column)
     data = _LOWER[data]
-    inside = ~_SPACE[data]
+    inside = ~between[data]
     before = np.zeros(len(data) + 1, bool)
     before[1:] = inside
     before[begin] = False
@@ -130,4 +144,4 @@ def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     after[begin] = False
     starts = np.flatnonzero(inside & ~before[:-1])
     ends = np.flatnonzero(inside & ~after[1:]) + 1
-    return span_hashes(data, starts, ends), np.searchsorted(starts, begin)
+    return data, starts, ends, np.searchsorted(starts, begin)

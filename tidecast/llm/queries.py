@@ -13,10 +13,12 @@ from tidecast.llm.chat import format_conversations, read_back
 from tidecast.llm.common import staged, table
 from tidecast.llm.exact_dedup import exact_dedup
 from tidecast.llm.jaccard_join import Similarity, near_duplicates
+from tidecast.llm.language import learn_languages, predict_languages
 from tidecast.llm.packing import Capacity, cut_pieces, pack
 from tidecast.llm.sentencepiece_table import encode_pieces
 from tidecast.llm.token_counts import count_tokens
 from tidecast.llm.token_files import token_files
+from tidecast.llm.toxicity import fit_toxicity, score_toxicity
 
 TOKEN_LIMIT = 512
 
@@ -25,6 +27,37 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), Similarity(4, Fraction(85, 100)))
 
 
+def fold(parts: int) -> F.Column:
+    """The part of a document: crc32 of its id as text, modulo ``parts``."""
+    return F.crc32(F.col("doc_id").cast("string")) % parts
+
+
+TOXIC_FROM = 0.3
+
+
+def toxicity(docs: DataFrame, labels: DataFrame, columns: list[str]) -> DataFrame:
+    model = fit_toxicity(docs, labels, fold(4) != 2)
+    scored = score_toxicity(docs, model, columns)
+    return scored.withColumn("predicted", (F.col("score") >= TOXIC_FROM).cast("int"))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity(docs, table(spark, sf_dir, "labels"), ["doc_id"])
+    held_out = F.coalesce(fold(4) == 2, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def languages(docs: DataFrame, columns: list[str]) -> DataFrame:
+    return predict_languages(docs, learn_languages(docs, fold(3) != 1), columns)
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = languages(table(spark, sf_dir, "documents"), ["doc_id"])
+    held_out = F.coalesce(fold(3) == 1, F.lit(False))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return token_files(table(spark, sf_dir, "documents"), path, end_id=2)
@@ -74,6 +107,8 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op2_toxicity": op2_toxicity,
+    "op3_language_id": op3_language_id,
     "op4_token_files": op4_token_files,
     "op5_token_counts": op5_token_counts,
     "op6_sentencepiece": op6_sentencepiece,
