@@ -1,32 +1,76 @@
-"""The corpus pipeline: from all documents to packed training sequences."""
+"""The corpus pipeline: from all documents to packed training sequences.
+
+Each stage takes the documents that the one before kept, written and read again, and decides
+over all of them. Defined results: documents with null or empty texts have no letter, so the
+language stage rejects them; rows without an id are kept by both dedup stages unless their
+text has a copy with an id; rows that repeat id and text become one; columns beyond those of
+documents are dropped, whatever their names; empty tables pass through.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidecast.llm.common import prepare, staged
+from tidecast.llm import queries
+from tidecast.llm.common import prepare, staged, table
 from tidecast.llm.exact_dedup import exact_dedup
+from tidecast.llm.jaccard_join import near_duplicates
+from tidecast.llm.language import UNKNOWN
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the model predicts to be toxic go."""
+    scored = queries.toxicity(docs, table(spark, sf_dir, "labels"), COLUMNS)
+    return scored.where("predicted = 0").select(COLUMNS)
+
+
+def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in no language, for want of a single letter, go."""
+    found = queries.languages(docs, COLUMNS)
+    return found.where(F.col("lang_pred") != UNKNOWN).select(COLUMNS)
+
+
+def having(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """The documents whose id, which may be null, is in ``kept``; repeated rows become one."""
+    ids = kept.select(F.col("doc_id").alias("kept_id")).distinct()
+    found = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    return found.dropDuplicates(["doc_id", "text"]).select(COLUMNS)
+
+
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents with equal normalised text, the one with the smallest id stays."""
-    kept = exact_dedup(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(COLUMNS)
+    return having(docs, exact_dedup(docs).where("kept"))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by shared word shingles, the one with the smallest id stays."""
+    found = near_duplicates(docs, queries.NEAR_COPIES)
+    return having(docs, found.where("doc_id is null or doc_id = component_id"))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each piece of each document goes in the training sequences."""
+    return queries.packed(docs)
 
 
 STAGES = [
+    ("toxicity", drop_toxic),
+    ("language_id", drop_unknown_language),
     ("exact_dedup", drop_copies),
+    ("ngram_jaccard_join", drop_near_copies),
+    ("best_fit_packing", pack_sequences),
 ]
 
-# Trained scores and string work have no SQL form; tests hold the stages against plain Python.
+# A trained score and a vocabulary have no SQL form; tests hold each stage against plain code.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages one after another over the documents of a folder."""
-    docs = prepare(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    docs = prepare(spark).read.parquet(f"{sf_dir}/documents.parquet").select(COLUMNS)
     for name, stage in STAGES[:-1]:
         docs = staged(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)

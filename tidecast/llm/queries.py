@@ -18,11 +18,16 @@ from tidecast.llm.packing import Capacity, cut_pieces, pack
 from tidecast.llm.sentencepiece_table import encode_pieces
 from tidecast.llm.token_counts import count_tokens
 from tidecast.llm.token_files import token_files
+from tidecast.llm.topk_search import top_k
 from tidecast.llm.toxicity import fit_toxicity, score_toxicity
 
 TOKEN_LIMIT = 512
 
 
+# Near copies in the pipeline: five words and a similarity of 0.8.
+NEAR_COPIES = Similarity(5, Fraction(8, 10))
+
+
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), Similarity(4, Fraction(85, 100)))
 
@@ -73,6 +78,13 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_pieces(table(spark, sf_dir, "documents"), path, digests_only=True)
 
 
+NEAREST = 5
+
+
+def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, NEAREST)
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup(table(spark, sf_dir, "documents"))
     return found.select(
@@ -112,12 +124,36 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_files": op4_token_files,
     "op5_token_counts": op5_token_counts,
     "op6_sentencepiece": op6_sentencepiece,
+    "op7_exact_topk": op7_exact_topk,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_chat_format": op10_chat_format,
 }
 
 ORACLES: dict[str, str] = {
+    "op7_exact_topk": """
+        WITH valid AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+            FROM valid q JOIN valid c ON q.vec_id <> c.vec_id
+            WHERE q.vec_id % 50 = 0
+        ),
+        ranked AS (
+            SELECT query_id,
+                   CAST(row_number() OVER (
+                       PARTITION BY query_id ORDER BY score DESC, vec_id
+                   ) AS INTEGER) AS rank,
+                   vec_id, score
+            FROM scored
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+    """,
     "op8_exact_dedup": """
         WITH hashed AS (
             SELECT doc_id,
