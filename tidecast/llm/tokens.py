@@ -51,9 +51,10 @@ class WordCache:
         absent = set(words).difference(self.new)
         self.used += sum(map(len, absent))
         if self.old:
-            for word in absent & self.old.keys():
-                self.new[word] = self.old[word]
-            absent.difference_update(self.new)
+            # Looked up word by word: the older generation is far larger than ``absent``.
+            known = [word for word in absent if word in self.old]
+            self.new.update((word, self.old[word]) for word in known)
+            absent.difference_update(known)
         return absent
 
 
