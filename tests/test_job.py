@@ -1,10 +1,13 @@
 """The forecast job from tables to files."""
 
 import json
+import os
+from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
+from tidecast.operators import series as ts
 from tidecast.plans import forecast_job as fj
 from tidecast.plans import run_job
 from tidecast.plans.metric_queries import scope
@@ -60,7 +63,8 @@ def test_options_are_checked():
 
 
 def test_external_regressor_must_know_the_future(spark, tables):
-    """Days the regressor does not know are left out, of history and forecast alike."""
+    """History days it does not know are not trained on; all days to come are predicted, and
+    those that it does not know are marked."""
     days = spark.sql(
         "SELECT explode(sequence(date'1996-01-01', date'2001-12-10')) AS ds"
     ).withColumn("load", F.dayofmonth("ds"))
@@ -72,7 +76,56 @@ def test_external_regressor_must_know_the_future(spark, tables):
         F.min("ds").alias("first"), F.max(F.abs("regressor")).alias("effect")
     ).first()
     assert str(parts["first"]) >= "1996-01-01" and parts["effect"] > 0
-    assert result.prediction.count() == 7
+    last = result.history.agg(F.max("ds")).first()[0]
+    days = sorted(r["ds"] for r in result.prediction.collect())
+    assert days == [last + timedelta(days=k) for k in range(1, 8)]
+    unknown = result.components.where("NOT regressor_known").agg(F.min("ds")).first()[0]
+    assert unknown is None or str(unknown) > "2001-12-10"
+
+
+def test_short_regressor_keeps_the_horizon(spark, tables):
+    series = ts.daily_series(
+        spark.sql("SELECT explode(sequence(date'2001-01-01', date'2001-11-04')) AS yyyy_mm_dd, 3.0 AS y"),
+        "y",
+    )
+    one = series.where("ds = date'2001-11-04'").withColumn("series_id", F.lit("OneDay"))
+    days = spark.sql(
+        "SELECT explode(sequence(date'2001-01-01', date'2001-11-07')) AS ds"
+    ).withColumn("load", F.dayofmonth("ds"))
+    holidays = spark.createDataFrame(
+        [], "ds date, holiday string, lower_window int, upper_window int"
+    )
+    result = fj.forecast_series(
+        series.unionByName(one), holidays, options(optimizer="default", horizon=7), days
+    )
+    got = result.prediction.collect()
+    assert {r["series_id"] for r in got} == {"All", "OneDay"} and len(got) == 14
+    assert all(date(2001, 11, 5) <= r["ds"] <= date(2001, 11, 11) for r in got)
+    status = {r["series_id"]: r["status"] for r in result.components.select("series_id", "status").distinct().collect()}
+    assert status == {"All": "fitted", "OneDay": "constant"}
+    assert result.components.where("NOT regressor_known").count() == 8
+
+
+def test_scope_ends_before_the_run_date(spark, tables):
+    result = fj.forecast_account(
+        tables, "account_4", ["GrossCommission"],
+        options(run_date="2000-07-01", optimizer="default"), scope("account_4"),
+    )
+    assert str(result.history.agg(F.max("ds")).first()[0]) <= "2000-06-30"
+    assert str(result.prediction.agg(F.min("ds")).first()[0]) <= "2000-07-01"
+
+
+def test_script_starts_from_any_folder(tmp_path):
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    script = Path(run_job.__file__).resolve()
+    done = subprocess.run(
+        [sys.executable, str(script), "--help"], cwd=tmp_path, capture_output=True, text=True,
+        env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"}, timeout=120,
+    )
+    assert done.returncode == 0 and "--forecast_horizon" in done.stdout
 
 
 def test_command_line(spark, tables, tmp_path):

@@ -125,20 +125,31 @@ def test_pos_filter_accepts_scalar_list_and_all(spark):
     assert scans.keep_pos(df, ["A", "B"]).count() == 2
 
 
-def test_broadcast_needs_a_proven_size(spark):
+def test_dimensions_are_broadcast_by_their_bytes_only(spark):
     dim = spark.range(100).withColumnRenamed("id", "k")
     facts = spark.range(1000).withColumnRenamed("id", "k")
+    assert "BroadcastHashJoin" in joins.dimension_join(facts, dim, "k")._jdf.queryExecution().toString()
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        small = facts.join(joins.checked_broadcast(dim, 100), "k")
-        large = facts.join(joins.checked_broadcast(dim, 99), "k")
-        assert "BroadcastHashJoin" in small._jdf.queryExecution().toString()
-        assert "BroadcastHashJoin" not in large._jdf.queryExecution().toString()
-        assert small.count() == large.count() == 100
+        joined = joins.dimension_join(facts, dim, "k")
+        assert "BroadcastHashJoin" not in joined._jdf.queryExecution().toString()
+        assert joined.count() == 100
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_building_a_metric_query_runs_no_job(spark, tables):
+    from tidecast.plans.metric_queries import scope
+
+    spark.sparkContext.setJobGroup("building", "no job may run")
+    try:
+        for name in rg.ACCOUNTS:
+            rg.account(name).combined(tables, scope(name), ["yyyy_mm_dd", "pos"])
+        assert not list(spark.sparkContext.statusTracker().getJobIdsForGroup("building"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_registry_knows_accounts_and_metrics():
     assert rg.metric_source("GrossBookings") == rg.metric_source("gross_bookings")
     assert rg.metric_source("Cancellations")[0] == "cancellations"

@@ -10,6 +10,7 @@ from tidecast.operators import additive_fit as af
 from tidecast.operators import forecast_additive as fa
 from tidecast.operators import forecast_closed as fc
 from tidecast.operators import holidays as hol
+from tidecast.operators import params as pm
 
 N, TEST = 800, 60
 DAYS = np.arange(18000.0, 18000.0 + N)
@@ -137,3 +138,49 @@ def test_closed_form_of_one_day_and_missing_weekdays(spark):
     )
     rows = fc.forecast(series, 8, origin="2020-01-01").collect()
     assert {r["yhat"] for r in rows} == {5.0}
+
+
+def one_holiday_day(spark, per_series: bool):
+    rows = spark.sql(
+        "SELECT 'a' AS series_id, explode(sequence(date'2001-01-01', date'2001-03-31')) AS ds"
+    )
+    day = "ds = date'2001-02-14'"
+    rows = rows.withColumn("y", F.expr(f"CASE WHEN {day} THEN 110.0 ELSE 10.0 END"))
+    holidays = spark.sql(
+        "SELECT date'2001-02-14' AS ds, explode(array('one', 'two')) AS holiday,"
+        " 0 AS lower_window, 0 AS upper_window"
+    )
+    if per_series:
+        holidays = holidays.withColumn("series_id", F.lit("a"))
+    return fc.forecast(rows, 7, holidays, "2001-01-01").where(day).first()
+
+
+def test_overlapping_holidays_count_once(spark):
+    row = one_holiday_day(spark, per_series=False)
+    assert row["yhat"] == pytest.approx(110.0)
+
+
+def test_closed_form_takes_holidays_per_series(spark):
+    assert one_holiday_day(spark, per_series=True)["yhat"] == pytest.approx(110.0)
+
+
+def test_all_sampled_sets_are_tried(spark):
+    folds = spark.createDataFrame([("a", 0), ("a", 1)], "series_id string, fold_id int")
+    params = pm.sample_params(pm.param_space(spark), 40)
+    work = pm.work_list(folds, params)
+    assert work.count() == 80
+    assert work.select("set_bucket").distinct().count() == pm.SET_BUCKETS
+
+
+def test_seasons_can_be_forced_and_left_out():
+    days = np.arange(10.0)
+    y = 5 + np.sin(days)
+    out = {}
+    for weekly in ("auto", "on", "off"):
+        out[weekly] = af.fit_predict(
+            days, y, np.ones(10, bool), np.zeros((10, 0)), af.Settings(),
+            seasons=af.Seasons(weekly=weekly),
+        )["weekly"]
+    assert not out["auto"].any() and not out["off"].any() and out["on"].any()
+    with pytest.raises(ValueError):
+        af.Seasons(yearly="maybe")

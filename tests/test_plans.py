@@ -81,4 +81,3 @@ def test_fits_use_their_own_partition_count(spark):
 
 def test_every_oracle_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert not {n for n in entry.queries() if "pipeline" in n}

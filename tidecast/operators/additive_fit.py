@@ -25,6 +25,26 @@ TOLERANCE = 1e-6
 SMALLEST_CHANGE = 1e-5
 
 
+@dataclass(frozen=True)
+class Seasons:
+    """Whether yearly and weekly terms are fitted: ``auto``, ``on`` or ``off``.
+
+    ``auto`` is the published rule: a training span of two periods or more.
+    """
+
+    yearly: str = "auto"
+    weekly: str = "auto"
+
+    def __post_init__(self):
+        for value in (self.yearly, self.weekly):
+            if value not in ("auto", "on", "off"):
+                raise ValueError(f"a season is auto, on or off, not {value!r}")
+
+    @staticmethod
+    def wanted(setting: str, span: float, least: float) -> bool:
+        return setting == "on" or (setting == "auto" and span >= least)
+
+
 @dataclass
 class Settings:
     """One parameter set."""
@@ -43,7 +63,10 @@ def fourier(days: np.ndarray, period: float, order: int) -> np.ndarray:
 
 
 def changepoints(t_train: np.ndarray, count: int, share: float) -> np.ndarray:
-    """Times of possible slope changes, evenly spread over the first part of the history."""
+    """Times of possible slope changes, evenly spread over the first part of the history.
+
+    The placement follows Taylor and Letham, "Forecasting at scale" (2018).
+    """
     usable = int(np.floor(len(t_train) * share))
     count = min(count, usable - 1)
     if count <= 0:
@@ -144,6 +167,7 @@ def fit_predict(
     cap: float | None = None,
     floor: float | None = None,
     regressor: np.ndarray | None = None,
+    seasons: Seasons = Seasons(),
 ) -> dict[str, np.ndarray]:
     """Fit on the training days and return yhat, its band and its parts for all days.
 
@@ -164,9 +188,9 @@ def fit_predict(
     top = np.full(len(days), (float(cap) - low) / scale if logistic else 0.0)
 
     blocks = {}
-    if span >= 2 * 365:
+    if seasons.wanted(seasons.yearly, span, 2 * 365):
         blocks["yearly"] = fourier(days, YEAR_DAYS, YEAR_ORDER)
-    if span >= 14:
+    if seasons.wanted(seasons.weekly, span, 14):
         blocks["weekly"] = fourier(days, WEEK_DAYS, WEEK_ORDER)
     if effects.shape[1]:
         blocks["holidays"] = effects

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 from tidecast.operators import additive_fit as af
 from tidecast.operators import holidays as hol
 from tidecast.operators import params as pm
-from tidecast.session import task_slots
+from tidecast.session import ship_package, task_slots
 
 # --- Fixed values: interval width of a tuned model -----------------------------------
 TUNED_INTERVAL = 0.95
@@ -22,11 +22,14 @@ TUNED_INTERVAL = 0.95
 
 PARTS = ["trend", "weekly", "yearly", "holidays", "regressor"]
 VALUES = ["yhat", "yhat_lower", "yhat_upper", *PARTS]
+# How a row came about: fitted; constant (the one value that a series with a single training
+# row has); or no_history, with NULL values.
+FITTED, CONSTANT, NO_HISTORY = "fitted", "constant", "no_history"
 
 
-def default_params(groups: DataFrame) -> DataFrame:
-    """K1: the default parameter set, as set number -1, for each row of ``groups``."""
-    base = af.Settings()
+def default_params(groups: DataFrame, base: af.Settings | None = None) -> DataFrame:
+    """K1: the default parameter set, or ``base``, as number -1, for each row of ``groups``."""
+    base = base or af.Settings()
     return groups.select(
         "*",
         F.lit(-1).alias("param_id"),
@@ -69,11 +72,19 @@ def _optional(values: pd.Series) -> float | None:
     return float(known.iloc[0]) if len(known) else None
 
 
-def _fit_group(keys: list[str], all_days: bool):
+def _without_fit(known: np.ndarray, rows: int) -> tuple[dict[str, np.ndarray], str]:
+    """Values of a series with one training row or none: that value as trend, or nothing."""
+    level = float(known[0]) if len(known) else np.nan
+    out = {name: np.full(rows, 0.0 if len(known) else np.nan) for name in VALUES}
+    for name in ("yhat", "yhat_lower", "yhat_upper", "trend"):
+        out[name] = np.full(rows, level)
+    return out, CONSTANT if len(known) else NO_HISTORY
+
+
+def _fit_group(keys: list[str], all_days: bool, seasons: af.Seasons):
     def fit(key: tuple, frame: pd.DataFrame, work: pd.DataFrame) -> pd.DataFrame:
-        columns = [*keys, "param_id", "ds", "y", *VALUES]
-        train_rows = int(frame["is_train"].sum()) if len(frame) else 0
-        if train_rows < 2 or work.empty:
+        columns = [*keys, "param_id", "ds", "y", *VALUES, "status"]
+        if frame.empty or work.empty:
             return pd.DataFrame(columns=columns)
         frame = frame.sort_values("ds")
         days = pd.to_datetime(frame["ds"]).to_numpy().astype("datetime64[D]").astype(float)
@@ -90,14 +101,19 @@ def _fit_group(keys: list[str], all_days: bool):
                 interval_width=row.interval_width,
                 **{name: getattr(row, name) for name in pm.PARAM_FIELDS},
             )
-            out = af.fit_predict(
-                days, y, is_train, effects, settings,
-                _optional(frame["cap"]), _optional(frame["floor"]), regressor,
-            )
+            if is_train.sum() < 2:
+                out, status = _without_fit(y[is_train], len(frame))
+            else:
+                status = FITTED
+                out = af.fit_predict(
+                    days, y, is_train, effects, settings,
+                    _optional(frame["cap"]), _optional(frame["floor"]), regressor, seasons,
+                )
             result = pd.DataFrame({name: out[name][keep] for name in VALUES})
             result.insert(0, "y", y[keep])
             result.insert(0, "ds", frame["ds"].to_numpy()[keep])
             result.insert(0, "param_id", row.param_id)
+            result["status"] = status
             for name, value in zip(reversed(keys), reversed(key)):
                 result.insert(0, name, value)
             results.append(result)
@@ -112,21 +128,25 @@ def fit_predict(
     keys: list[str],
     all_days: bool = False,
     partitions: int | None = None,
+    seasons: af.Seasons = af.Seasons(),
 ) -> DataFrame:
     """Fit every parameter set of ``work`` on the days of its group.
 
     ``frame``: keys, ds, y, cap, floor, is_train, effects and optionally regressor.
     ``work``: keys, param_id, interval_width and the parameter fields.
-    Returns the days to predict (or all days) with ``yhat``, its band and its parts.
+    Returns the days to predict (or all days) with ``yhat``, its band, its parts and a
+    ``status``. Every group with days and sets comes out, however short its history.
 
     The partition count is explicit: AQE would pack these few but costly rows into one task.
     """
+    ship_package(frame.sparkSession)
     slots = partitions or task_slots(frame.sparkSession)
     types = {f.name: f.dataType.simpleString() for f in frame.schema.fields}
     schema = ", ".join(
         [f"{k} {types[k]}" for k in keys]
         + ["param_id int", "ds date", "y double"]
         + [f"{name} double" for name in VALUES]
+        + ["status string"]
     )
     used = [*keys, "ds", "y", "cap", "floor", "is_train", "effects"]
     if "regressor" in frame.columns:
@@ -139,5 +159,5 @@ def fit_predict(
         .repartition(slots, *set_keys)
         .groupBy(*set_keys)
     )
-    fitted = days.cogroup(sets).applyInPandas(_fit_group(keys, all_days), schema)
-    return fitted.withColumn("y", F.when(~F.isnan("y"), F.col("y")))
+    fitted = days.cogroup(sets).applyInPandas(_fit_group(keys, all_days, seasons), schema)
+    return fitted.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in ["y", *VALUES]})

@@ -95,13 +95,20 @@ def predict(frame: DataFrame, fitted: DataFrame, keys: list[str], origin: str =
     )
 
 
+def day_sets(holidays: DataFrame) -> DataFrame:
+    """``holiday_set`` per day: all holiday effects that fall on it."""
+    return hol.features_by_day(holidays).withColumnRenamed("effects", "holiday_set")
+
+
 def holiday_effects(rows: DataFrame, holidays: DataFrame, keys: list[str]) -> DataFrame:
-    """K7: mean of y - yhat on the days of each holiday effect, per key."""
-    days = hol.expand_windows(holidays)
+    """K7: mean of y - yhat over the days with the same set of holidays, per key.
+
+    A day counts once, for its whole set, so holidays that overlap share their effect.
+    """
     return (
         rows.where(F.col("y").isNotNull())
-        .join(days, "ds")
-        .groupBy(*keys, "holiday", "offset")
+        .join(day_sets(holidays), [*hol.series_key(holidays), "ds"])
+        .groupBy(*keys, "holiday_set")
         .agg(F.avg(F.col("y") - F.col("yhat")).alias("effect"))
     )
 
@@ -109,16 +116,13 @@ def holiday_effects(rows: DataFrame, holidays: DataFrame, keys: list[str]) -> Da
 def add_holiday_effects(
     forecast: DataFrame, effects: DataFrame, holidays: DataFrame, keys: list[str]
 ) -> DataFrame:
-    """K7: add the effects of the holidays that fall on each day."""
-    per_day = (
-        hol.expand_windows(holidays)
-        .join(effects, ["holiday", "offset"])
-        .groupBy(*keys, "ds")
-        .agg(F.sum("effect").alias("holidays"))
-    )
-    added = F.coalesce("holidays", F.lit(0.0))
-    return forecast.join(per_day, [*keys, "ds"], "left").withColumns(
-        {"holidays": added, "yhat": F.col("yhat") + added}
+    """K7: add the effect of each day's holidays; a set never seen before adds nothing."""
+    added = F.coalesce("effect", F.lit(0.0))
+    return (
+        forecast.join(day_sets(holidays), [*hol.series_key(holidays), "ds"], "left")
+        .join(effects, [*keys, "holiday_set"], "left")
+        .withColumns({"holidays": added, "yhat": F.col("yhat") + added})
+        .drop("holiday_set", "effect")
     )
 
 

@@ -4,25 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# A dimension up to this many (narrow) rows is sent to every executor.
-BROADCAST_ROWS = 500_000
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only when it is proven small.
-
-    The check is one distributed count over the filtered dimension. Beyond the bound the
-    frame comes back unmarked, and the join is a shuffled one that AQE may split where it
-    is skewed.
-    """
-    return F.broadcast(df) if df.count() <= max_rows else df
-
 
 def dimension_join(
     facts: DataFrame, dimension: DataFrame, on: str | list[str], how: str = "inner"
 ) -> DataFrame:
-    """Facts with a filtered dimension."""
-    return facts.join(checked_broadcast(dimension), on, how)
+    """Facts with a filtered dimension.
+
+    No hint: AQE broadcasts the dimension once its measured bytes are below
+    ``spark.sql.autoBroadcastJoinThreshold``, and joins by shuffle otherwise.
+    """
+    return facts.join(dimension, on, how)
 
 
 def weights_by_reservation(preferred: DataFrame, fallback: DataFrame) -> DataFrame:

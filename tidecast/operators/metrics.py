@@ -17,6 +17,7 @@ from tidecast.functions import numbers as nm
 from tidecast.operators import joins
 from tidecast.sources import scans
 
+# --- Fixed values: names of the summed columns ------------------------------------------
 STATS_SUMS = {
     "nits_bookings": "nits_bookings",
     "nits_commission": "nits_commission",
@@ -27,6 +28,7 @@ STATS_SUMS = {
     "roomnights": "roomnights",
 }
 CANCELLATION_SUMS = ["cancellations", "cancelled_commission", "cancelled_roomnights"]
+# -----------------------------------------------------------------------------------------
 
 
 def stack_facts(*facts: DataFrame) -> DataFrame:
@@ -142,7 +144,7 @@ def campaign_lookup(country_campaigns: DataFrame) -> DataFrame:
 
 def attribute_campaign(rows: DataFrame, country_campaigns: DataFrame) -> DataFrame:
     """campaign from the label, else the affiliate's country, else the booker's."""
-    lookup = joins.checked_broadcast(campaign_lookup(country_campaigns))
+    lookup = campaign_lookup(country_campaigns)
 
     def by_country(df: DataFrame, code: str, result: str) -> DataFrame:
         side = lookup.select(F.col("cc").alias(code), F.col("campaign_id").alias(result))

@@ -16,6 +16,9 @@ N_ITER = 30
 SEARCH_SEED = 1234
 # --------------------------------------------------------------------------------------
 
+# Tasks that share the sets of one fold.
+SET_BUCKETS = 8
+
 SPACE_SIZE = len(GROWTHS) * PRIOR_SCALES * CHANGEPOINTS * len(MODES) * RANGES
 PARAM_FIELDS = [
     "growth",
@@ -65,12 +68,18 @@ def sample_params(
     return drawn.withColumn("param_id", number).drop("draw")
 
 
-def work_list(folds: DataFrame, params: DataFrame, n_params: int) -> DataFrame:
-    """Every parameter set for every fold.
+def set_buckets() -> Column:
+    """The numbers of all set buckets, to be exploded."""
+    return F.sequence(F.lit(0), F.lit(SET_BUCKETS - 1))
+
+
+def work_list(folds: DataFrame, params: DataFrame) -> DataFrame:
+    """Every parameter set that ``params`` holds, for every fold.
 
-    Each fold row lists the set numbers 0 .. n_params - 1 and looks them up in the sampled
-    sets, whose size is fixed by the search budget, so they may be broadcast.
+    Sets are dealt into buckets by number; each fold meets each bucket. ``set_bucket`` stays,
+    so that fits can be spread by it. The search budget bounds the sets, so they may be
+    broadcast.
     """
-    numbers = F.sequence(F.lit(0), F.lit(n_params - 1))
-    numbered = folds.withColumn("param_id", F.explode(numbers))
-    return numbered.join(F.broadcast(params.limit(n_params)), "param_id")
+    dealt = params.withColumn("set_bucket", F.pmod("param_id", F.lit(SET_BUCKETS)).cast("int"))
+    spread = folds.withColumn("set_bucket", F.explode(set_buckets()))
+    return spread.join(F.broadcast(dealt), "set_bucket")

@@ -146,12 +146,15 @@ def level_shift(series: DataFrame) -> DataFrame:
     return series.withColumn("level_shift", year_number + F.when(late, 1).otherwise(0))
 
 
-def attach_regressor(series: DataFrame, regressor: DataFrame) -> DataFrame:
-    """R3 + J11: keep days the regressor knows, with its one extra column as ``regressor``."""
+def attach_regressor(series: DataFrame, regressor: DataFrame, how: str = "inner") -> DataFrame:
+    """R3 + J11: keep days the regressor knows, with its one extra column as ``regressor``.
+
+    With ``how="left"`` all days stay, and ``regressor`` is NULL where it is not known.
+    """
     keys = [c for c in ("series_id", "ds") if c in regressor.columns]
     (value,) = [c for c in regressor.columns if c not in keys]
     side = regressor.select(*keys, F.col(value).cast("double").alias("regressor"))
-    return series.join(side, keys)
+    return series.join(side, keys, how)
 
 
 def trailing_pos_totals(

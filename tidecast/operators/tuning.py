@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from tidecast.operators import additive_fit as af
 from tidecast.operators import folds as fd
 from tidecast.operators import forecast_additive as fa
 from tidecast.operators import forecast_closed as fc
@@ -30,7 +31,7 @@ def cv_scores_closed(
     fitted = fc.fit(fd.fold_train_rows(series, folds), ["series_id", "fold_id"], origin)
     days = sc.align(fd.fold_test_dates(folds), series)
     params = fc.closed_params(series.sparkSession)
-    work = pm.work_list(days, params, fc.N_CLOSED_PARAMS)
+    work = pm.work_list(days, params).drop("set_bucket")
     predicted = fc.predict(work, fitted, ["series_id", "fold_id"], origin)
     return sc.smape(predicted, FIT_KEYS, level)
 
@@ -39,18 +40,19 @@ def cv_scores_additive(
     frame: DataFrame,
     folds: DataFrame,
     params: DataFrame,
-    n_params: int,
     level: str = "daily",
     partitions: int | None = None,
+    seasons: af.Seasons = af.Seasons(),
 ) -> DataFrame:
     """Error per series, fold and parameter set of the additive model.
 
-    ``frame`` has every calendar day of each series with cap, floor and holiday effects.
+    ``frame`` has every calendar day of each series with cap, floor and holiday effects. The
+    sets of a fold are spread over ``SET_BUCKETS`` tasks, each of which gets the fold's days.
     """
-    keys = ["series_id", "fold_id"]
-    work = fa.tuned_params(pm.work_list(folds.select(*keys), params, n_params), keys)
-    days = fd.fold_frame(frame, folds)
-    predicted = fa.fit_predict(days, work, keys, partitions=partitions)
+    keys = ["series_id", "fold_id", "set_bucket"]
+    work = fa.tuned_params(pm.work_list(folds.select("series_id", "fold_id"), params), keys)
+    days = fd.fold_frame(frame, folds).withColumn("set_bucket", F.explode(pm.set_buckets()))
+    predicted = fa.fit_predict(days, work, keys, partitions=partitions, seasons=seasons)
     return sc.smape(predicted, FIT_KEYS, level)
 
 

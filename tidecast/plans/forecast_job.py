@@ -8,11 +8,12 @@ chosen parameter sets, and the final fits.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, functions as F
 
+from tidecast.operators import additive_fit as af
 from tidecast.operators import folds as fd
 from tidecast.operators import forecast_additive as fa
 from tidecast.operators import holidays as hol
@@ -51,11 +52,18 @@ class ForecastOptions:
     level_shift: bool = False
     per_pos: bool = False
     partitions: int | None = None
+    yearly: str = "auto"
+    weekly: str = "auto"
+    baseline: af.Settings | None = None
+
+    @property
+    def seasons(self) -> af.Seasons:
+        return af.Seasons(self.yearly, self.weekly)
 
     def __post_init__(self):
         if self.optimizer not in OPTIMIZERS:
             raise ValueError(f"optimizer must be one of {OPTIMIZERS}, not {self.optimizer!r}")
-        if self.level not in sc.LEVELS:
+        if self.level not in sc.LEVELS or not self.seasons:
             raise ValueError(f"level must be one of {sc.LEVELS}, not {self.level!r}")
 
 
@@ -97,10 +105,17 @@ def _frame(
     regressor: DataFrame | None,
 ) -> DataFrame:
     """Every calendar day, ``horizon`` days past the end, with its bounds, holiday effects
-    and optional regressor (R3; it has to know the days to come)."""
+    and optional regressor (R3).
+
+    History days that an external regressor does not know are not trained on. Days to come
+    stay whether it knows them or not; ``regressor_known`` tells them apart, and the fit
+    carries the last known value on.
+    """
     frame = ts.with_gaps_filled(ts.with_bounds(series), options.horizon)
     if regressor is not None:
-        frame = ts.attach_regressor(frame, regressor)
+        frame = ts.attach_regressor(frame, regressor, how="left")
+        known = F.col("regressor").isNotNull()
+        frame = frame.withColumns({"regressor_known": known, "y": F.when(known, F.col("y"))})
     elif options.level_shift:
         frame = ts.level_shift(frame).withColumnRenamed("level_shift", "regressor")
         frame = frame.withColumn("regressor", F.col("regressor").cast("double"))
@@ -108,7 +123,9 @@ def _frame(
 
 
 def _holdout_score(frame, work, options: ForecastOptions) -> DataFrame:
-    predicted = fa.fit_predict(frame, work, ["series_id"], partitions=options.partitions)
+    predicted = fa.fit_predict(
+        frame, work, ["series_id"], partitions=options.partitions, seasons=options.seasons
+    )
     return sc.smape(predicted, ["series_id", "param_id"], options.level, round_first=True)
 
 
@@ -132,7 +149,7 @@ def forecast_series(
         scored.select("series_id", "ds", "is_train"), ["series_id", "ds"]
     ).where(F.col("y").isNotNull())
     groups = frame.select("series_id").distinct()
-    base_work = fa.default_params(groups)
+    base_work = fa.default_params(groups, options.baseline)
     selection = _holdout_score(holdout_frame, base_work, options).select(
         "series_id", F.col("smape").alias("baseline_smape"), F.lit("baseline").alias("model")
     )
@@ -144,7 +161,7 @@ def forecast_series(
         space = pm.param_space(frame.sparkSession)
         params = cut_lineage(pm.sample_params(space, options.n_iter, options.seed))
         scores = tn.cv_scores_additive(
-            frame, folds, params, options.n_iter, options.level, options.partitions
+            frame, folds, params, options.level, options.partitions, options.seasons
         )
         best = cut_lineage(tn.best_params(scores).join(F.broadcast(params), "param_id"))
         tuned_work = fa.tuned_params(best, keys)
@@ -154,13 +171,16 @@ def forecast_series(
                 _holdout_score(holdout_frame, tuned_work, options),
             )
         )
+        # The values of each series' best set, whether it was chosen or not.
+        selection = selection.join(best.select("series_id", *pm.PARAM_FIELDS), "series_id", "left")
         chosen = selection.where(F.col("model") == "tuned").select("series_id")
         final_work = tuned_work.join(chosen, "series_id", "left_semi").unionByName(
             base_work.join(chosen, "series_id", "left_anti")
         )
-    final_frame = frame.join(
-        series.groupBy("series_id").agg(F.max("ds").alias("last_ds")), "series_id"
-    ).withColumn("is_train", F.col("ds") <= F.col("last_ds"))
+    last = cut_lineage(series.groupBy("series_id").agg(F.max("ds").alias("last_ds")))
+    final_frame = frame.join(last, "series_id").withColumn(
+        "is_train", F.col("ds") <= F.col("last_ds")
+    )
     fitted = cut_lineage(
         fa.fit_predict(
             final_frame.where(~F.col("is_train") | F.col("y").isNotNull()).drop("last_ds"),
@@ -168,13 +188,19 @@ def forecast_series(
             keys,
             all_days=True,
             partitions=options.partitions,
+            seasons=options.seasons,
         )
     )
-    prediction = rp.daily_prediction(ts.tail(fitted, options.horizon))
+    to_come = fitted.join(last, "series_id").where(F.col("ds") > F.col("last_ds"))
+    prediction = rp.daily_prediction(to_come)
+    components = fitted.select("series_id", "ds", *fa.VALUES, "status")
+    if "regressor_known" in frame.columns:
+        known = frame.select("series_id", "ds", "regressor_known")
+        components = components.join(known, ["series_id", "ds"])
     return ForecastResult(
         prediction=prediction,
         weekly=rp.weekly_totals(prediction),
-        components=fitted.select("series_id", "ds", *fa.VALUES),
+        components=components,
         selection=selection,
         history=series,
     )
@@ -192,13 +218,14 @@ def forecast_account(
     """The whole job for one account and any of its metrics.
 
     Without a ``scope`` it covers the history up to the day before the run date, for the
-    chosen ``pos``.
+    chosen ``pos``; a given scope is cut there too.
 
     ``tables`` also holds ``holidays``, the calendar. Series are account-level sums, or one
     per metric and point of sale with ``per_pos``.
     """
     end_date = str(date.fromisoformat(options.run_date) - timedelta(days=1))
     scope = scope or rg.Scope(options.start_date, end_date, pos=pos)
+    scope = replace(scope, end=min(scope.end, end_date))
     daily_pos = cut_lineage(rg.metrics_long(tables, account_name, metrics, scope))
     series_id = (
         F.concat_ws("/", "series_id", "pos") if options.per_pos else F.col("series_id")

@@ -37,7 +37,7 @@ GREEDY_POS_SQL = (
     f" {at.POS_AFTER_UNDERSCORE_GROUP})"
 )
 BAD_SQL = ", ".join(f"'{status}'" for status in scans.BAD_STATUSES)
-GOOD = f"NOT list_contains([{BAD_SQL}], status)"
+GOOD = f"status NOT IN ({BAD_SQL})"
 
 
 def name_part(column: str, group: int) -> str:
@@ -86,7 +86,7 @@ SQL_VIEWS.update(
             FROM preferred_scores WHERE created_date {DAYS}""",
         "fall": f"""
             SELECT hotelreservation_id AS id, nits_score
-            FROM fallback_scores WHERE CAST(mysql_row_created_at AS DATE) {DAYS}""",
+            FROM fallback_scores WHERE CAST(row_created_at AS DATE) {DAYS}""",
         "book_2": f"""
             SELECT b.id, {HOTEL_SQL} AS hotel_id,
                    yyyy_mm_dd,

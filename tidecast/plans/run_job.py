@@ -10,15 +10,20 @@ from __future__ import annotations
 
 import argparse
 import json
+import sys
 from datetime import date
+from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+# A script is started without its package; the session helper then sends it to executors.
+sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
-from tidecast.operators import folds as fd
-from tidecast.operators import scoring as sc
-from tidecast.plans import forecast_job as fj
-from tidecast.plans import registry as rg
-from tidecast.session import get_session
+from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+
+from tidecast.operators import folds as fd  # noqa: E402
+from tidecast.operators import scoring as sc  # noqa: E402
+from tidecast.plans import forecast_job as fj  # noqa: E402
+from tidecast.plans import registry as rg  # noqa: E402
+from tidecast.session import get_session  # noqa: E402
 
 
 def arguments() -> argparse.ArgumentParser:

@@ -174,12 +174,13 @@ SQL_VIEWS.update(
             FROM closed_frame f JOIN g USING (series_id)
             LEFT JOIN e ON e.series_id = f.series_id AND e.wd = isodow(f.ds)""",
         "closed_holidays": """
-            SELECT series_id, d.ds, sum(effect) AS holidays
-            FROM holiday_days d JOIN (
-                SELECT b.series_id, d.holiday, d."offset", avg(y - trend - weekly) AS effect
-                FROM closed_base b JOIN holiday_days d USING (ds) WHERE y IS NOT NULL
-                GROUP BY ALL) e USING (holiday, "offset")
-            GROUP BY ALL""",
+            WITH marked AS (
+                SELECT ds, list_sort(list(DISTINCT (holiday, "offset"))) AS marks
+                FROM holiday_days GROUP BY ds)
+            SELECT series_id, ds,
+                   coalesce(avg(CASE WHEN y IS NOT NULL THEN y - trend - weekly END)
+                            OVER (PARTITION BY series_id, marks), 0) AS holidays
+            FROM closed_base JOIN marked USING (ds)""",
         "closed_forecast": """
             SELECT b.series_id, b.ds, y, trend, weekly, coalesce(h.holidays, 0) AS holidays,
                    trend + weekly + coalesce(h.holidays, 0) AS yhat
@@ -505,7 +506,7 @@ def c5_param_sample(t: Tables):
     """The sets every series gets to try."""
     groups = series_pos(t).select("series_id").distinct()
     params = pm.sample_params(pm.param_space(t.spark))
-    return pm.work_list(groups, params, pm.N_ITER).select(
+    return pm.work_list(groups, params).select(
         "series_id", "param_id", "space_id", *pm.PARAM_FIELDS
     )
 
@@ -518,7 +519,7 @@ def c5_param_sample(t: Tables):
 def c6_work_list(t: Tables):
     """C6 + J13."""
     params = pm.sample_params(pm.param_space(t.spark))
-    return pm.work_list(fd.fold_table(train_pos(t), HORIZON), params, pm.N_ITER).select(
+    return pm.work_list(fd.fold_table(train_pos(t), HORIZON), params).select(
         "series_id", "fold_id", "cutoff", "param_id",
         "growth", "n_changepoints", "seasonality_mode",
     )

@@ -60,7 +60,7 @@ VIEWS = {
     "fallback_scores": """
         SELECT CAST(o_orderkey AS VARCHAR) AS hotelreservation_id,
                CAST(((o_orderkey * 7 + k) % 100) / 100.0 AS DECIMAL(6, 2)) AS nits_score,
-               o_orderdate AS mysql_row_created_at
+               o_orderdate AS row_created_at
         FROM orders JOIN (VALUES (0), (1)) c(k) ON k = 0 OR o_orderpriority = '4-NOT SPECIFIED'
         WHERE o_orderpriority IN ('2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED')""",
     "device_classes": """
@@ -136,6 +136,7 @@ VIEWS = {
         UNION ALL SELECT make_date(yr, 7, 14), 'SummerDay', lower(pos), 1 FROM y WHERE n % 2 = 0
         UNION ALL SELECT make_date(yr, 5, 9), 'SpringDay', lower(pos), 1 FROM y WHERE n % 4 = 1
         UNION ALL SELECT make_date(yr, 3, 1) + n, 'LocalDay' || n, lower(pos), 1 FROM y
+        UNION ALL SELECT make_date(yr, 12, 24), 'FamilyDay', lower(pos), 1 FROM y WHERE n < 3
         UNION ALL SELECT make_date(yr, 6, 21), 'Observance', lower(pos), 2 FROM y""",
 }
 

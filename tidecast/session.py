@@ -67,7 +67,7 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder for written intermediate results that every executor can reach.
 
     It comes from ``spark.checkpoint.dir``. Only a local session may fall back to a
-    temporary folder.
+    temporary folder, which goes when Python ends.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
@@ -76,6 +76,7 @@ def shared_folder(spark: SparkSession) -> str:
             if not context.master.startswith("local"):
                 raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
             folder = tempfile.mkdtemp(prefix="tidecast-checkpoint-")
+            atexit.register(shutil.rmtree, folder, ignore_errors=True)
         context.setCheckpointDir(folder)
     return context.getCheckpointDir()
 

@@ -79,9 +79,11 @@ def preferred_scores(df: DataFrame, start: str, end: str) -> DataFrame:
     )
 
 
-def fallback_scores(df: DataFrame, start: str, end: str) -> DataFrame:
+def fallback_scores(
+    df: DataFrame, start: str, end: str, created_at: str = "row_created_at"
+) -> DataFrame:
     """Scores taken after booking, by the day their row was created."""
-    return timestamp_date_scan(df, "mysql_row_created_at", start, end).select(
+    return timestamp_date_scan(df, created_at, start, end).select(
         "hotelreservation_id", F.col("nits_score").alias("fallback")
     )
 

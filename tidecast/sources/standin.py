@@ -31,8 +31,6 @@ SCHEMAS = {
     "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,"
     " l_quantity double, l_extendedprice double, l_discount double, l_tax double,"
     " l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
-    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string,"
-    " value double, props string",
 }
 
 ROLES = [
@@ -163,7 +161,7 @@ class Tables(Mapping):
         return rows.selectExpr(
             "string(o_orderkey) AS hotelreservation_id",
             "((o_orderkey * 7 + copy) % 100) / 100D AS nits_score",
-            "o_orderdate AS mysql_row_created_at",
+            "o_orderdate AS row_created_at",
         )
 
     @cached_property
@@ -269,6 +267,8 @@ class Tables(Mapping):
             ("'SpringDay'", "make_date(yr, 5, 9)", 1, "campaign_id % 4 = 1"),
             ("concat('LocalDay', campaign_id)", "date_add(make_date(yr, 3, 1), campaign_id)", 1,
              "true"),
+            # falls on the same day as another
+            ("'FamilyDay'", "make_date(yr, 12, 24)", 1, "campaign_id < 3"),
             ("'Observance'", "make_date(yr, 6, 21)", 2, "true"),
         ]
         structs = ", ".join(
