@@ -56,6 +56,8 @@ class DigestIndex:
         return cls(spark, table, buckets)
 
     def rows(self) -> DataFrame:
+        """All entries, also those that another handle has appended since."""
+        self.spark.catalog.refreshTable(self.table)
         return self.spark.table(self.table)
 
     def append(self, found: DataFrame) -> DataFrame:
