@@ -148,3 +148,18 @@ def test_command_line(spark, tables, tmp_path):
     assert result.prediction.count() == 28
     lines = spark.read.option("header", True).csv(str(tmp_path / "out" / "daily_prediction"))
     assert lines.columns == ["series_id", "ds", "yhat"] and lines.count() == 28
+
+
+def test_transformed_job_predicts_on_the_given_scale(spark):
+    rows = spark.sql(
+        "SELECT 'a' AS series_id, explode(sequence(date'2001-01-01', date'2001-06-30')) AS ds"
+    ).withColumn("y", F.lit(1000.0) + F.weekday("ds"))
+    holidays = spark.createDataFrame(
+        [], "ds date, holiday string, lower_window int, upper_window int"
+    )
+    for kind, lam in (("log", None), ("box_cox", 0.5)):
+        made = fj.forecast_series(
+            rows, holidays,
+            options(optimizer="default", horizon=7, transform=kind, box_cox_lambda=lam),
+        )
+        assert all(990 < r["yhat"] < 1017 for r in made.prediction.collect())

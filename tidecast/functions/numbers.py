@@ -33,6 +33,19 @@ def box_cox(y: Column, lam: float) -> Column:
     return F.ln(y) if lam == 0 else (F.pow(y, F.lit(float(lam))) - F.lit(1.0)) / F.lit(float(lam))
 
 
+def inverse_log(value: Column) -> Column:
+    """The y of a log transform."""
+    return F.exp(value)
+
+
+def inverse_box_cox(value: Column, lam: float) -> Column:
+    """The y of a Box-Cox transform; 0 below the range that the transform can reach."""
+    if lam == 0:
+        return F.exp(value)
+    inside = value * F.lit(float(lam)) + F.lit(1.0)
+    return F.pow(F.greatest(inside, F.lit(0.0)), F.lit(1.0 / lam))
+
+
 def round_half_even(value: Column, digits: int = 0) -> Column:
     """M8: banker's rounding, as forecasts are rounded."""
     return F.bround(value, digits)

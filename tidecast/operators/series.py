@@ -54,6 +54,19 @@ def transform(series: DataFrame, kind: str | None = None, lam: float | None = No
     raise ValueError(f"unknown transform {kind!r}")
 
 
+def transform_back(
+    forecast: DataFrame, columns: list[str], kind: str | None = None, lam: float | None = None
+) -> DataFrame:
+    """R1 backwards: the columns on the scale of y before ``transform``."""
+    if kind is None:
+        return forecast
+    if kind == "log":
+        return forecast.withColumns({c: nm.inverse_log(F.col(c)) for c in columns})
+    if kind == "box_cox" and lam is not None:
+        return forecast.withColumns({c: nm.inverse_box_cox(F.col(c), lam) for c in columns})
+    raise ValueError(f"no inverse for {kind!r} with lambda {lam}")
+
+
 def bounds(series: DataFrame) -> DataFrame:
     """One row per series with its cap and floor."""
     return series.groupBy("series_id").agg(

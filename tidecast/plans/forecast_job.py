@@ -55,6 +55,8 @@ class ForecastOptions:
     yearly: str = "auto"
     weekly: str = "auto"
     baseline: af.Settings | None = None
+    transform: str | None = None
+    box_cox_lambda: float | None = None
 
     @property
     def seasons(self) -> af.Seasons:
@@ -139,9 +141,12 @@ def forecast_series(
 
     ``series``: (series_id, ds, y). Bounds come from the whole series, as the final model
     needs them for days to come. The holdout score looks at its last ``horizon`` days when
-    the horizon is shorter than the holdout.
+    the horizon is shorter than the holdout. With a transform, fits, scores and components
+    are on the transformed scale, and the prediction is back on that of ``y``.
     """
     keys = ["series_id"]
+    scale = (options.transform, options.box_cox_lambda)
+    given, series = series, ts.transform(series, *scale)
     frame = cut_lineage(_frame(series, options, holidays, regressor))
     split = ts.tail_split(series, options.holdout)
     scored = split.where(F.col("is_train") | (F.col("rn") >= F.col("n") - options.horizon))
@@ -192,7 +197,7 @@ def forecast_series(
         )
     )
     to_come = fitted.join(last, "series_id").where(F.col("ds") > F.col("last_ds"))
-    prediction = rp.daily_prediction(to_come)
+    prediction = rp.daily_prediction(ts.transform_back(to_come, ["yhat"], *scale))
     components = fitted.select("series_id", "ds", *fa.VALUES, "status")
     if "regressor_known" in frame.columns:
         known = frame.select("series_id", "ds", "regressor_known")
@@ -202,7 +207,7 @@ def forecast_series(
         weekly=rp.weekly_totals(prediction),
         components=components,
         selection=selection,
-        history=series,
+        history=given,
     )
 
 

@@ -328,6 +328,21 @@ def m7_boxcox(t: Tables):
     return rounded(series, "transformed", digits=6)
 
 
+@query(
+    "r1_transform_round_trip",
+    f"""SELECT series_id, {DS}, kind, round(y, 4) AS y
+        FROM series_all, (VALUES ('log'), ('box_cox')) k(kind)""",
+)
+def r1_transform_round_trip(t: Tables):
+    """R1 with M6 / M7, there and back."""
+    both = []
+    for kind, lam in (("log", None), ("box_cox", 0.25)):
+        there = ts.transform(series_all(t), kind, lam)
+        back = ts.transform_back(there, ["y"], kind, lam)
+        both.append(back.select("series_id", "ds", F.lit(kind).alias("kind"), "y"))
+    return rounded(both[0].unionByName(both[1]), "y", digits=4)
+
+
 @query(
     "m8_bround",
     "SELECT id, CAST(round_even(CAST(roomnights / 2.0 AS DOUBLE), 0) AS DOUBLE) AS half"
