@@ -30,22 +30,27 @@ BLANK = "▁"
 def merge(symbols: list[str], scores: dict[str, float]) -> list[str]:
     """Join the neighbours whose union has the best score, the leftmost first, while any has."""
     symbols = list(symbols)
-    while len(symbols) > 1:
-        best = max(
-            range(len(symbols) - 1),
-            key=lambda i: (scores.get(symbols[i] + symbols[i + 1], -np.inf), -i),
-        )
-        joined = symbols[best] + symbols[best + 1]
-        if joined not in scores:
+    none = -np.inf
+    found = [scores.get(a + b, none) for a, b in zip(symbols, symbols[1:], strict=False)]
+    while found:
+        best = max(found)
+        if best == none:
             break
-        symbols[best : best + 2] = [joined]
+        at = found.index(best)
+        symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
+        del found[at]
+        # Only the neighbours of the new symbol have other unions now.
+        if at < len(found):
+            found[at] = scores.get(symbols[at] + symbols[at + 1], none)
+        if at:
+            found[at - 1] = scores.get(symbols[at - 1] + symbols[at], none)
     return symbols
 
 
 class PieceCoder:
     """Ids of texts and texts of ids for one model file."""
 
-    def __init__(self, path: str, cache_size: int = 2_000_000):
+    def __init__(self, path: str, cache_size: int = 5_000_000):
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
