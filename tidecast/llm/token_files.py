@@ -65,7 +65,7 @@ def encode_levels(ids: np.ndarray) -> list[Level]:
         bits = rest >> 8 > 0
         more = np.packbits(bits, bitorder="little")
         ones = np.add.reduceat(bits, np.arange(0, len(bits), BLOCK_BITS)) if len(bits) else []
-        ranks = np.concatenate([[0], np.cumsum(ones)]).astype(np.uint64)
+        ranks = np.concatenate([[0], np.cumsum(ones)]).astype(np.uint32)
         levels.append(Level((rest & 255).astype(np.uint8), more, ranks))
         rest = rest[bits] >> 8
     return levels

@@ -69,7 +69,7 @@ class Encoder:
         self,
         path: str,
         end_id: int | None = None,
-        cache_size: int = 2_000_000,
+        cache_size: int = 5_000_000,
         special_is_text: bool = False,
     ):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
