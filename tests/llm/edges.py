@@ -7,6 +7,7 @@ EDGE_TEXTS = [
     None, "", " ", "\t\n\x0b\x0c\r", "a", "A", "a  b", "a b", "a\tb", " ", "é", "İstanbul ΣΑΣ",
     "日本語 テキスト", "😀 ok", "\x00", "<|endoftext|>", "x <|endoftext|> y<|startoftext|>", "▁ ▁", "don't we'll",
     "  lead", "trail  ", "a\n\n  b", "1234 5,678.9", LONG, LONG, "a b",
+    "a \xa0 \xa0 b", "a \xa0 \xa0 \xa0 \xa0 b", "x" + " \xa0" * 9 + "y" + "\xa0 " * 9, "\xa0 \n \xa0 \xa0  é",
 ]
 EDGE_ROWS = list(enumerate(EDGE_TEXTS))
 

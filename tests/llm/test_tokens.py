@@ -69,6 +69,24 @@ def test_cached_words_give_the_ids_of_whole_texts(encoders, path):
         assert np.frombuffer(encoders[path].encode(text), "<u4").tolist() == library_ids(path, text)
 
 
+def test_runs_that_a_token_spans_are_not_cut(encoders, counter):
+    assert encoders[BYTE].runs == ["  ", "\xa0 "]
+
+    @settings(max_examples=200, deadline=None)
+    @given(st.text(alphabet=st.sampled_from(list(" \xa0 \xa0 \xa0\nab'sà")), max_size=40))
+    def check(text):
+        for path in (BYTE, WORD):
+            assert np.frombuffer(encoders[path].encode(text), "<u4").tolist() == library_ids(path, text)
+        want = [len(library_ids(BYTE, text[:i])) for i in range(len(text) + 1)]
+        assert counter.prefix_counts(text).tolist() == want
+        for limit in (0, 1, 5):
+            assert counter.fitting(text, limit) == (want[-1], max(i for i, n in enumerate(want) if n <= limit))
+
+    check()
+    for text in ("a" + " \xa0" * n + " b" for n in range(1, 20)):
+        assert np.frombuffer(encoders[BYTE].encode(text), "<u4").tolist() == library_ids(BYTE, text)
+
+
 def test_word_cache_forgets_what_is_old():
     cache = WordCache(10)
     for k in range(50):

@@ -2,8 +2,8 @@
 
 The vocabulary's split pattern cuts a text into parts; within a part the prefix table links
 each prefix to the one before its last token, so counts follow without encoding any prefix.
-Counts of parts add up. A text is cut in front of blanks, distinct pieces repeat, and their
-totals are kept in a bounded cache.
+Counts of parts add up. A text is cut in front of blanks that no token joins to what is before
+them, distinct pieces repeat, and their totals are kept in a bounded cache.
 
 Defined results: a null or empty text has 0 bytes and 0 tokens; special strings inside a text
 count as the library counts them by default; rows that repeat are each answered; an empty
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 
 from tidecast.llm.common import chunks, prepare, texts_of
 from tidecast.llm.prefix_table import PrefixTable
-from tidecast.llm.tokens import BLANKS, PLAIN, TO_CHARACTERS, Encoder, WordCache
+from tidecast.llm.tokens import PLAIN, TO_CHARACTERS, Encoder, WordCache
 from tidecast.session import ship_package
 
 CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
@@ -69,7 +69,7 @@ class TokenCounter(Encoder):
         return sum(map(self.part_total, self.cut(piece)))
 
     def piece_counts(self, piece: str) -> list[int]:
-        """Counts of the prefixes of 0..len characters of a piece (blanks, then no blank)."""
+        """Counts of the prefixes of 0..len characters of a piece, as ``cuts`` makes it."""
         if any(s in piece for s in self.special):
             # Up to its last character a special string is ordinary text.
             return [
@@ -98,8 +98,8 @@ class TokenCounter(Encoder):
         return out
 
     def pieces(self, text: str) -> list[str]:
-        if "  " in text:
-            return BLANKS.findall(text)
+        if self.has_runs(text):
+            return self.cuts.findall(text)
         first, *words = text.split(" ")
         return [first, *[" " + word for word in words]]
 
@@ -108,8 +108,8 @@ class TokenCounter(Encoder):
             cache.new[word] = self.piece_total(lead + word)
 
     def piece_totals(self, text: str) -> list[int]:
-        if "  " in text:
-            words = BLANKS.findall(text)
+        if self.has_runs(text):
+            words = self.cuts.findall(text)
             self.fill_totals(self.first, words, "")
             return list(map(self.first.new.__getitem__, words))
         first, *words = text.split(" ")

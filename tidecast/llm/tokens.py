@@ -1,13 +1,16 @@
 """Token ids of whole texts from the tokenizers library, fast through a bounded word cache.
 
-Both vocabularies split a text before any merge, and never join a non-blank character with a
-following blank. So a text may be cut in front of blanks and each piece encoded alone, with
-the ids of the whole text as result. Pieces repeat (words do), so each distinct one goes
-through the library once and its ids are kept, in two generations of bounded size.
+Both vocabularies split a text before any merge, so a blank can share a token with the
+character before it only inside a run of white space. Few tokens do that (runs of blank and
+no-break space do); which characters they join is read from the vocabulary. In front of all
+other blanks a text may be cut and each piece encoded alone, with the ids of the whole text as
+result. Pieces repeat (words do), so each distinct one goes through the library once and its
+ids are kept, in two generations of bounded size.
 """
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
 from collections.abc import Iterable
@@ -35,6 +38,25 @@ def byte_characters() -> list[str]:
 TO_CHARACTERS = {b: c for b, c in enumerate(byte_characters())}
 
 
+def joined_to_blanks(tokens: Iterable[str]) -> list[str]:
+    """White space, other than blanks, that a byte-level token joins with a following blank.
+
+    Tokens are bytes, so each such character whose last byte stands before a blank counts.
+    """
+    blank = TO_CHARACTERS[32]
+    ends = {c for t in tokens for c, after in itertools.pairwise(t) if after == blank != c}
+    spaces = (chr(i) for i in range(0x10000) if chr(i).isspace() and chr(i) != " ")
+    return [c for c in spaces if TO_CHARACTERS[c.encode()[-1]] in ends]
+
+
+def cut_pattern(joined: Iterable[str]) -> re.Pattern:
+    """Like BLANKS, but without a cut between one of ``joined`` and a blank."""
+    kept = "".join(map(re.escape, joined))
+    if not kept:
+        return BLANKS
+    return re.compile(rf" *[^ ]+(?:(?<=[{kept}]) +[^ ]+)*(?:(?<=[{kept}]) +)?| +")
+
+
 class WordCache:
     """word -> value in two generations: what was not used for a while falls out.
 
@@ -81,6 +103,10 @@ class Encoder:
         # Only the byte-level vocabulary keeps blanks; the other one drops them.
         self.blanks = self.library.normalizer is None
         self.pattern = regex.compile(BYTE_PATTERN if self.blanks else WORD_PATTERN)
+        joined = joined_to_blanks(self.library.get_vocab(with_added_tokens=False)) if self.blanks else []
+        self.cuts = cut_pattern(joined)
+        # A text without any of these is cut in front of every blank.
+        self.runs = ["  ", *(c + " " for c in joined)]
         self.library.encode_special_tokens = special_is_text
         self.special = [] if special_is_text else [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.first, self.later = WordCache(cache_size // 8), WordCache(cache_size)
@@ -115,10 +141,13 @@ class Encoder:
                 for word, x in zip(odd, found, strict=True)
             )
 
+    def has_runs(self, text: str) -> bool:
+        return any(run in text for run in self.runs)
+
     def encode(self, text: str) -> bytes:
         """The ids of one text, with the end id."""
-        if self.blanks and "  " in text:
-            words = BLANKS.findall(text)
+        if self.blanks and self.has_runs(text):
+            words = self.cuts.findall(text)
             self.fill(self.first, words, "")
             return b"".join(map(self.first.new.__getitem__, words)) + self.end
         first, *words = text.split(" ")
