@@ -51,6 +51,23 @@ def test_language_stage_drops_only_texts_without_a_letter(spark):
     assert kept.columns == corpus_pipeline.COLUMNS
 
 
+def test_language_stage_keeps_an_unlabelled_corpus(spark):
+    docs = documents(spark, [t for _, t in EDGE_ROWS]).withColumn("lang", F.lit(None).cast("string"))
+    kept = corpus_pipeline.drop_unknown_language(spark, docs, SF)
+    assert ids(kept) == [i for i, t in EDGE_ROWS if re.search(r"[^\W\d_]", t or "")]
+
+
+def test_language_stage_drops_what_no_learned_language_fits(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select(corpus_pipeline.COLUMNS)
+    foreign = "на дворе трава на траве дрова не руби дрова на траве двора " * 5
+    rows = [(-1, foreign, None, "s", len(foreign)), (-2, "ok да", None, "s", 5)]
+    kept = corpus_pipeline.drop_unknown_language(
+        spark, docs.unionByName(spark.createDataFrame(rows, docs.schema)), SF
+    )
+    lettered = docs.where(F.col("text").rlike(r"\p{L}"))
+    assert ids(kept) == sorted([-2, *ids(lettered)])
+
+
 def test_toxic_stage_follows_the_scores(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     kept = corpus_pipeline.drop_toxic(spark, docs, SF)

@@ -5,7 +5,9 @@ may be learned from. A document's trigrams are taken as drawn from a mixture of
 expectation-maximisation finds its proportions. The languages are then ranked by proportion,
 and the set of the first k is chosen whose likelihood, less a penalty for each language, is
 best; k rises while any document gains. The prediction is the language with the largest
-proportion in the chosen set, and the score is that proportion.
+proportion in the chosen set, and the score is that proportion. ``fit`` says how well the chosen
+set explains the text: the mean log likelihood of a trigram, above that of drawing from all
+buckets alike. It is null if nothing could be learned or the text has fewer than LEAST_TRIGRAMS.
 
 Defined results: ``und`` with score 0 for null texts and texts without a letter, and for every
 text if nothing could be learned; ties go to the first language by name; rows that repeat are
@@ -32,6 +34,8 @@ ROUNDS = 15
 # trigrams share bytes, so their likelihoods overstate what a language adds.
 PENALTY = 3.0
 UNKNOWN = "und"
+# Shorter texts do not tell how well a language fits them.
+LEAST_TRIGRAMS = 100
 
 _FOLDED = np.arange(256, dtype=np.uint32)
 _FOLDED[65:91] += 32
@@ -117,10 +121,14 @@ class LanguageMixture:
 
     def proportions(self, texts: pa.Array) -> np.ndarray:
         """Proportions in the chosen set, a row per text; all 0 for texts without trigrams."""
-        out = np.zeros((len(texts), len(self.languages)))
+        return self.fitted(texts)[0]
+
+    def fitted(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Proportions, and how well they fit each text; NaN for short texts."""
+        out, fits = np.zeros((len(texts), len(self.languages))), np.full(len(texts), np.nan)
         doc, bucket = trigrams(texts)
         if not len(doc):
-            return out
+            return out, fits
         both, n = np.unique(doc * BUCKETS + bucket, return_counts=True)
         doc, p = both // BUCKETS, self.chances[both % BUCKETS]
         rows, starts = np.unique(doc, return_index=True)
@@ -128,7 +136,7 @@ class LanguageMixture:
         even = np.full((len(rows), len(self.languages)), 1 / len(self.languages))
         shares, _ = self.fit(p, n, starts, size, even)
         order = np.argsort(-shares, axis=1, kind="stable")
-        best = np.full(len(rows), -np.inf)
+        best, reached = np.full(len(rows), -np.inf), np.zeros(len(rows))
         chosen = np.zeros_like(shares)
         for k in range(1, len(self.languages) + 1):
             within = np.zeros_like(shares)
@@ -139,12 +147,14 @@ class LanguageMixture:
             if not better.any():
                 break
             chosen[better], best[better] = own[better], value[better]
+            reached[better] = likely[better]
         out[rows] = chosen
-        return out
+        fits[rows] = np.where(size >= LEAST_TRIGRAMS, reached / size + np.log(BUCKETS), np.nan)
+        return out, fits
 
 
 def predict_languages(docs: DataFrame, counts: dict[str, np.ndarray], columns: list[str]) -> DataFrame:
-    """The given columns, ``lang_pred`` and ``score`` for every row, from its whole text."""
+    """The given columns, ``lang_pred``, ``score`` and ``fit`` for every row, from its whole text."""
     spark = prepare(docs.sparkSession)
     ship_package(spark)
     # One array of BUCKETS counts per language.
@@ -161,16 +171,22 @@ def predict_languages(docs: DataFrame, counts: dict[str, np.ndarray], columns: l
         for batch in chunks(batches, "scored_text"):
             letter = batch.column("scored_letter").to_numpy(zero_copy_only=False)
             langs, score = np.full(batch.num_rows, UNKNOWN, object), np.zeros(batch.num_rows)
+            fits = np.full(batch.num_rows, np.nan)
             if own:
-                shares = own.proportions(batch.column("scored_text"))
+                shares, fits = own.fitted(batch.column("scored_text"))
                 # A letter too short for a trigram fits all languages alike.
                 shares[letter & (shares.sum(axis=1) == 0)] = 1 / len(own.languages)
                 first = shares.argmax(axis=1)
                 langs[letter] = np.array(own.languages, object)[first[letter]]
                 score[letter] = shares.max(axis=1)[letter].clip(0, 1)
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in columns], pa.array(langs, pa.string()), pa.array(score)],
-                names=[*columns, "lang_pred", "score"],
+                [
+                    *[batch.column(c) for c in columns],
+                    pa.array(langs, pa.string()),
+                    pa.array(score),
+                    pa.array(fits, from_pandas=True),
+                ],
+                names=[*columns, "lang_pred", "score", "fit"],
             )
 
-    return slim.mapInArrow(run, f"{kinds}, lang_pred string, score double")
+    return slim.mapInArrow(run, f"{kinds}, lang_pred string, score double, fit double")
