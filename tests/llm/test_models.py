@@ -52,6 +52,21 @@ def test_machine_learns_what_only_a_pair_tells():
     assert right.mean() > 0.95
 
 
+def test_fit_learns_what_only_a_pair_tells(spark):
+    """The rows of the test above as texts, through the choice of terms."""
+    rnd = random.Random(1)
+    rows = []
+    for i in range(1200):
+        a, b = rnd.random() < 0.5, rnd.random() < 0.5
+        words = ["ab"] * a + ["cd"] * b + ["vwxyz"[rnd.randrange(5)]]
+        rows.append((i, " ".join(words), int(a == b)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    settings = FactorSettings(rate=0.2, epochs=20)  # as above
+    model = fit_toxicity(docs.drop("toxic"), docs.drop("text"), F.lit(True), settings)
+    got = {r.doc_id: r.score for r in score_toxicity(docs, model, ["doc_id"]).collect()}
+    assert np.mean([(got[i] > 0.5) == bool(y) for i, _, y in rows]) > 0.95
+
+
 def test_terms_are_distinct_and_fold_case():
     doc, bucket = term_buckets(pa.array(["Idiot idiot", "IDIOT!", None, ""]))
     assert set(bucket[doc == 0]) == set(bucket[doc == 1]) and set(doc) == {0, 1}

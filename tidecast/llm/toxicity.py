@@ -10,7 +10,8 @@ The machine is fitted by Spark in one task on a bounded sample of labelled rows:
 taken by a hash of its id with a chance of SAMPLE_ROWS / (number of labelled rows). The model
 has at most one weight and vector per bucket, so its size is bounded too.
 
-Only terms that occur clearly more or less often in toxic documents are learned.
+Learned are terms that occur clearly more or less often in toxic documents, and terms of which
+some pair is clearly more, or clearly less, toxic than either of the two and both odds together.
 
 Defined results: null and empty texts have no terms and get the score of the intercept; rows
 without an id are scored and never learned from; several labels of one document count as the
@@ -44,8 +45,8 @@ class FactorSettings:
     rate: float = 0.1
     shrink: float = 1e-3
     # Terms are learned if they are in so many sampled documents, and if their shares in toxic
-    # and other documents differ by so many standard errors: rare words would be learned by
-    # heart otherwise.
+    # and other documents, or those of a pair, differ by so many standard errors: rare words
+    # would be learned by heart otherwise.
     least_documents: int = 4
     least_deviation: float = 4.0
     seed: int = 1
@@ -158,6 +159,59 @@ def telling_terms(docs: list[np.ndarray], toxic: np.ndarray, settings: FactorSet
     )
 
 
+def paired_terms(docs: list[np.ndarray], toxic: np.ndarray, settings: FactorSettings) -> np.ndarray:
+    """Buckets of terms that tell in a pair what neither of the two, nor their sum, tells.
+
+    The evidence of a pair in n documents is n times the divergence of its toxic share from the
+    nearest share that its terms explain. It must reach that of ``least_deviation`` for each of
+    the many partners a term has. All pairs are counted, by products of blocks of terms; left
+    out before are only terms whose own counts are too small for any pair to reach it.
+    """
+    found = np.bincount(np.concatenate(docs), minlength=BUCKETS)
+    bad = np.bincount(np.concatenate(docs), np.repeat(toxic, [len(d) for d in docs]), BUCKETS)
+    rate = (toxic.sum() + 0.5) / (len(toxic) + 1)
+    share = (bad + rate) / (found + 1)
+    known = found >= settings.least_documents
+    bound = settings.least_deviation**2 / 2 + np.log(max(known.sum(), 1))
+    within = np.maximum(-bad * np.log(share), -(found - bad) * np.log1p(-share)) >= bound
+    terms = np.flatnonzero(known & within)
+    if not len(terms):
+        return terms
+    place = np.full(BUCKETS, -1, np.int64)
+    place[terms] = np.arange(len(terms))
+    # Toxic documents first, so that a part of documents is nearly always of one kind.
+    rows = [place[docs[i]] for i in np.argsort(-toxic, kind="stable")]
+    rows = [r[r >= 0] for r in rows]
+    n_toxic, share = int(toxic.sum()), share[terms]
+    odds = np.log(share / (1 - share))
+    base = np.log(rate / (1 - rate))
+    step = max((1 << 24) // len(terms), 64)
+    parts = [(0, n_toxic, 1), (n_toxic, len(rows), 0)]
+    parts = [(a, min(a + step, high), k) for low, high, k in parts for a in range(low, high, step)]
+    telling = np.zeros(len(terms), bool)
+    for low in range(0, len(terms), step):
+        high = min(low + step, len(terms))
+        # Documents of either kind that hold both terms.
+        counts = np.zeros((2, high - low, len(terms) - low), np.float32)
+        for a, b, kind in parts:
+            held = np.zeros((b - a, len(terms)), np.float32)
+            held[np.repeat(np.arange(b - a), [len(r) for r in rows[a:b]]), np.concatenate(rows[a:b])] = 1
+            counts[kind] += held[:, low:high].T @ held[:, low:]
+        one, other = np.nonzero(np.triu(counts.sum(axis=0) >= settings.least_documents, 1))
+        good, ill = counts[0, one, other].astype(np.float64), counts[1, one, other].astype(np.float64)
+        one, other, seen = one + low, other + low, ill / (good + ill)
+        both = logistic(odds[one] + odds[other] - base)
+        least = np.minimum(np.minimum(share[one], share[other]), both)
+        most = np.maximum(np.maximum(share[one], share[other]), both)
+        near = np.clip(seen, least, most)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            evidence = np.where(ill > 0, ill * np.log(seen / near), 0)
+            evidence += np.where(good > 0, good * np.log((1 - seen) / (1 - near)), 0)
+        hit = evidence >= bound
+        telling[one[hit]] = telling[other[hit]] = True
+    return terms[telling]
+
+
 def logistic(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
@@ -203,7 +257,10 @@ def fit_toxicity(
         if not labels_:
             return
         toxic = np.array(labels_, np.float64).clip(0, 1)
-        model = FactorizationMachine(telling_terms(docs_, toxic, settings), settings)
+        learned = np.union1d(
+            telling_terms(docs_, toxic, settings), paired_terms(docs_, toxic, settings)
+        )
+        model = FactorizationMachine(learned, settings)
         model.fit(docs_, toxic)
         yield pa.RecordBatch.from_arrays([pa.array([model.packed()], pa.binary())], names=["model"])
 
