@@ -122,6 +122,21 @@ def test_mixture_recovers_proportions():
     assert shares[1].tolist() == [1, 0, 0] and not shares[2:].any()
 
 
+def test_proportions_depend_on_the_text_alone():
+    """One of the texts gains nothing from two languages, but from more, as others beside it do."""
+    rng = np.random.default_rng(9)
+    words = ["".join(rng.choice(list("abcdefgh"), 4)) for _ in range(12)]
+    counts = {}
+    for lang in "pqrs":
+        text = " ".join(rng.choice(words, 200, p=rng.dirichlet(np.full(12, 0.3))))
+        counts[lang] = np.bincount(trigrams(pa.array([text]))[1], minlength=1 << 14)
+    texts = [" ".join(rng.choice(words, 60)) for _ in range(8)]
+    mixture = LanguageMixture(counts)
+    together = mixture.proportions(pa.array(texts))
+    for text, shares in zip(texts, together, strict=True):
+        assert np.allclose(mixture.proportions(pa.array([text]))[0], shares)
+
+
 def test_language_edge_cases(spark):
     docs = edge_table(spark).withColumn("lang", F.when(F.col("doc_id") % 2 == 0, "xx").otherwise(F.lit("yy")))
     counts = learn_languages(docs, F.lit(True))

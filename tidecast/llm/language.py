@@ -4,7 +4,7 @@ Each language has a distribution over hashed byte trigrams, counted over all doc
 may be learned from. A document's trigrams are taken as drawn from a mixture of languages;
 expectation-maximisation finds its proportions. The languages are then ranked by proportion,
 and the set of the first k is chosen whose likelihood, less a penalty for each language, is
-best; k rises while any document gains. The prediction is the language with the largest
+best; every k is tried, so the result depends on the text alone. The prediction is the language with the largest
 proportion in the chosen set, and the score is that proportion. ``fit`` says how well the chosen
 set explains the text: the mean log likelihood of a trigram, above that of drawing from all
 buckets alike. It is null if nothing could be learned or the text has fewer than LEAST_TRIGRAMS.
@@ -144,8 +144,6 @@ class LanguageMixture:
             own, likely = self.fit(p, n, starts, size, within)
             value = likely - PENALTY * (k - 1) * np.log(size + 1)
             better = value > best
-            if not better.any():
-                break
             chosen[better], best[better] = own[better], value[better]
             reached[better] = likely[better]
         out[rows] = chosen
