@@ -133,3 +133,15 @@ def test_long_conversation_becomes_several_rows():
         assert (row["ids"][0] == own.first_control) == (part == 0)
         reading.add(own, row)
     assert reading.n_turns == 6 and reading.loss_chars == len("text 1text 3text 5")
+
+
+def test_large_components_are_scored_exactly():
+    rng = np.random.default_rng(3)
+    for size in (1 << 12, 1 << 20, 1 << 27):
+        vectors = size + rng.integers(-3, 4, (600, 64))
+        vectors[::7] *= rng.choice([-1, 1], 64)
+        index = ImpactIndex(np.arange(600), vectors)
+        for i in range(0, 600, 60):
+            exact = [(sum(int(a) * int(b) for a, b in zip(v, vectors[i])), j) for j, v in enumerate(vectors) if j != i]
+            want = sorted(exact, key=lambda x: (-x[0], x[1]))[:5]
+            assert index.search(i, vectors[i], 5) == want

@@ -45,7 +45,7 @@ class ImpactIndex:
     """The index of one block of vectors of whole numbers."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
-        self.ids, self.vectors = ids, vectors.astype(np.float64)
+        self.ids, self.vectors = ids, vectors
         low, high = vectors.min(axis=0), vectors.max(axis=0)
         self.step = (high - low) // LEVELS + 1
         # For positive and negative components: levels, order by falling level, and how many
@@ -68,6 +68,7 @@ class ImpactIndex:
         # All segments by falling contribution: level l of dimension d is worth l * unit[d].
         worth = np.multiply.outer(np.arange(LEVELS), unit)
         ranked = np.sort(worth, axis=None)[::-1]
+        slack = 8 * (len(dims) + LEVELS) * np.finfo(np.float64).eps
         score = np.zeros(len(self.ids))
         others = self.ids != query_id
         levels = np.where(query < 0, self.sides[1][0], self.sides[0][0])[:, dims]
@@ -88,15 +89,16 @@ class ImpactIndex:
             lower = score[possible]
             kth = np.partition(lower, -k)[-k]
             # A vector met in a dimension lacks the rounding there; one not met has a level
-            # below top, so an impact of less than top * step. Single precision is off by
-            # less than the 1 that is added.
+            # below top, so an impact of less than top * step. Sums are off by less than
+            # their size times ``slack``.
             rounding, below = size * (self.step[dims] - 1), np.maximum(unit * top - size, 0)
-            unmet = (levels[possible] < top.astype(np.int8)).astype(np.float32)
-            rest = unmet @ (below - rounding).astype(np.float32) + rounding.sum() + 1
-            possible = possible[lower + rest >= kth]
+            unmet = (levels[possible] < top.astype(np.int8)).astype(np.float64)
+            rest = unmet @ (below - rounding) + rounding.sum()
+            margin = 1 + slack * (ranked[0] * len(dims) + np.abs(below - rounding).sum() + rounding.sum())
+            possible = possible[lower + rest + margin >= kth]
             if len(possible) <= max(FEW, k):
                 break
-        exact = (self.vectors[possible] @ query).astype(np.int64)
+        exact = self.vectors[possible] @ query
         found = np.lexsort((self.ids[possible], -exact))[:k]
         return list(zip(exact[found].tolist(), self.ids[possible][found].tolist(), strict=True))
 
