@@ -172,3 +172,12 @@ def test_ties_keep_the_baseline_and_the_first_set(spark):
         [("A", 2, 1.0), ("A", 1, 1.0), ("A", 0, 9.0)], "series_id string, param_id int, smape double"
     )
     assert tn.best_params(scores).first()["param_id"] == 1
+
+
+@pytest.mark.parametrize("kind, lam", [("log", None), ("box_cox", 0.0)])
+def test_a_day_without_a_transform_is_an_error(spark, kind, lam):
+    days = spark.sql("select 's' series_id, date'2020-01-01' ds, cast(y as double) y from values (0), (2), (null) t(y)")
+    with pytest.raises(Exception, match="zero or negative y: s 2020-01-01"):
+        ts.transform(days, kind, lam).collect()
+    assert ts.transform(days.where("y is null or y > 0"), kind, lam).where("y is null").count() == 1
+    assert ts.transform(days, "box_cox", 0.5).where("y is null").count() == 1

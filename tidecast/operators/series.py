@@ -42,15 +42,26 @@ def daily_series(metric: DataFrame, value: str, series_id: Column | None = None)
 
 
 def transform(series: DataFrame, kind: str | None = None, lam: float | None = None) -> DataFrame:
-    """R1 with M6 / M7: optional log or Box-Cox transform of y."""
+    """R1 with M6 / M7: optional log or Box-Cox transform of y.
+
+    A day whose y has no transform (negative, or 0 under log or a lambda of 0 or less) raises
+    an error, so that no day falls out of a fit unnoticed; NULL stays NULL.
+    """
+
+    def checked(done: Column, bad: Column) -> Column:
+        where = F.concat_ws(" ", F.col("series_id").cast("string"), F.col("ds").cast("string"))
+        error = F.concat(F.lit(f"no {kind} transform of a zero or negative y: "), where)
+        return F.when(bad, F.raise_error(error).cast("double")).otherwise(done)
+
     if kind is None:
         return series
+    y = F.col("y")
     if kind == "log":
-        return series.withColumn("y", nm.log_transform(F.col("y")))
+        return series.withColumn("y", checked(nm.log_transform(y), y <= 0))
     if kind == "box_cox":
         if lam is None:
             raise ValueError("box_cox needs a lambda")
-        return series.withColumn("y", nm.box_cox(F.col("y"), lam))
+        return series.withColumn("y", checked(nm.box_cox(y, lam), (y <= 0) if lam <= 0 else (y < 0)))
     raise ValueError(f"unknown transform {kind!r}")
 
 
