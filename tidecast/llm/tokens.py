@@ -25,6 +25,8 @@ WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 # Pieces of these characters (up to Latin Extended-A, composed) need no Unicode tables.
 PLAIN = re.compile("[\n -~¡-¬®-įĲ-ľŁ-ňŊ-ž]*")
+# Parts of words whose ids an encoder keeps.
+PARTS = 200_000
 BLANKS = re.compile(r" *[^ ]+| +")
 
 
@@ -102,7 +104,8 @@ class Encoder:
         self.end = b"" if end_id is None else np.uint32(end_id).astype("<u4").tobytes()
         # Only the byte-level vocabulary keeps blanks; the other one drops them.
         self.blanks = self.library.normalizer is None
-        self.pattern = regex.compile(BYTE_PATTERN if self.blanks else WORD_PATTERN)
+        # A blank ends a word: the byte-level pattern puts it before a part, the other one drops it.
+        self.pattern = regex.compile(BYTE_PATTERN if self.blanks else WORD_PATTERN + "| ")
         joined = joined_to_blanks(self.library.get_vocab(with_added_tokens=False)) if self.blanks else []
         self.cuts = cut_pattern(joined)
         # A text without any of these is cut in front of every blank.
@@ -112,26 +115,43 @@ class Encoder:
         self.first, self.later = WordCache(cache_size // 8), WordCache(cache_size)
         self.parts: dict[str, bytes] = {}
 
-    def piece_ids(self, part: str) -> bytes:
-        """Ids of one string that the split pattern leaves whole, from the merge model."""
-        ids = self.parts.get(part)
-        if ids is None:
+    def learn_parts(self, parts: Iterable[str]) -> None:
+        """Ids of strings that the split pattern leaves whole, from the merge model."""
+        if len(self.parts) > PARTS:
+            self.parts.clear()
+        new = list(set(parts).difference(self.parts))
+        ids, ends = [], []
+        for part in new:
             mapped = part.encode().decode("latin-1").translate(TO_CHARACTERS)
-            ids = np.array([t.id for t in self.model.tokenize(mapped)], "<u4").tobytes()
-            if len(self.parts) > 100_000:
-                self.parts.clear()
-            self.parts[part] = ids
-        return ids
+            ids += [t.id for t in self.model.tokenize(mapped)]
+            ends.append(4 * len(ids))
+        raw = np.array(ids, "<u4").tobytes()
+        self.parts.update((p, raw[a:b]) for p, a, b in zip(new, [0, *ends], ends, strict=False))
+
+    def fill_plain(self, cache: WordCache, words: list[str]) -> None:
+        """Words without blanks, each after a blank, split by one call over all of them."""
+        joined = " " + " ".join(words)
+        if not self.blanks:
+            joined = joined.lower()
+        split = self.pattern.findall(joined)
+        self.learn_parts(split if self.blanks else filter(" ".__ne__, split))
+        at, ids = -1, [[] for _ in words]
+        for part in split:
+            if part[0] == " ":
+                at += 1
+                if not self.blanks:
+                    continue
+            ids[at].append(self.parts[part])
+        cache.new.update(zip(words, map(b"".join, ids), strict=True))
 
     def fill(self, cache: WordCache, words: Iterable[str], lead: str) -> None:
-        odd = []
+        plain, odd = [], []
+        after_blank = lead == " " or not self.blanks
         for word in cache.missing(words):
-            piece = lead + word
-            if PLAIN.fullmatch(piece) and not any(s in piece for s in self.special):
-                piece = piece if self.blanks else piece.lower()
-                cache.new[word] = b"".join(map(self.piece_ids, self.pattern.findall(piece)))
-            else:
-                odd.append(word)
+            simple = word and after_blank and PLAIN.fullmatch(word) and " " not in word
+            (plain if simple and not any(s in word for s in self.special) else odd).append(word)
+        if plain:
+            self.fill_plain(cache, plain)
         if odd:
             found = self.library.encode_batch_fast(
                 [lead + word for word in odd], add_special_tokens=False
