@@ -103,13 +103,13 @@ class ImpactIndex:
         return list(zip(exact[found].tolist(), self.ids[possible][found].tolist(), strict=True))
 
 
-def whole_numbers(vectors: DataFrame, vec_id: str, vector: str, scale: int) -> DataFrame:
-    """(vec_id, v): floor(scale * component) of every valid vector."""
+def whole_numbers(vectors: DataFrame, vec_id: str, vector: str, scale: int, *more: str) -> DataFrame:
+    """(vec_id, v): floor(scale * component) of every valid vector; and the columns ``more``."""
     x = F.col(vector)
     bad = F.exists(x, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
     valid = vectors.where(x.isNotNull() & F.col(vec_id).isNotNull()).where(~bad)
     v = F.transform(x, lambda c: F.floor(c.cast("double") * scale).cast("long"))
-    return valid.select(F.col(vec_id).cast("long").alias("vec_id"), v.alias("v"))
+    return valid.select(F.col(vec_id).cast("long").alias("vec_id"), v.alias("v"), *more)
 
 
 def top_k(
