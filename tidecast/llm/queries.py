@@ -12,10 +12,13 @@ from pyspark.sql import functions as F
 from tidecast.llm.chat import format_conversations, read_back
 from tidecast.llm.common import staged, table
 from tidecast.llm.exact_dedup import exact_dedup
+from tidecast.llm.hard_negatives import hard_negatives
 from tidecast.llm.jaccard_join import Similarity, near_duplicates
 from tidecast.llm.language import learn_languages, predict_languages
+from tidecast.llm.license_scan import PHRASES, TEMPLATES, needed, scan_licenses, words_of
 from tidecast.llm.packing import Capacity, cut_pieces, pack
 from tidecast.llm.sentencepiece_table import encode_pieces
+from tidecast.llm.token_alignment import align_tokens
 from tidecast.llm.token_counts import count_tokens
 from tidecast.llm.token_files import token_files
 from tidecast.llm.topk_search import top_k
@@ -117,6 +120,99 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(staged(format_conversations(turns, path), "conversations"), path)
 
 
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = [public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    found = align_tokens(table(spark, sf_dir, "documents"), *paths, digests_only=True)
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, moved)
+
+
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The score is 1 where a phrase stands, else the largest share of a template in a block."""
+    found = scan_licenses(table(spark, sf_dir, "documents"))
+    spoken, met = F.col("places.label"), F.col("blocks.label")
+    listed = [F.array_join(F.array_sort(F.array_distinct(x)), ",") for x in (spoken, F.concat(spoken, met))]
+    n = F.size("places").cast("long")
+    share = F.coalesce(F.array_max("blocks.contained"), F.lit(0.0))
+    return found.select(
+        "doc_id",
+        "n_words",
+        n.alias("n_base"),
+        F.array_min("places.first_word").alias("first_word"),
+        F.array_max("places.first_word").alias("last_word"),
+        listed[0].alias("base_labels"),
+        listed[1].alias("labels"),
+        F.when(n > 0, 1.0).otherwise(share).alias("score"),
+    )
+
+
+def license_sql() -> str:
+    """Sentences, windows of long ones, and the overlap of each with each template's words."""
+    word = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+    templates = ",\n            ".join(
+        f"({k}, '{t.label}', {sorted(set(words_of(t.text)))}, {needed(len(set(words_of(t.text))), t.least)})"
+        for k, t in enumerate(TEMPLATES)
+    )
+    half = max(len(words_of(t.text)) for t in TEMPLATES)
+    places = []
+    for phrase, label in PHRASES.items():
+        steps = enumerate(words_of(phrase))
+        stands = " AND ".join(f"w[i + {k}] = '{one}'" for k, one in steps)
+        places.append(
+            f"list_transform(list_filter(range(1, len(w) + 1), lambda i: {stands}), "
+            f"lambda i: {{'label': '{label}', 'first_word': i - 1}})"
+        )
+    return f"""
+        WITH lowered AS (
+            SELECT row_number() OVER () AS r, doc_id,
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+            FROM documents
+        ),
+        spoken AS (
+            SELECT r, doc_id, len(w) AS n_words, list_concat({", ".join(places)}) AS p
+            FROM (SELECT r, doc_id, regexp_extract_all(t, '{word}') AS w FROM lowered)
+        ),
+        templates(k, label, words, least) AS (VALUES
+            {templates}
+        ),
+        sentences AS (
+            SELECT r, regexp_extract_all(sentence, '{word}') AS w
+            FROM (
+                SELECT r, unnest(string_split(
+                    regexp_replace(t, '[.!?]([\\x20\\x09-\\x0D]|$)', chr(10), 'g'), chr(10))) AS sentence
+                FROM lowered
+            )
+        ),
+        windows AS (
+            SELECT r, unnest(list_transform(
+                       range(0, 1 + greatest(CAST(ceil((len(w) - {2 * half}) / {half}.0) AS BIGINT), 0)),
+                       lambda i: list_distinct(w[i * {half} + 1 : (i + 2) * {half}])
+                   )) AS w
+            FROM sentences
+            WHERE len(w) > 0
+        ),
+        met AS (
+            SELECT r, label, len(list_intersect(words, w)) / len(words) AS share
+            FROM windows JOIN templates ON len(w) >= least AND len(list_intersect(words, w)) >= least
+        ),
+        found AS (SELECT r, list(label) AS labels, max(share) AS share FROM met GROUP BY r)
+        SELECT doc_id,
+               n_words,
+               CAST(len(p) AS BIGINT) AS n_base,
+               list_min(list_transform(p, lambda x: x.first_word)) AS first_word,
+               list_max(list_transform(p, lambda x: x.first_word)) AS last_word,
+               array_to_string(list_sort(list_distinct(list_transform(p, lambda x: x.label))), ',') AS base_labels,
+               array_to_string(list_sort(list_distinct(list_concat(
+                   list_transform(p, lambda x: x.label), coalesce(labels, [])))), ',') AS labels,
+               CASE WHEN len(p) > 0 THEN 1.0 ELSE coalesce(share, 0.0) END::DOUBLE AS score
+        FROM spoken LEFT JOIN found USING (r)
+    """
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_toxicity": op2_toxicity,
@@ -128,6 +224,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_chat_format": op10_chat_format,
+    "op11_tokenizer_alignment": op11_tokenizer_alignment,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_license_scan": op13_license_scan,
 }
 
 ORACLES: dict[str, str] = {
@@ -169,4 +268,37 @@ ORACLES: dict[str, str] = {
         FROM hashed
         WINDOW same AS (PARTITION BY text_sha256)
     """,
+    "op12_hard_negatives": """
+        WITH valid AS (
+            SELECT vec_id,
+                   CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND label IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ),
+        scored AS (
+            SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+                   CAST(list_dot_product(a.v, c.v) AS BIGINT) AS score
+            FROM valid a JOIN valid c ON a.vec_id <> c.vec_id
+            WHERE a.vec_id % 100 = 0
+        ),
+        positives AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score
+            FROM scored
+            WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+        )
+        SELECT p.anchor_id, p.positive_id,
+               CAST(row_number() OVER of_pair AS INTEGER) AS rank,
+               s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+        FROM positives p JOIN scored s
+          ON s.anchor_id = p.anchor_id AND NOT s.same
+         AND 80 * p.positive_score <= 100 * s.score AND 100 * s.score <= 100 * p.positive_score
+        WINDOW of_pair AS (
+            PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id
+        )
+        QUALIFY row_number() OVER of_pair <= 5
+    """,
+    "op13_license_scan": license_sql(),
 }
