@@ -17,14 +17,19 @@ import ahocorasick
 class PrefixTable:
     """Last tokens of all prefixes of a string of known characters.
 
-    ``entries`` maps texts to ids; ``encode`` gives the ids of a short text by merging, and is
-    asked once per pair of tokens that meet. At most ``memory`` pairs are remembered.
+    ``entries`` maps texts to ids; ``encode`` gives the ids of a short text by merging. Whether
+    two tokens may follow each other is asked once per pair that meets: of ``compatible`` if it
+    is given, else by encoding their joined text. At most ``memory`` pairs are remembered.
     """
 
     def __init__(
-        self, entries: dict[str, int], encode: Callable[[str], list[int]], memory: int = 500_000
+        self,
+        entries: dict[str, int],
+        encode: Callable[[str], list[int]],
+        memory: int = 500_000,
+        compatible: Callable[[str, str], bool] | None = None,
     ):
-        self.encode, self.memory = encode, memory
+        self.encode, self.memory, self.compatible = encode, memory, compatible
         self.texts = {i: text for text, i in entries.items()}
         self.pairs: dict[int, bool] = {}
         self.matches = ahocorasick.Automaton()
@@ -37,7 +42,8 @@ class PrefixTable:
         key = left << 24 | right
         known = self.pairs.get(key)
         if known is None:
-            known = self.encode(self.texts[left] + self.texts[right]) == [left, right]
+            a, b = self.texts[left], self.texts[right]
+            known = self.compatible(a, b) if self.compatible else self.encode(a + b) == [left, right]
             if len(self.pairs) >= self.memory:
                 self.pairs.clear()
             self.pairs[key] = known

@@ -13,7 +13,10 @@ only the id and the text are read, whatever other columns are called.
 from __future__ import annotations
 
 import hashlib
+import itertools
+import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +30,11 @@ from tidecast.session import ship_package
 BLANK = "▁"
 
 
-def merge(symbols: list[str], scores: dict[str, float]) -> list[str]:
-    """Join the neighbours whose union has the best score, the leftmost first, while any has."""
+def merge(symbols: list[str], scores: dict[str, float], steps: list | None = None) -> list[str]:
+    """Join the neighbours whose union has the best score, the leftmost first, while any has.
+
+    ``steps`` receives place, number of symbols before, score and union of each.
+    """
     symbols = list(symbols)
     none = -np.inf
     found = [scores.get(a + b, none) for a, b in zip(symbols, symbols[1:], strict=False)]
@@ -37,6 +43,8 @@ def merge(symbols: list[str], scores: dict[str, float]) -> list[str]:
         if best == none:
             break
         at = found.index(best)
+        if steps is not None:
+            steps.append((at, len(symbols), best, symbols[at] + symbols[at + 1]))
         symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
         del found[at]
         # Only the neighbours of the new symbol have other unions now.
@@ -47,6 +55,59 @@ def merge(symbols: list[str], scores: dict[str, float]) -> list[str]:
     return symbols
 
 
+class Borders:
+    """Whether two entries stay two when they meet, from the merges at their border alone.
+
+    Merges go by falling score. Until a merge crosses the border, each side is merged as if it
+    stood alone, so the symbols next to the border, and the scores at which they are joined to
+    the rest of their own side, are those of each entry by itself. The first crossing union
+    whose score comes before both decides. An entry whose own merges do not fall in score has
+    no such order; its pairs are merged as a whole.
+    """
+
+    def __init__(self, scores: dict[str, float]):
+        self.scores = scores
+        self.known: dict[str, tuple | None] = {}
+
+    def edges(self, text: str) -> tuple[list, list] | None:
+        """(symbol, score at which it is joined) at the left and at the right end, in order."""
+        if text not in self.known:
+            steps: list[tuple[int, int, float, str]] = []
+            merge(list(text), self.scores, steps)
+            left, right = [text[0]], [text[-1]]
+            at_left, at_right = [], []
+            for at, size, score, union in steps:
+                if at == 0:
+                    at_left.append(score)
+                    left.append(union)
+                if at + 2 == size:
+                    at_right.append(score)
+                    right.append(union)
+            order = [score for _, _, score, _ in steps]
+            falls = all(a >= b for a, b in itertools.pairwise(order)) and left[-1] == right[-1] == text
+            ends = [list(zip(x, [*y, -np.inf], strict=True)) for x, y in ((left, at_left), (right, at_right))]
+            self.known[text] = tuple(ends) if falls else None
+        return self.known[text]
+
+    def apart(self, one: str, two: str) -> bool:
+        first, second = self.edges(one), self.edges(two)
+        if first is None or second is None:
+            return merge(list(one + two), self.scores) == [one, two]
+        right, left, i, j = first[1], second[0], 0, 0
+        while True:
+            (a, until_a), (b, until_b) = right[i], left[j]
+            score = self.scores.get(a + b, -np.inf)
+            # Of equal scores the one further left comes first.
+            if score > until_a and score >= until_b and score > -np.inf:
+                return False
+            if until_a == until_b == -np.inf:
+                return True
+            if until_a >= until_b:
+                i += 1
+            else:
+                j += 1
+
+
 class PieceCoder:
     """Ids of texts and texts of ids for one model file."""
 
@@ -63,30 +124,41 @@ class PieceCoder:
         scores = {model.id_to_piece(i): model.get_score(i) for i in plain}
         self.known = {text for text in entries if len(text) == 1}
         self.prefixes = PrefixTable(
-            entries, lambda text: [entries.get(s, -1) for s in merge(list(text), scores)]
+            entries,
+            lambda text: [entries.get(s, -1) for s in merge(list(text), scores)],
+            compatible=Borders(scores).apart,
         )
         self.byte_ids = {int(model.id_to_piece(i)[1:-1], 16): i for i in every if model.is_byte(i)}
-        self.bytes_of = {i: bytes([b]) for b, i in self.byte_ids.items()}
+        self.byte_value = np.zeros(len(every), np.uint8)
+        for b, i in self.byte_ids.items():
+            self.byte_value[i] = b
         self.surface = ["" for _ in every]
         for text, i in entries.items():
             self.surface[i] = text.replace(BLANK, " ")
         self.is_byte = np.zeros(len(every), bool)
-        self.is_byte[list(self.bytes_of)] = True
+        self.is_byte[list(self.byte_ids.values())] = True
         self.unknown = model.unk_id()
         self.surface[self.unknown] = " ⁇ "
-        self.words = WordCache(cache_size)
-
-    def piece_ids(self, piece: str) -> list[int]:
-        if self.known.issuperset(piece):
-            return self.prefixes.ids(piece)
-        out, low = [], 0
-        for at, sign in enumerate(piece):
-            if sign not in self.known:
-                # It joins with nothing, so what stands before and after is encoded alone.
-                out += self.prefixes.ids(piece[low:at]) if at > low else []
-                out += [self.byte_ids[b] for b in sign.encode()] if self.byte_ids else [self.unknown]
-                low = at + 1
-        return out + (self.prefixes.ids(piece[low:]) if low < len(piece) else [])
+        self.words, self.parts = WordCache(cache_size), WordCache(cache_size // 4)
+        # What the model lacks joins with nothing, so what stands before and after is alone.
+        signs = "".join(map(re.escape, sorted(self.known)))
+        self.runs = re.compile(f"[{signs}]+|[^{signs}]")
+
+    def unknown_ids(self, sign: str) -> list[int]:
+        return [self.byte_ids[b] for b in sign.encode()] if self.byte_ids else [self.unknown]
+
+    def fill(self, words: list[str]) -> None:
+        """The ids of words, from those of their runs of known characters."""
+        absent = self.words.missing(words)
+        if not absent:
+            return
+        split = [self.runs.findall(word.replace(" ", BLANK)) for word in absent]
+        parts = self.parts
+        for part in parts.missing(itertools.chain.from_iterable(split)):
+            ids = self.prefixes.ids(part) if part[0] in self.known else self.unknown_ids(part)
+            parts.new[part] = np.array(ids, "<u4").tobytes()
+        ids_of = parts.new.__getitem__
+        self.words.new.update((w, b"".join(map(ids_of, own))) for w, own in zip(absent, split, strict=True))
 
     def encode(self, text: str) -> np.ndarray:
         if not text:
@@ -97,36 +169,31 @@ class PieceCoder:
         else:
             words = text.split(" ")
             words = [" " + w for w in words]
-        cache = self.words
-        for word in cache.missing(words):
-            ids = self.piece_ids(word.replace(" ", BLANK))
-            cache.new[word] = np.array(ids, "<u4").tobytes()
-        return np.frombuffer(b"".join(map(cache.new.__getitem__, words)), "<u4")
+        self.fill(words)
+        return np.frombuffer(b"".join(map(self.words.new.__getitem__, words)), "<u4")
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids; the blank that encoding put in front is dropped."""
-        if not len(ids):
-            return ""
-        if self.is_byte[ids].any():
-            raw = [self.bytes_of.get(i) or self.surface[i].encode() for i in ids.tolist()]
-            text = self.joined(ids, raw)
-        else:
-            text = "".join(map(self.surface.__getitem__, ids.tolist()))
+        parts = list(map(self.surface.__getitem__, ids.tolist()))
+        at = np.flatnonzero(self.is_byte[ids])
+        if len(at):
+            # A run of byte tokens becomes characters at its first place.
+            first = np.flatnonzero(np.diff(at, prepend=-2) > 1)
+            values = self.byte_value[ids[at]].tobytes()
+            ends = [*first[1:].tolist(), len(at)]
+            for place, low, high in zip(at[first].tolist(), first.tolist(), ends, strict=True):
+                parts[place] = characters(values[low:high])
+        text = "".join(parts)
         return text[1:] if text[:1] == " " else text
 
-    def joined(self, ids: np.ndarray, raw: list[bytes]) -> str:
-        """Runs of byte tokens become characters; a byte that is part of none becomes U+FFFD."""
-        out, run = [], b""
-        for part, is_byte in zip(raw, self.is_byte[ids].tolist(), strict=True):
-            if is_byte:
-                run += part
-                continue
-            out += [*characters(run), part.decode()]
-            run = b""
-        return "".join([*out, *characters(run)])
+
+@lru_cache(10_000)
+def characters(run: bytes) -> str:
+    """A byte that is part of no character becomes U+FFFD."""
+    return "".join(decoded(run))
 
 
-def characters(run: bytes) -> Iterator[str]:
+def decoded(run: bytes) -> Iterator[str]:
     while run:
         for size in (1, 2, 3, 4):
             try:
