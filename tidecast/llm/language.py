@@ -4,7 +4,8 @@ Each language has a distribution over hashed byte trigrams, counted over all doc
 may be learned from. A document's trigrams are taken as drawn from a mixture of languages;
 expectation-maximisation finds its proportions. The languages are then ranked by proportion,
 and the set of the first k is chosen whose likelihood, less a penalty for each language, is
-best; every k is tried, so the result depends on the text alone. The prediction is the language with the largest
+best. A k is left out only where a bound on the likelihood of any mixture proves that it cannot
+be best, so the result depends on the text alone. The prediction is the language with the largest
 proportion in the chosen set, and the score is that proportion. ``fit`` says how well the chosen
 set explains the text: the mean log likelihood of a trigram, above that of drawing from all
 buckets alike. It is null if nothing could be learned or the text has fewer than LEAST_TRIGRAMS.
@@ -34,6 +35,8 @@ ROUNDS = 15
 # trigrams share bytes, so their likelihoods overstate what a language adds.
 PENALTY = 3.0
 UNKNOWN = "und"
+# Chances (distinct trigrams times languages) that one step of the mixture works on.
+STEP_CELLS = 1 << 19
 # Shorter texts do not tell how well a language fits them.
 LEAST_TRIGRAMS = 100
 
@@ -130,25 +133,59 @@ class LanguageMixture:
         if not len(doc):
             return out, fits
         both, n = np.unique(doc * BUCKETS + bucket, return_counts=True)
-        doc, p = both // BUCKETS, self.chances[both % BUCKETS]
-        rows, starts = np.unique(doc, return_index=True)
+        rows, starts = np.unique(both // BUCKETS, return_index=True)
+        ends = np.append(starts[1:], len(both))
+        low = 0
+        # A text has at most BUCKETS distinct trigrams, so a step of one text is bounded too.
+        while low < len(rows):
+            room = starts[low] + max(STEP_CELLS // len(self.languages), 1)
+            high = max(low + 1, int(np.searchsorted(ends, room, "right")))
+            part = slice(starts[low], ends[high - 1])
+            p = self.chances[both[part] % BUCKETS]
+            step = self.best_sets(p, n[part], starts[low:high] - starts[low])
+            out[rows[low:high]], fits[rows[low:high]] = step
+            low = high
+        return out, fits
+
+    def best_sets(self, p: np.ndarray, n: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Proportions in the chosen set, and how well they fit, a row per document."""
+        every = len(self.languages)
         size = np.add.reduceat(n, starts).astype(np.float64)
-        even = np.full((len(rows), len(self.languages)), 1 / len(self.languages))
-        shares, _ = self.fit(p, n, starts, size, even)
+        lengths = np.diff(np.append(starts, len(n)))
+        doc = np.repeat(np.arange(len(starts)), lengths)
+        shares, likely = self.fit(p, n, starts, size, np.full((len(starts), every), 1 / every))
+        # No mixture is likelier than this one by more than the logarithm of the largest slope.
+        slopes = np.add.reduceat((n / (p * shares[doc]).sum(axis=1))[:, None] * p, starts) / size[:, None]
+        most = likely + size * np.log(np.maximum(slopes.max(axis=1), 1)) + 1e-6 * size
         order = np.argsort(-shares, axis=1, kind="stable")
-        best, reached = np.full(len(rows), -np.inf), np.zeros(len(rows))
+        best, reached = np.full(len(starts), -np.inf), np.zeros(len(starts))
         chosen = np.zeros_like(shares)
-        for k in range(1, len(self.languages) + 1):
-            within = np.zeros_like(shares)
-            np.put_along_axis(within, order[:, :k], 1 / k, axis=1)
-            own, likely = self.fit(p, n, starts, size, within)
-            value = likely - PENALTY * (k - 1) * np.log(size + 1)
-            better = value > best
-            chosen[better], best[better] = own[better], value[better]
-            reached[better] = likely[better]
-        out[rows] = chosen
-        fits[rows] = np.where(size >= LEAST_TRIGRAMS, reached / size + np.log(BUCKETS), np.nan)
-        return out, fits
+        for k in range(1, every + 1):
+            cost = PENALTY * (k - 1) * np.log(size + 1)
+            # The cost only grows, so a document that is out stays out.
+            open_ = np.flatnonzero(most - cost > best)
+            if not len(open_):
+                break
+            names = order[open_, :k]
+            if k == every:
+                own, value = np.take_along_axis(shares[open_], names, axis=1), likely[open_]
+            else:
+                mine = np.isin(doc, open_)
+                of = np.repeat(np.arange(len(open_)), lengths[open_])
+                from_ = np.concatenate([[0], np.cumsum(lengths[open_])[:-1]])
+                chances = np.take_along_axis(p[mine], names[of], axis=1)
+                if k == 1:
+                    own = np.ones((len(open_), 1))
+                    value = np.add.reduceat(n[mine] * np.log(chances[:, 0]), from_)
+                else:
+                    even = np.full((len(open_), k), 1 / k)
+                    own, value = self.fit(chances, n[mine], from_, size[open_], even)
+            better = value - cost[open_] > best[open_]
+            rows = open_[better]
+            chosen[rows] = 0
+            chosen[rows[:, None], names[better]] = own[better]
+            best[rows], reached[rows] = (value - cost[open_])[better], value[better]
+        return chosen, np.where(size >= LEAST_TRIGRAMS, reached / size + np.log(BUCKETS), np.nan)
 
 
 def predict_languages(docs: DataFrame, counts: dict[str, np.ndarray], columns: list[str]) -> DataFrame:
@@ -157,21 +194,21 @@ def predict_languages(docs: DataFrame, counts: dict[str, np.ndarray], columns: l
     ship_package(spark)
     # One array of BUCKETS counts per language.
     held = spark.sparkContext.broadcast(counts)
-    slim = docs.select(
-        *columns,
-        F.col("text").alias("scored_text"),
-        F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("scored_letter"),
-    )
+    # A text that is asked for is sent once, and scored as it passes.
+    text = "text" if "text" in columns else "scored_text"
+    own_text = [] if text in columns else [F.col("text").alias(text)]
+    letter_ = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("scored_letter")
+    slim = docs.select(*columns, *own_text, letter_)
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in slim.select(columns).schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = LanguageMixture(held.value) if held.value else None
-        for batch in chunks(batches, "scored_text"):
+        for batch in chunks(batches, text):
             letter = batch.column("scored_letter").to_numpy(zero_copy_only=False)
             langs, score = np.full(batch.num_rows, UNKNOWN, object), np.zeros(batch.num_rows)
             fits = np.full(batch.num_rows, np.nan)
             if own:
-                shares, fits = own.fitted(batch.column("scored_text"))
+                shares, fits = own.fitted(batch.column(text))
                 # A letter too short for a trigram fits all languages alike.
                 shares[letter & (shares.sum(axis=1) == 0)] = 1 / len(own.languages)
                 first = shares.argmax(axis=1)
