@@ -12,6 +12,10 @@ has at most one weight and vector per bucket, so its size is bounded too.
 
 Learned are terms that occur clearly more or less often in toxic documents, and terms of which
 some pair is clearly more, or clearly less, toxic than either of the two and both odds together.
+Pairs are counted before the fit, in several tasks: each takes the pairs of a share of the terms.
+A pair can only be clearly more toxic if toxic documents hold it often enough, and clearly less
+if others do, so only the pairs within documents of that kind are counted, of terms frequent
+enough there, and those that reach the bound are held against the other kind.
 
 Defined results: null and empty texts have no terms and get the score of the intercept; rows
 without an id are scored and never learned from; several labels of one document count as the
@@ -29,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidecast.llm.common import NO_LETTER, chunks, prepare, span_hashes, word_spans
+from tidecast.llm.common import NO_LETTER, chunks, prepare, span_hashes, staged, word_spans
 from tidecast.session import ship_package
 
 SAMPLE_ROWS = 20_000
@@ -144,72 +148,121 @@ class FactorizationMachine:
         return model
 
 
-def telling_terms(docs: list[np.ndarray], toxic: np.ndarray, settings: FactorSettings) -> np.ndarray:
-    """Buckets whose share among toxic documents differs clearly from that among others."""
-    terms = np.concatenate(docs)
-    of_toxic = np.repeat(toxic, [len(d) for d in docs])
-    found = np.bincount(terms, minlength=BUCKETS)
-    bad = np.bincount(terms, of_toxic, BUCKETS)
-    n_bad, n_good = max(toxic.sum(), 1), max((1 - toxic).sum(), 1)
-    share = found / max(len(docs), 1)
-    error = np.sqrt(share * (1 - share) * (1 / n_bad + 1 / n_good)) + 1e-12
-    deviation = np.abs(bad / n_bad - (found - bad) / n_good) / error
-    return np.flatnonzero(
-        (found >= settings.least_documents) & (deviation >= settings.least_deviation)
-    )
-
-
-def paired_terms(docs: list[np.ndarray], toxic: np.ndarray, settings: FactorSettings) -> np.ndarray:
-    """Buckets of terms that tell in a pair what neither of the two, nor their sum, tells.
+@dataclass
+class Survey:
+    """What the counts of single terms say: which tell, and which may tell in a pair.
 
     The evidence of a pair in n documents is n times the divergence of its toxic share from the
-    nearest share that its terms explain. It must reach that of ``least_deviation`` for each of
-    the many partners a term has. All pairs are counted, by products of blocks of terms; left
-    out before are only terms whose own counts are too small for any pair to reach it.
+    nearest share that its terms explain: either of theirs, or that of both odds together. It
+    must reach that of ``least_deviation`` for each of the many partners a term has.
     """
-    found = np.bincount(np.concatenate(docs), minlength=BUCKETS)
-    bad = np.bincount(np.concatenate(docs), np.repeat(toxic, [len(d) for d in docs]), BUCKETS)
-    rate = (toxic.sum() + 0.5) / (len(toxic) + 1)
-    share = (bad + rate) / (found + 1)
-    known = found >= settings.least_documents
-    bound = settings.least_deviation**2 / 2 + np.log(max(known.sum(), 1))
-    within = np.maximum(-bad * np.log(share), -(found - bad) * np.log1p(-share)) >= bound
-    terms = np.flatnonzero(known & within)
-    if not len(terms):
-        return terms
-    place = np.full(BUCKETS, -1, np.int64)
-    place[terms] = np.arange(len(terms))
-    # Toxic documents first, so that a part of documents is nearly always of one kind.
-    rows = [place[docs[i]] for i in np.argsort(-toxic, kind="stable")]
-    rows = [r[r >= 0] for r in rows]
-    n_toxic, share = int(toxic.sum()), share[terms]
-    odds = np.log(share / (1 - share))
-    base = np.log(rate / (1 - rate))
-    step = max((1 << 24) // len(terms), 64)
-    parts = [(0, n_toxic, 1), (n_toxic, len(rows), 0)]
-    parts = [(a, min(a + step, high), k) for low, high, k in parts for a in range(low, high, step)]
-    telling = np.zeros(len(terms), bool)
-    for low in range(0, len(terms), step):
-        high = min(low + step, len(terms))
-        # Documents of either kind that hold both terms.
-        counts = np.zeros((2, high - low, len(terms) - low), np.float32)
-        for a, b, kind in parts:
-            held = np.zeros((b - a, len(terms)), np.float32)
-            held[np.repeat(np.arange(b - a), [len(r) for r in rows[a:b]]), np.concatenate(rows[a:b])] = 1
-            counts[kind] += held[:, low:high].T @ held[:, low:]
-        one, other = np.nonzero(np.triu(counts.sum(axis=0) >= settings.least_documents, 1))
-        good, ill = counts[0, one, other].astype(np.float64), counts[1, one, other].astype(np.float64)
-        one, other, seen = one + low, other + low, ill / (good + ill)
-        both = logistic(odds[one] + odds[other] - base)
+
+    telling: np.ndarray  # buckets
+    terms: np.ndarray  # buckets of terms that a pair may need, in the order of ``share``
+    share: np.ndarray
+    base: float
+    bound: float
+    least: int
+
+    @classmethod
+    def of(cls, bucket: np.ndarray, found: np.ndarray, bad: np.ndarray, n: int, n_bad: int, settings) -> Survey:
+        """From the number of documents, and of toxic ones, that hold each term."""
+        known = found >= settings.least_documents
+        bucket, found, bad = bucket[known], found[known], bad[known]
+        good, n_good = found - bad, n - n_bad
+        part = found / max(n, 1)
+        error = np.sqrt(part * (1 - part) * (1 / max(n_bad, 1) + 1 / max(n_good, 1))) + 1e-12
+        deviation = np.abs(bad / max(n_bad, 1) - good / max(n_good, 1)) / error
+        rate = (n_bad + 0.5) / (n + 1)
+        share = (bad + rate) / (found + 1)
+        bound = settings.least_deviation**2 / 2 + np.log(max(len(bucket), 1))
+        # In the best case all documents of one kind that hold the term hold its partner too.
+        may = np.maximum(-bad * np.log(share), -good * np.log1p(-share)) >= bound
+        return cls(
+            bucket[deviation >= settings.least_deviation], bucket[may], share[may],
+            np.log(rate / (1 - rate)), bound, settings.least_documents,
+        )
+
+    def evidence(self, one: np.ndarray, other: np.ndarray, good: np.ndarray, ill: np.ndarray) -> np.ndarray:
+        share, seen = self.share, ill / (good + ill)
+        odds = np.log(share / (1 - share))
+        both = logistic(odds[one] + odds[other] - self.base)
         least = np.minimum(np.minimum(share[one], share[other]), both)
         most = np.maximum(np.maximum(share[one], share[other]), both)
         near = np.clip(seen, least, most)
         with np.errstate(divide="ignore", invalid="ignore"):
-            evidence = np.where(ill > 0, ill * np.log(seen / near), 0)
-            evidence += np.where(good > 0, good * np.log((1 - seen) / (1 - near)), 0)
-        hit = evidence >= bound
-        telling[one[hit]] = telling[other[hit]] = True
-    return terms[telling]
+            out = np.where(ill > 0, ill * np.log(seen / near), 0)
+            return out + np.where(good > 0, good * np.log((1 - seen) / (1 - near)), 0)
+
+
+@dataclass
+class Lists:
+    """Sorted terms of documents of one kind on end, and where each document begins."""
+
+    terms: np.ndarray
+    begin: np.ndarray
+
+    @classmethod
+    def of(cls, docs: list[np.ndarray]) -> Lists:
+        terms = np.concatenate([np.zeros(0, np.int64), *docs])
+        return cls(terms, np.cumsum([0, *map(len, docs)]))
+
+    def within(self, used: np.ndarray) -> Lists:
+        """Only the terms that ``used`` says."""
+        kept = used[self.terms]
+        return Lists(self.terms[kept], np.concatenate([[0], np.cumsum(kept)])[self.begin])
+
+    def pair_counts(self, low: int, high: int, size: int) -> Iterator[tuple[int, np.ndarray]]:
+        """For terms low..high - 1: (first term, documents by term and later term), in steps."""
+        at = np.flatnonzero((self.terms >= low) & (self.terms < high))
+        at = at[np.argsort(self.terms[at], kind="stable")]
+        ends = self.begin[np.searchsorted(self.begin, at, "right")]
+        step = max(STEP_CELLS // max(size, 1), 1)
+        for first in range(low, high, step):
+            rows = min(step, high - first)
+            mine = slice(*np.searchsorted(self.terms[at], [first, first + rows]))
+            counts = np.zeros(rows * size, np.int64)
+            n = ends[mine] - at[mine] - 1
+            # Few pairs at a time: documents may be long.
+            cuts = np.searchsorted(np.cumsum(n), np.arange(STEP_PAIRS, n.sum(), STEP_PAIRS)) + 1
+            for own, n_own in zip(np.split(at[mine], cuts), np.split(n, cuts), strict=True):
+                before = np.repeat(np.cumsum(n_own) - n_own, n_own)
+                later = np.arange(len(before)) - before + np.repeat(own + 1, n_own)
+                key = np.repeat((self.terms[own] - first) * size, n_own) + self.terms[later]
+                counts += np.bincount(key, minlength=len(counts))
+            yield first, counts.reshape(rows, size)
+
+
+# Cells and pairs that one step of counting works on, and shares of the terms.
+STEP_CELLS, STEP_PAIRS, PAIR_SHARES = 1 << 21, 1 << 21, 16
+
+
+def telling_pairs(survey: Survey, toxic: Lists, clean: Lists, low: int, high: int) -> np.ndarray:
+    """Terms of pairs that tell, of which the first lies in low..high - 1."""
+    size, share = len(survey.terms), survey.share
+    alone = np.zeros(size, bool)
+    alone[np.searchsorted(survey.terms, survey.telling[np.isin(survey.telling, survey.terms)])] = True
+    out = [np.zeros(0, np.int64)]
+    for kind, scale in ((1, -np.log(share)), (0, -np.log1p(-share))):
+        own, other = (toxic, clean) if kind else (clean, toxic)
+        # A pair in n documents of one kind has at most this evidence times n.
+        need = survey.bound / np.maximum(scale, 1e-300)
+        times = np.bincount(own.terms, minlength=size)
+        used = times >= need
+        own, there = own.within(used), other.within(used)
+        steps = zip(own.pair_counts(low, high, size), there.pair_counts(low, high, size), strict=True)
+        for (first, counts), (_, more) in steps:
+            enough = counts >= np.maximum(need[first : first + len(counts), None], need[None, :])
+            one, two = np.nonzero(enough)
+            n, m = counts[one, two], more[one, two]
+            one += first
+            # Nothing depends on pairs of terms that are learned anyway.
+            open_ = (n + m >= survey.least) & ~(alone[one] & alone[two])
+            one, two, n, m = one[open_], two[open_], n[open_], m[open_]
+            ill, good = (n, m) if kind else (m, n)
+            hit = survey.evidence(one, two, good.astype(np.float64), ill.astype(np.float64)) >= survey.bound
+            out += [one[hit], two[hit]]
+    return survey.terms[np.unique(np.concatenate(out))]
 
 
 def logistic(z: np.ndarray) -> np.ndarray:
@@ -249,27 +302,105 @@ def fit_toxicity(
                 names=["doc_id", "toxic", "terms"],
             )
 
+    made = staged(
+        sample.select("doc_id", "toxic", "text").mapInArrow(terms, "doc_id long, toxic int, terms array<int>"),
+        "toxic-terms",
+    )
+    n, n_bad = made.agg(F.count("*"), F.sum(toxic_flag())).first()
+    if not n:
+        return None
+    # One row per bucket at most.
+    counts = made.mapInArrow(count_terms, "bucket int, found long, bad long").groupBy("bucket")
+    counts = counts.agg(F.sum("found").alias("found"), F.sum("bad").alias("bad"))
+    known = counts.where(F.col("found") >= settings.least_documents).orderBy("bucket").toArrow()
+    columns = [known.column(c).to_numpy().astype(np.int64) for c in ("bucket", "found", "bad")]
+    survey = Survey.of(*columns, n, n_bad, settings)
+    learned = np.union1d(survey.telling, paired_terms(made, survey)).astype(np.int64)
+
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labels_, docs_ = [], []
         for batch in batches:
             labels_ += batch.column("toxic").to_pylist()
             docs_ += [x.values.to_numpy() for x in batch.column("terms")]
-        if not labels_:
-            return
-        toxic = np.array(labels_, np.float64).clip(0, 1)
-        learned = np.union1d(
-            telling_terms(docs_, toxic, settings), paired_terms(docs_, toxic, settings)
-        )
         model = FactorizationMachine(learned, settings)
-        model.fit(docs_, toxic)
+        model.fit(docs_, np.array(labels_, np.float64))
         yield pa.RecordBatch.from_arrays([pa.array([model.packed()], pa.binary())], names=["model"])
 
-    made = sample.select("doc_id", "toxic", "text").mapInArrow(
-        terms, "doc_id long, toxic int, terms array<int>"
+    slim = with_terms(made, learned, "doc_id", own_numbers=False)
+    one = slim.repartition(1).sortWithinPartitions("doc_id").mapInArrow(train, "model binary")
+    return bytes(one.first()["model"])
+
+
+def toxic_flag() -> F.Column:
+    return F.when(F.col("toxic") >= 1, 1).otherwise(0)
+
+
+def count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents, and toxic ones, that hold each term: a row per bucket and task at most."""
+    found, bad = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+    for batch in batches:
+        for toxic, own in zip(batch.column("toxic").to_pylist(), batch.column("terms"), strict=True):
+            own = own.values.to_numpy()
+            found[own] += 1
+            if toxic >= 1:
+                bad[own] += 1
+    at = np.flatnonzero(found)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(at, pa.int32()), pa.array(found[at]), pa.array(bad[at])], names=["bucket", "found", "bad"]
     )
-    one = made.repartition(1).sortWithinPartitions("doc_id").mapInArrow(train, "model binary")
-    rows = one.collect()
-    return bytes(rows[0]["model"]) if rows else None
+
+
+def with_terms(made: DataFrame, kept: np.ndarray, *columns: str, own_numbers: bool) -> DataFrame:
+    """The sample with the terms of ``kept`` (sorted) only, as their places there if asked for."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = np.full(BUCKETS, -1, np.int32)
+        place[kept] = np.arange(len(kept))
+        for batch in batches:
+            rows = []
+            for own in batch.column("terms"):
+                own = own.values.to_numpy()
+                at = place[own]
+                rows.append(at[at >= 0] if own_numbers else own[at >= 0])
+            flags = np.clip(batch.column("toxic").to_numpy(), 0, 1)
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c) for c in columns], pa.array(flags), pa.array(rows, pa.list_(pa.int32()))],
+                names=[*columns, "toxic", "terms"],
+            )
+
+    kinds = ", ".join(f"{c} {made.schema[c].dataType.simpleString()}" for c in (*columns, "toxic"))
+    return made.select(*columns, "toxic", "terms").mapInArrow(run, f"{kinds}, terms array<int>")
+
+
+def paired_terms(made: DataFrame, survey: Survey) -> np.ndarray:
+    """Buckets of terms that tell in a pair what neither of the two, nor their sum, tells."""
+    size = len(survey.terms)
+    shares = min(PAIR_SHARES, max(size, 1))
+    cuts = np.linspace(0, size, shares + 1).astype(int).tolist()
+    lists = with_terms(made, survey.terms, own_numbers=True)
+    dealt = lists.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found(part: int, docs: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
+            kinds = [Lists.of([own for flag, own in docs if flag == kind]) for kind in (1, 0)]
+            terms = telling_pairs(survey, *kinds, cuts[part], cuts[part + 1])
+            return pa.RecordBatch.from_arrays([pa.array(terms, pa.int32())], names=["bucket"])
+
+        part, docs = None, []
+        for batch in batches:
+            rows = zip(*(batch.column(c).to_pylist() for c in ("part", "toxic")), batch.column("terms"), strict=True)
+            for at, flag, own in rows:
+                if at != part:
+                    if docs:
+                        yield found(part, docs)
+                    part, docs = at, []
+                docs.append((flag, own.values.to_numpy().astype(np.int64)))
+        if docs:
+            yield found(part, docs)
+
+    ordered = dealt.repartition(2 * shares, "part").sortWithinPartitions("part")
+    rows = ordered.mapInArrow(run, "bucket int").distinct().toArrow()
+    return rows.column("bucket").to_numpy()
 
 
 def score_toxicity(docs: DataFrame, model: bytes | None, columns: list[str]) -> DataFrame:
@@ -277,16 +408,18 @@ def score_toxicity(docs: DataFrame, model: bytes | None, columns: list[str]) ->
     spark = prepare(docs.sparkSession)
     ship_package(spark)
     held = spark.sparkContext.broadcast(model)
-    slim = docs.select(*columns, F.col("text").alias("scored_text"))
+    # A text that is asked for is sent once, and scored as it passes.
+    text = "text" if "text" in columns else "scored_text"
+    slim = docs.select(*columns, *([] if text in columns else [F.col("text").alias(text)]))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in slim.select(columns).schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = FactorizationMachine.unpacked(held.value) if held.value else None
-        for batch in chunks(batches, "scored_text"):
+        for batch in chunks(batches, text):
             n = batch.num_rows
             score = np.zeros(n)
             if own:
-                score = own.scores(*term_buckets(batch.column("scored_text")), n)
+                score = own.scores(*term_buckets(batch.column(text)), n)
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in columns], pa.array(score)], names=[*columns, "score"]
             )
