@@ -160,3 +160,31 @@ def test_components_of_chains_and_stars(spark):
     got = {r.node: r.component for r in components(links).collect()}
     want = {i: 100 for i in range(100, 141)} | {7: 7} | {i: 7 for i in range(200, 260)}
     assert got == want
+
+
+@pytest.mark.parametrize("turn", [1, -1])
+def test_links_do_not_hang_on_texts_of_an_id_that_do_not_count(spark, turn):
+    words = [f"w{i}" for i in range(60)]
+    first, second = " ".join(words), " ".join(reversed(words))
+    rows = [(7, first), (7, second), (9, first), (11, first + " more"), (13, second), (15, "more " + second)]
+    rows = spark.createDataFrame(rows[::turn], "doc_id long, text string").coalesce(1)
+    found = {(r.doc_id, r.component_id) for r in near_duplicates(rows, Similarity(4, Fraction(85, 100))).collect()}
+    # Of the two texts of 7 one counts; the other's documents are linked all the same.
+    assert found in (
+        {(7, 7), (9, 7), (11, 7), (13, 13), (15, 13)}, {(7, 7), (13, 7), (15, 7), (9, 9), (11, 9)}
+    )
+
+
+def test_a_new_index_has_buckets_for_its_rows(spark, monkeypatch):
+    from tidecast.llm import exact_dedup as module
+
+    made = []
+    create = module.DigestIndex.create.__func__
+    monkeypatch.setattr(module, "BUCKET_ROWS", 2)
+    monkeypatch.setattr(module, "BUCKETS", 3)
+    monkeypatch.setattr(
+        module.DigestIndex, "create", classmethod(lambda cls, *a, **k: made.append(k) or create(cls, *a, **k))
+    )
+    rows = spark.createDataFrame([(i, str(i % 9)) for i in range(20)], "doc_id long, text string")
+    assert module.exact_dedup(rows).where("kept").count() == 9
+    assert made == [{"buckets": 10}]

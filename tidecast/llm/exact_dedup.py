@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from tidecast.llm.common import new_folder, staged
 
 SPACES = r"[\x20\x09-\x0D]+"
-BUCKETS = 64
+# Buckets of a new index: enough for so many rows each of the first batch, and not fewer.
+BUCKETS, BUCKET_ROWS = 64, 1 << 20
 
 
 def normalised(text) -> F.Column:
@@ -89,8 +90,8 @@ def exact_dedup(
     this batch with the text. A given index is extended by the texts that are new.
     """
     spark = docs.sparkSession
-    index = index or DigestIndex.create(spark)
     found = staged(digests(docs, text, doc_id), "digests")
+    index = index or DigestIndex.create(spark, buckets=max(BUCKETS, -(-found.count() // BUCKET_ROWS)))
     fresh = index.append(found).select("digest", F.lit(False).alias("in_index"))
     groups = found.groupBy("digest").agg(F.count("*").alias("group_size"))
     known = (
@@ -98,8 +99,12 @@ def exact_dedup(
         .join(fresh, "digest", "left")
         .withColumn("in_index", F.coalesce("in_index", F.lit(True)))
     )
+    # The further key makes Spark deal out both sides anew, so that it can split the rows of a
+    # text that very many documents have.
+    by_text = ["digest", "digest_key"]
+    found, known = (df.withColumn("digest_key", F.xxhash64("digest")) for df in (found, known))
     return (
-        found.join(known, "digest")
+        found.join(known, by_text)
         .withColumn("kept", ~F.col("in_index") & F.col("doc_id").eqNullSafe(F.col("keep_id")))
         .select("doc_id", "keep_id", "group_size", "kept", "in_index", "digest")
     )
