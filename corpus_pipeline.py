@@ -3,9 +3,10 @@
 Each stage takes the documents that the one before kept, written and read again, and decides
 over all of them. Defined results: documents with null or empty texts have no letter, so the
 language stage rejects them, and it rejects texts that no learned language fits, but none for
-that if no row has a language to learn from; rows without an id are kept by both dedup stages unless their
-text has a copy with an id; rows that repeat id and text become one; columns beyond those of
-documents are dropped, whatever their names; empty tables pass through.
+that if no row has a language to learn from; both dedup stages decide by row, so rows without an
+id, or with one that other texts have too, are compared like all others; rows that repeat id and
+text become one; columns beyond those of documents are dropped, whatever their names; empty
+tables pass through.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tidecast.llm import queries
 from tidecast.llm.common import prepare, staged, table
-from tidecast.llm.exact_dedup import exact_dedup
+from tidecast.llm.exact_dedup import exact_dedup, normalised
 from tidecast.llm.jaccard_join import near_duplicates
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -40,22 +41,42 @@ def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return found.where(lettered & F.coalesce(F.col("fit") >= LEAST_FIT, F.lit(True))).select(COLUMNS)
 
 
-def having(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The documents whose id, which may be null, is in ``kept``; repeated rows become one."""
-    ids = kept.select(F.col("doc_id").alias("kept_id")).distinct()
-    found = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
-    return found.dropDuplicates(["doc_id", "text"]).select(COLUMNS)
+def row_key(*columns: str) -> F.Column:
+    """A number for a row's id, which may be null, and text."""
+    return F.xxhash64("doc_id", *columns)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with equal normalised text, the one with the smallest id stays."""
-    return having(docs, exact_dedup(docs).where("kept"))
+    """Of documents with equal normalised text, the one with the smallest id stays.
+
+    The decision is carried by id and text: an id may be null, or stand with several texts.
+    """
+    kept = exact_dedup(docs).where("kept").select(row_key("digest").alias("row_key"), "digest").distinct()
+    digest = F.unhex(F.sha2(normalised(F.col("text")), 256))
+    named = docs.select(*COLUMNS).withColumn("digest", digest).withColumn("row_key", row_key("digest"))
+    found = named.join(kept, ["row_key", "digest"], "left_semi")
+    one = found.groupBy("row_key", "digest").agg(F.min(F.struct("doc_id", "text", *COLUMNS[2:])).alias("row"))
+    return one.select("row.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by shared word shingles, the one with the smallest id stays."""
-    found = near_duplicates(docs, queries.NEAR_COPIES)
-    return having(docs, found.where("doc_id is null or doc_id = component_id"))
+    """Of documents linked by shared word shingles, the one with the smallest id stays.
+
+    Rows are compared, whatever their ids; of linked rows, one without an id goes first.
+    """
+    named = docs.select(*COLUMNS).withColumn("row_key", row_key("text"))
+    found = near_duplicates(named, queries.NEAR_COPIES, doc_id="row_key").select(
+        F.col("doc_id").alias("row_key"), "component_id"
+    )
+    ranked = F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")
+    best = (
+        found.distinct()
+        .join(named.select("row_key", "doc_id").distinct(), "row_key")
+        .groupBy("component_id")
+        .agg(F.min(ranked).alias("best"))
+        .select(F.col("best.row_key").alias("row_key"))
+    )
+    return named.join(best, "row_key", "left_semi").dropDuplicates(["row_key"]).select(COLUMNS)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
