@@ -4,6 +4,7 @@ import re
 from fractions import Fraction
 
 import corpus_pipeline
+import pytest
 from edges import EDGE_ROWS, edge_table
 from pyspark.sql import functions as F
 from test_duplicates import by_force, copies, normalised
@@ -44,6 +45,25 @@ def test_dedup_stages_keep_the_smallest_of_each_group(spark):
     assert near.columns == corpus_pipeline.COLUMNS
 
 
+COPY = "one text of seven words and more " * 3
+
+
+@pytest.mark.parametrize("turn", [1, -1])
+def test_rows_without_an_id_or_with_a_shared_one_are_compared(spark, turn):
+    rows = [(1, COPY), (None, COPY), (None, "other"), (5, COPY), (5, "another"), (8, "x y"), (8, "x  y"), (8, "x y")]
+    docs = spark.createDataFrame(
+        [(i, t, "en", "s", 1) for i, t in rows[::turn]], "doc_id long, text string, lang string, source string, n_chars long"
+    )
+    kept = corpus_pipeline.drop_copies(spark, docs, SF)
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    assert got == sorted([(1, COPY), (None, "other"), (5, "another"), (8, "x  y")], key=str)
+    near = [(None, COPY + "end"), (5, "end " + COPY), (3, COPY), (5, "another"), (None, "other")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in near[::turn]], docs.schema)
+    kept = corpus_pipeline.drop_near_copies(spark, docs, SF)
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    assert got == sorted([(3, COPY), (5, "another"), (None, "other")], key=str)
+
+
 def test_language_stage_drops_only_texts_without_a_letter(spark):
     docs = documents(spark, [t for _, t in EDGE_ROWS]).withColumn("score", F.lit(1))
     kept = corpus_pipeline.drop_unknown_language(spark, docs, SF)
@@ -89,9 +109,9 @@ def test_pipeline_runs_and_packs_what_is_left(spark):
             break
 
 
-def test_all_eleven_queries_are_registered():
+def test_all_queries_are_registered():
     names = entry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
     assert "pipeline" in names
 
