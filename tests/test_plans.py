@@ -1,5 +1,7 @@
 """Physical plans: what reaches the files, what stays in the JVM, what is shuffled."""
 
+import re
+
 import pytest
 from conftest import SF_DIR
 from pyspark.sql import functions as F
@@ -81,3 +83,14 @@ def test_fits_use_their_own_partition_count(spark):
 
 def test_every_oracle_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+@pytest.mark.parametrize("name", ["c7_cv_scores_closed", "c8_select_model"])
+def test_folds_are_fitted_without_joining_days_with_folds(spark, name):
+    """Running sums: no join of a series' days with its folds, by range or filtered after."""
+    plan = plan_of(entry.queries()[name](spark, SF_DIR))
+    joins = re.findall(r"(?:Join|Product)[^\n]*", plan)
+    assert joins and not any("train_start_ds" in join or "<=" in join for join in joins)
+    # Days meet actual values by series and day, and folds carry their fits.
+    assert not re.search(r"Filter [^\n]*train_start_ds", plan)
+    assert "fold_id" not in "".join(joins)

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidecast.operators import folds as fd
+from tidecast.operators import forecast_closed as fc
 from tidecast.operators import holidays as hol
 from tidecast.operators import params as pm
 from tidecast.operators import reports as rp
@@ -181,3 +182,24 @@ def test_a_day_without_a_transform_is_an_error(spark, kind, lam):
         ts.transform(days, kind, lam).collect()
     assert ts.transform(days.where("y is null or y > 0"), kind, lam).where("y is null").count() == 1
     assert ts.transform(days, "box_cox", 0.5).where("y is null").count() == 1
+
+
+@pytest.mark.parametrize("cv_type", fd.CV_TYPES)
+def test_running_sums_give_the_fits_of_the_training_rows(spark, cv_type):
+    """Two series of different length, with gaps and days without a value, and a short one."""
+    rows = [
+        ("a", FIRST + timedelta(days=k + k // 9), None if k % 11 == 3 else (k * 37 % 101) + 0.25 * k)
+        for k in range(90)
+    ]
+    rows += [("b", date(2021, 3, 5) + timedelta(days=k), float(k % 7)) for k in range(40)]
+    rows += [("c", date(2021, 3, 5), 1.0), ("d", date(2021, 3, 5), None)]
+    series = spark.createDataFrame(rows, "series_id string, ds date, y double").repartition(4)
+    folds = fd.fold_table(series, 7, 30, cv_type)
+    keys = ["series_id", "fold_id"]
+    want = fc.fit(fd.fold_train_rows(series, folds), keys, "2020-01-01").orderBy(*keys).collect()
+    got = fc.fold_fits(series, 7, 30, cv_type, "2020-01-01").orderBy(*keys).collect()
+    assert len(got) == len(want) == folds.count() > 8
+    for one, other in zip(got, want, strict=True):
+        assert [one[k] for k in keys] == [other[k] for k in keys]
+        for name in fc.FIT_COLUMNS:
+            assert one[name] == pytest.approx(other[name], rel=1e-9, abs=1e-9), name

@@ -29,7 +29,8 @@ def fold_table(
 ) -> DataFrame:
     """``(series_id, fold_id, train_start, cutoff, horizon, train_start_ds,
     train_end_ds)``, fold 0 being the earliest. Rolling windows train on the last
-    ``train_length`` rows before the cutoff, backtesting on all of them."""
+    ``train_length`` rows before the cutoff, backtesting on all of them. Further columns of
+    ``series`` come along, with their values in the last training row."""
     if cv_type not in CV_TYPES:
         raise ValueError(f"cv_type must be one of {CV_TYPES}, not {cv_type!r}")
     rolling = cv_type == "rolling_window"
@@ -38,7 +39,8 @@ def fold_table(
         if rolling
         else F.min("ds").over(ts.whole_series())
     )
-    rows = ts.indexed(series.select("series_id", "ds")).withColumn("train_start_ds", first_ds)
+    more = [c for c in series.columns if c not in ("series_id", "ds", "y")]
+    rows = ts.indexed(series.select("series_id", "ds", *more)).withColumn("train_start_ds", first_ds)
     cutoff = F.col("rn") + 1
     after = F.col("n") - cutoff
     folds_in_series = F.floor((F.col("n") - train_length - 1) / pred_size)
@@ -52,6 +54,7 @@ def fold_table(
         F.lit(pred_size).alias("horizon"),
         "train_start_ds",
         F.col("ds").alias("train_end_ds"),
+        *more,
     )
 
 
@@ -76,12 +79,12 @@ def fold_train_rows(series: DataFrame, folds: DataFrame) -> DataFrame:
     )
 
 
-def fold_test_dates(folds: DataFrame) -> DataFrame:
+def fold_test_dates(folds: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """The calendar days each fold has to predict: ``horizon`` days after its last row."""
     days = F.sequence(
         F.date_add("train_end_ds", 1), F.date_add("train_end_ds", F.col("horizon"))
     )
-    return folds.select("series_id", "fold_id", F.explode(days).alias("ds"))
+    return folds.select("series_id", "fold_id", F.explode(days).alias("ds"), *carry)
 
 
 def fold_frame(frame: DataFrame, folds: DataFrame) -> DataFrame:

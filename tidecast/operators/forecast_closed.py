@@ -8,8 +8,9 @@ effects.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from tidecast.operators import folds as fd
 from tidecast.operators import holidays as hol
 from tidecast.operators import series as ts
 
@@ -40,61 +41,111 @@ def day_number(ds: Column, origin: str) -> Column:
     return F.datediff(ds, F.to_date(F.lit(origin)))
 
 
-def fit(rows: DataFrame, keys: list[str], origin: str = ts.HISTORY_START) -> DataFrame:
-    """K7: sums per key over rows with ``ds`` and ``y``; one output row per key."""
-    on_day = F.weekday("ds")
-    numbered = rows.where(F.col("y").isNotNull()).select(
-        *keys, on_day.alias("wd"), day_number(F.col("ds"), origin).cast("double").alias("x"), "y"
-    )
+def _day_values(origin: str) -> dict[str, Column]:
+    """What a row adds to each sum of a fit; a row without y adds nothing."""
+    seen = F.col("y").isNotNull()
+    x, y = day_number(F.col("ds"), origin).cast("double"), F.col("y")
+    values = {"n": F.lit(1.0), "sx": x, "sy": y, "sxx": x * x, "sxy": x * y}
+    for d in WEEKDAYS:
+        on_day = F.weekday("ds") == d
+        for name, value in (("n", F.lit(1.0)), ("sx", x), ("sy", y)):
+            values[f"wd_{name}_{d}"] = F.when(on_day, value).otherwise(0.0)
+    return {name: F.when(seen, value).otherwise(0.0) for name, value in values.items()}
 
-    def per_weekday(value: str) -> Column:
-        sums = [f"coalesce(sum({value}) FILTER (WHERE wd = {d}), 0D)" for d in WEEKDAYS]
-        return F.expr(f"array({', '.join(sums)})")
-
-    sums = numbered.groupBy(*keys).agg(
-        F.expr("double(count(*))").alias("n"),
-        F.expr("sum(x)").alias("sx"),
-        F.expr("sum(y)").alias("sy"),
-        F.expr("sum(x * x)").alias("sxx"),
-        F.expr("sum(x * y)").alias("sxy"),
-        per_weekday("1D").alias("wd_n"),
-        per_weekday("x").alias("wd_sx"),
-        per_weekday("y").alias("wd_sy"),
-    )
+
+def _fit_columns(sums: DataFrame, keep: list[str]) -> DataFrame:
+    """The slope from the sums, and the sums per weekday as arrays."""
     slope = F.try_divide(
         F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy"),
         F.col("n") * F.col("sxx") - F.col("sx") * F.col("sx"),
     )
+    weekdays = [
+        F.array(*[F.col(f"wd_{name}_{d}") for d in WEEKDAYS]).alias(f"wd_{name}")
+        for name in ("n", "sx", "sy")
+    ]
     return sums.select(
-        *keys, "n", "sx", "sy", "wd_n", "wd_sx", "wd_sy",
-        F.coalesce(slope, F.lit(0.0)).alias("slope"),
+        *keep, "n", "sx", "sy", *weekdays, F.coalesce(slope, F.lit(0.0)).alias("slope")
     )
 
 
-def predict(frame: DataFrame, fitted: DataFrame, keys: list[str], origin: str = ts.HISTORY_START):
-    """K7: ``yhat`` with its ``trend`` and ``weekly`` parts for every row of ``frame``.
+FIT_COLUMNS = ["n", "sx", "sy", "wd_n", "wd_sx", "wd_sy", "slope"]
+
+
+def fit(rows: DataFrame, keys: list[str], origin: str = ts.HISTORY_START) -> DataFrame:
+    """K7: sums per key over rows with ``ds`` and ``y``; one output row per key."""
+    values = _day_values(origin)
+    known = rows.where(F.col("y").isNotNull())
+    sums = known.groupBy(*keys).agg(*[F.sum(v).alias(name) for name, v in values.items()])
+    return _fit_columns(sums, keys)
+
+
+def fold_fits(
+    series: DataFrame,
+    pred_size: int,
+    train_length: int = fd.TRAIN_LENGTH,
+    cv_type: str = "rolling_window",
+    origin: str = ts.HISTORY_START,
+) -> DataFrame:
+    """K7 for every fold of ``fold_table``, with its columns and those of ``fit``.
+
+    Each row carries the running sums of its series. The fit of a fold is the difference of
+    two running rows, its last training row and the row before its first one, so the cost is
+    one pass over the days, however many folds a day lies in.
+    """
+    values = _day_values(origin)
+    so_far = ts.by_date().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = F.struct(*[F.sum(v).over(so_far).alias(name) for name, v in values.items()])
+    rows = series.select("series_id", "ds", running.alias("sums"))
+    rolling = cv_type == "rolling_window"
+    if rolling:
+        rows = rows.withColumn("before", F.lag("sums", train_length).over(ts.by_date()))
+    folds = fd.fold_table(rows, pred_size, train_length, cv_type)
+
+    def of_fold(name: str) -> Column:
+        upto = F.col(f"sums.{name}")
+        return upto - F.coalesce(F.col(f"before.{name}"), F.lit(0.0)) if rolling else upto
+
+    own = [c for c in folds.columns if c not in ("sums", "before")]
+    sums = folds.select(*own, *[of_fold(name).alias(name) for name in values])
+    return _fit_columns(sums.where(F.col("n") > 0), own)
+
+
+def on_days(frame: DataFrame) -> DataFrame:
+    """Of a fit's sums per weekday, those of the weekday of ``ds``."""
+    day = F.weekday("ds")
+    names = ("wd_n", "wd_sx", "wd_sy")
+    return frame.withColumns({f"day_{n}": F.get(n, day) for n in names}).drop(*names)
+
+
+def weighted(frame: DataFrame, origin: str = ts.HISTORY_START) -> DataFrame:
+    """``yhat`` with its parts for rows that carry a fit (see ``on_days``).
 
     ``frame`` may carry ``trend_weight`` and ``weekday_weight``; without them both are 1.
     """
     trend_w = F.col("trend_weight") if "trend_weight" in frame.columns else F.lit(BASELINE[0])
     week_w = F.col("weekday_weight") if "weekday_weight" in frame.columns else F.lit(BASELINE[1])
-    fits = [c for c in fitted.columns if c not in keys]
-    day = F.weekday("ds")
     slope = F.col("slope") * trend_w
     intercept = (F.col("sy") - slope * F.col("sx")) / F.col("n")
-    seen = F.get("wd_n", day)
-    weekday_gap = (F.get("wd_sy", day) - intercept * seen - slope * F.get("wd_sx", day)) / F.when(
+    seen = F.col("day_wd_n")
+    weekday_gap = (F.col("day_wd_sy") - intercept * seen - slope * F.col("day_wd_sx")) / F.when(
         seen > 0, seen
     )
     trend = intercept + slope * day_number(F.col("ds"), origin)
     return (
-        frame.join(fitted, keys)
-        .withColumns({"trend": trend, "weekly": F.coalesce(weekday_gap, F.lit(0.0)) * week_w})
+        frame.withColumns({"trend": trend, "weekly": F.coalesce(weekday_gap, F.lit(0.0)) * week_w})
         .withColumn("yhat", F.col("trend") + F.col("weekly"))
-        .drop(*fits)
+        .drop("n", "sx", "sy", "slope", "day_wd_n", "day_wd_sx", "day_wd_sy")
     )
 
 
+def predict(frame: DataFrame, fitted: DataFrame, keys: list[str], origin: str = ts.HISTORY_START):
+    """K7: ``yhat`` with its ``trend`` and ``weekly`` parts for every row of ``frame``.
+
+    ``frame`` may carry ``trend_weight`` and ``weekday_weight``; without them both are 1.
+    """
+    return weighted(on_days(frame.join(fitted, keys)), origin)
+
+
 def day_sets(holidays: DataFrame) -> DataFrame:
     """``holiday_set`` per day: all holiday effects that fall on it."""
     return hol.features_by_day(holidays).withColumnRenamed("effects", "holiday_set")

@@ -25,15 +25,15 @@ def cv_scores_closed(
 ) -> DataFrame:
     """C7 for the closed form: error per series, fold and weight pair.
 
-    All folds are fitted by one aggregation; the weights only change the prediction.
+    All folds are fitted from running sums, and each carries its fit to the days it has to
+    predict; the weights only change the prediction.
     """
-    folds = fd.fold_table(series, horizon, train_length, cv_type)
-    fitted = fc.fit(fd.fold_train_rows(series, folds), ["series_id", "fold_id"], origin)
-    days = sc.align(fd.fold_test_dates(folds), series)
+    folds = fc.fold_fits(series, horizon, train_length, cv_type, origin)
+    days = fc.on_days(fd.fold_test_dates(folds, tuple(fc.FIT_COLUMNS)))
+    aligned = sc.align(days, series)
     params = fc.closed_params(series.sparkSession)
-    work = pm.work_list(days, params).drop("set_bucket")
-    predicted = fc.predict(work, fitted, ["series_id", "fold_id"], origin)
-    return sc.smape(predicted, FIT_KEYS, level)
+    work = pm.work_list(aligned, params).drop("set_bucket")
+    return sc.smape(fc.weighted(work, origin), FIT_KEYS, level)
 
 
 def cv_scores_additive(
