@@ -70,13 +70,9 @@ class Design:
             columns.append(there.cast("double"))
         return F.array(*columns) if columns else F.array().cast("array<double>")
 
-    def cells(self, origin: Column) -> Column:
-        """The upper triangle of the outer product of (1, day - origin, terms, y), row by row."""
-        row = F.concat(F.array(F.lit(1.0), self.day() - origin), self.terms(), F.array("y"))
-        n = self.size + 1
-        return F.flatten(
-            F.transform(row, lambda a, i: F.transform(F.slice(row, i + 1, F.lit(n) - i), lambda b: a * b))
-        )
+    def row(self, origin: Column) -> Column:
+        """(1, day - origin, terms, y)."""
+        return F.concat(F.array(F.lit(1.0), self.day() - origin), self.terms(), F.array("y"))
 
     def prior(self) -> np.ndarray:
         """Precision of each coefficient."""
@@ -85,6 +81,14 @@ class Design:
         return out
 
 
+def products(row: str) -> Column:
+    """The upper triangle of the outer product of an array with itself, line by line."""
+    column = F.col(row)
+    return F.flatten(
+        F.transform(column, lambda a, i: F.transform(F.slice(column, i + 1, F.size(column) - i), lambda b: a * b))
+    )
+
+
 def effect_names(holidays: DataFrame | None) -> list[str]:
     """The holiday effects of a table of holidays with windows: as many as the calendar names."""
     if holidays is None:
@@ -103,10 +107,10 @@ def day_sums(rows: DataFrame, design: Design, keys: list[str], origin: str) -> D
     """
     known = rows.where(F.col("y").isNotNull())
     start = F.datediff(F.to_date(F.lit(origin)), F.to_date(F.lit(EPOCH))).cast("double")
-    products = known.select(
-        *keys, array_to_vector(design.cells(start)).alias("cells"), design.day().alias("day"), "y"
-    )
-    return products.groupBy(*keys).agg(
+    # A column of its own, so that it is made once per day and not once per product.
+    made = known.select(*keys, design.row(start).alias("row"), design.day().alias("day"), "y")
+    squared = made.withColumn("cells", array_to_vector(products("row")))
+    return squared.groupBy(*keys).agg(
         vector_to_array(Summarizer.sum(F.col("cells"))).alias("cells"),
         F.min("day").alias("low_day"),
         F.max("day").alias("high_day"),
