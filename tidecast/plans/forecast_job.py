@@ -22,6 +22,7 @@ from tidecast.operators import reports as rp
 from tidecast.operators import scoring as sc
 from tidecast.operators import series as ts
 from tidecast.operators import tuning as tn
+from tidecast.operators.daily_summary import DailySummary
 from tidecast.plans import registry as rg
 from tidecast.session import cut_lineage
 from tidecast.sources import scans
@@ -219,9 +220,13 @@ def forecast_account(
     scope: rg.Scope | None = None,
     regressor: DataFrame | None = None,
     pos: str | list[str] = "All",
+    kept: DailySummary | None = None,
 ) -> ForecastResult:
     """The whole job for one account and any of its metrics.
 
+    With a ``kept`` summary of these metrics (see ``registry.kept_metrics``) the history is read
+    from it, and the facts behind it are not read at all.
+
     Without a ``scope`` it covers the history up to the day before the run date, for the
     chosen ``pos``; a given scope is cut there too.
 
@@ -231,7 +236,10 @@ def forecast_account(
     end_date = str(date.fromisoformat(options.run_date) - timedelta(days=1))
     scope = scope or rg.Scope(options.start_date, end_date, pos=pos)
     scope = replace(scope, end=min(scope.end, end_date))
-    daily_pos = cut_lineage(rg.metrics_long(tables, account_name, metrics, scope))
+    if kept is None:
+        daily_pos = cut_lineage(rg.metrics_long(tables, account_name, metrics, scope))
+    else:
+        daily_pos = kept.read(date.fromisoformat(scope.start), date.fromisoformat(scope.end))
     series_id = (
         F.concat_ws("/", "series_id", "pos") if options.per_pos else F.col("series_id")
     )

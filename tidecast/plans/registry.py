@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from datetime import date
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidecast.functions import attribution as at
+from tidecast.operators import daily_summary as ds
 from tidecast.operators import metrics as mt
 from tidecast.sources import scans
 
@@ -253,3 +255,28 @@ def metrics_long(
             )
             parts.append(table.unpivot(METRIC_KEYS, columns, "series_id", "value"))
     return mt.stack_facts(*parts).where(F.col("value").isNotNull())
+
+
+METRIC_SCHEMA = "pos string, series_id string, value double"
+
+
+def kept_metrics(
+    spark: SparkSession,
+    folder: str,
+    tables: Tables,
+    account_name: str,
+    metrics: list[str],
+    scope: Scope,
+    grain: str = "month",
+) -> ds.DailySummary:
+    """``metrics_long`` kept by part: built once, and again only where something touched it.
+
+    ``scope`` says all but the days.
+    """
+
+    def build(start: date, end: date) -> DataFrame:
+        own = replace(scope, start=str(start), end=str(end))
+        rows = metrics_long(tables, account_name, metrics, own)
+        return rows.select("yyyy_mm_dd", "pos", "series_id", "value")
+
+    return ds.DailySummary(spark, folder, build, METRIC_SCHEMA, ["value"], grain)
