@@ -11,7 +11,7 @@ from tidecast.operators import series as ts
 from tidecast.plans import forecast_job as fj
 from tidecast.plans import run_job
 from tidecast.plans.metric_queries import scope
-from tidecast.sources.csv_files import read_daily_prediction
+from tidecast.sources.csv_files import read_daily_prediction, read_runs
 
 
 def options(**changes):
@@ -145,9 +145,18 @@ def test_command_line(spark, tables, tmp_path):
          "--pos", "NATION1", "NATION2"]
     )
     result = run_job.run(spark, args)
-    assert result.prediction.count() == 28
+    first = sorted(map(tuple, result.prediction.collect()))
+    assert len(first) == 28
+    # Again, now with a kept summary: built on the first run, read on the next.
+    args.kept = str(tmp_path / "kept")
+    for touched in (None, ["2021-02-03"]):
+        args.touched = touched
+        again = run_job.run(spark, args)
+        assert sorted(map(tuple, again.prediction.collect())) == first
     lines = spark.read.option("header", True).csv(str(tmp_path / "out" / "daily_prediction"))
-    assert lines.columns == ["series_id", "ds", "yhat"] and lines.count() == 28
+    assert lines.columns == ["series_id", "ds", "yhat", "run_date"] and lines.count() == 28
+    back = read_runs(spark, str(tmp_path / "out" / "daily_prediction"), "series_id string, ds date, yhat double")
+    assert sorted(map(tuple, back.drop("run_date").collect())) == first
 
 
 def test_transformed_job_predicts_on_the_given_scale(spark):

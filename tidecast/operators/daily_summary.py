@@ -13,6 +13,7 @@ from collections.abc import Callable, Iterable
 from datetime import date, timedelta
 from itertools import groupby
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidecast.sources import parted_output as po
@@ -99,6 +100,18 @@ class DailySummary:
             return None
         return po.write_parts(self.rows_for(parts), self.folder, PART, parts, self.sums)
 
+    def missing(self, start: date, end: date) -> list[date]:
+        """The first days of the parts of a range that were never built."""
+        wanted = parts_between(start, end, self.grain)
+        try:
+            rows = po.read_manifest(self.spark, self.folder, PART).select(PART).distinct().collect()
+        except AnalysisException as error:
+            # Nothing was ever written there.
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return wanted
+        return sorted(set(wanted).difference(r[PART] for r in rows))
+
     def read(self, start: date, end: date, check: bool = False) -> DataFrame:
         """The rows of a range of days; with ``check``, held against the manifest first.
 

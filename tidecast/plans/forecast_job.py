@@ -26,7 +26,7 @@ from tidecast.operators.daily_summary import DailySummary
 from tidecast.plans import registry as rg
 from tidecast.session import cut_lineage
 from tidecast.sources import scans
-from tidecast.sources.csv_files import write_csv
+from tidecast.sources.csv_files import write_csv, write_run
 
 # --- Fixed values ---------------------------------------------------------------------
 DEFAULT_HORIZON = 90
@@ -84,6 +84,13 @@ class ForecastResult:
         """E6 on demand."""
         return rp.year_over_year(self.prediction, self.history)
 
+    def write_run(self, folder: str, run_date: str) -> None:
+        """S10 for a daily job: each file holds one part per run date, and writing a run again
+        replaces its part (see ``csv_files.write_run``)."""
+        write_run(self.prediction, f"{folder}/daily_prediction", run_date, ["yhat"])
+        write_run(self.weekly, f"{folder}/weekly_aggregates", run_date, ["yhat"])
+        write_run(self.components, f"{folder}/components", run_date, ["yhat"])
+
     def write_csv(self, folder: str, mode: str = "errorifexists") -> None:
         """Daily, weekly and component files."""
         write_csv(self.prediction, f"{folder}/daily_prediction", mode)

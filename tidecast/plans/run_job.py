@@ -11,7 +11,7 @@ from __future__ import annotations
 import argparse
 import json
 import sys
-from datetime import date
+from datetime import date, timedelta
 from pathlib import Path
 
 # A script is started without its package; the session helper then sends it to executors.
@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 
 from tidecast.operators import folds as fd  # noqa: E402
 from tidecast.operators import scoring as sc  # noqa: E402
+from tidecast.operators.daily_summary import DailySummary  # noqa: E402
 from tidecast.plans import forecast_job as fj  # noqa: E402
 from tidecast.plans import registry as rg  # noqa: E402
 from tidecast.session import get_session  # noqa: E402
@@ -39,6 +40,11 @@ def arguments() -> argparse.ArgumentParser:
     parser.add_argument("--cv_type", default="rolling_window", choices=fd.CV_TYPES)
     parser.add_argument("--pos", nargs="+", default=["All"])
     parser.add_argument("--per_pos", action="store_true", help="one series per point of sale")
+    parser.add_argument("--kept", help="folder of the kept summary; built on the first run")
+    parser.add_argument(
+        "--touched", nargs="*", default=None,
+        help="days to build again; without it all days that the kept summary lacks",
+    )
     parser.add_argument("--level_shift", action="store_true", help="add the year-end regressor")
     return parser
 
@@ -50,6 +56,21 @@ def open_tables(spark: SparkSession, names: dict[str, str]) -> dict[str, DataFra
     }
 
 
+def kept_history(
+    spark: SparkSession, args: argparse.Namespace, tables: dict, options: fj.ForecastOptions
+) -> DailySummary:
+    """The kept summary of the asked metrics, with missing and touched days built."""
+    first = date.fromisoformat(options.start_date)
+    last = date.fromisoformat(options.run_date) - timedelta(days=1)
+    scope = rg.Scope(str(first), str(last), pos=args.pos)
+    folder = f"{args.kept.rstrip('/')}/{args.account}"
+    kept = rg.kept_metrics(spark, folder, tables, args.account, args.metric_class, scope)
+    days = {date.fromisoformat(day) for day in args.touched or ()}
+    # The part of the last day goes on until its month is over.
+    kept.refresh(days | set(kept.missing(first, last)) | {last})
+    return kept
+
+
 def run(spark: SparkSession, args: argparse.Namespace) -> fj.ForecastResult:
     with open(args.tables) as file:
         tables = open_tables(spark, json.load(file))
@@ -62,10 +83,13 @@ def run(spark: SparkSession, args: argparse.Namespace) -> fj.ForecastResult:
         level_shift=args.level_shift,
         per_pos=args.per_pos,
     )
+    kept = None
+    if args.kept:
+        kept = kept_history(spark, args, tables, options)
     result = fj.forecast_account(
-        tables, args.account, args.metric_class, options, pos=args.pos
+        tables, args.account, args.metric_class, options, pos=args.pos, kept=kept
     )
-    result.write_csv(args.out)
+    result.write_run(args.out, args.run_date)
     return result
 
 

@@ -546,7 +546,8 @@ def c6_work_list(t: Tables):
 @query(
     "k7_closed_form",
     f"""SELECT series_id, {DS}, round(trend, 2) AS trend, round(weekly, 2) AS weekly,
-               round(holidays, 2) AS holidays, round(yhat, 2) AS yhat FROM closed_forecast""",
+               round(holidays, 2) AS holidays, round(yhat, 2) AS yhat FROM closed_forecast
+        ORDER BY ALL""",
 )
 def k7_closed_form(t: Tables):
     parts = ["trend", "weekly", "holidays", "yhat"]
@@ -614,7 +615,7 @@ def c8_select_model(t: Tables):
     "j10_score_align",
     f"""SELECT f.series_id, CAST(f.ds AS VARCHAR) AS ds, round(yhat, 2) AS yhat, s.y
         FROM closed_forecast f LEFT JOIN series_pos s
-        ON f.series_id = s.series_id AND f.ds = s.ds""",
+        ON f.series_id = s.series_id AND f.ds = s.ds ORDER BY ALL""",
 )
 def j10_score_align(t: Tables):
     forecast = closed_forecast(t).select("series_id", "ds", "yhat")
@@ -704,7 +705,7 @@ def e6_yoy(t: Tables):
 @query(
     "e8_residuals",
     f"""SELECT series_id, {DS}, round(yhat, 2) AS yhat, y, round(yhat - y, 2) AS residual
-        FROM closed_forecast WHERE y IS NOT NULL""",
+        FROM closed_forecast WHERE y IS NOT NULL ORDER BY ALL""",
 )
 def e8_residuals(t: Tables):
     """E8 + J14 + M13."""
@@ -731,14 +732,20 @@ def w6_winsorize(t: Tables):
     return rounded(rp.winsorize(table, "residual", "residual2"), "residual", "residual2")
 
 
-@query("s10_csv_round_trip", f"SELECT series_id, {DS}, yhat FROM closed_prediction")
+def written_twice(t: Tables) -> str:
+    """The folder of a daily prediction whose run was written twice."""
+    folder = f"{shared_folder(t.spark)}/daily_prediction_{uuid.uuid4().hex}"
+    prediction = t.settle("prediction", lambda: closed_prediction(t))
+    for _ in range(2):
+        csv_files.write_run(prediction, folder, END, ["yhat"])
+    return folder
+
+
+@query("s10_csv_round_trip", f"SELECT series_id, {DS}, yhat FROM closed_prediction ORDER BY ALL")
 def s10_csv_round_trip(t: Tables):
-    """S10 + S11: write the daily prediction as CSV and read it back."""
-    path = f"{shared_folder(t.spark)}/daily_prediction_{uuid.uuid4().hex}"
-    csv_files.write_csv(closed_prediction(t), path)
-    return csv_files.read_daily_prediction(
-        t.spark, path, "series_id string, ds string, yhat double"
-    )
+    """S10 + S11: write the daily prediction as CSV, twice, and read one copy back."""
+    rows = csv_files.read_runs(t.spark, written_twice(t), "series_id string, ds date, yhat double", END)
+    return rows.drop(csv_files.RUN)
 
 
 SQL_VIEWS["flag_series"] = (

@@ -159,7 +159,10 @@ def with_views(body: str, views: dict[str, str]) -> str:
     body = body.strip()
     if not needed:
         return body
-    head = ",\n".join(f"{name} AS ({views[name]})" for name in needed)
+    # Views that several others read are computed once.
+    read = {name: sum(bool(re.search(rf"\b{name}\b", views[other])) for other in needed) for name in needed}
+    once = {name: " MATERIALIZED" if read[name] > 1 else "" for name in needed}
+    head = ",\n".join(f"{name} AS{once[name]} ({views[name]})" for name in needed)
     if body.upper().startswith("WITH "):
         return f"WITH {head},\n{body[5:]}"
     return f"WITH {head}\n{body}"
