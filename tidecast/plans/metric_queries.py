@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from tidecast.functions import attribution as at
 from tidecast.functions import dates as dt
 from tidecast.functions import numbers as nm
+from tidecast.operators import daily_summary as ds
 from tidecast.operators import joins
 from tidecast.operators import metrics as mt
 from tidecast.plans import registry as rg
 from tidecast.plans.catalog import SQL_VIEWS, query
+from tidecast.session import shared_folder
 from tidecast.sources import scans
 from tidecast.sources.standin import END, MAX_RPB, STANDIN_PARTNERS, START, Tables
 
@@ -18,8 +23,6 @@ DAYS = f"BETWEEN DATE '{START}' AND DATE '{END}'"
 OVERRIDE = ("NATION9", 3)
 
 
-# Text rules in SQL, from the same fixed patterns. Written from the rules' meaning: the
-# mobile test is one alternation over label and name, empty matches fall through.
 HOTEL_SQL = (
     f"coalesce(TRY_CAST(nullif(regexp_extract(label, '{at.HOTEL_IN_LABEL}', 1), '')"
     " AS INTEGER), hotel_id)"
@@ -1070,3 +1073,49 @@ def m11_week_year(t: Tables):
         dt.week_year(day, "iso").alias("iso_year"),
         dt.date_text(day).alias("day"),
     )
+
+
+# --- kept summaries ----------------------------------------------------------------------
+
+KEPT_METRICS = ["GrossCommission", "Cancellations"]
+RESTATED = (date(1997, 3, 4), date(1997, 3, 5))
+
+
+@query(
+    "g_kept_summary",
+    f"""SELECT {DAY}, pos, 'gross_commission' AS series_id,
+               CAST(sum(commission) AS DOUBLE) AS value FROM perf_4 GROUP BY ALL
+        UNION ALL
+        SELECT {DAY}, pos, 'cancellations', CAST(sum(cancellations) AS DOUBLE)
+        FROM cancel_4 GROUP BY ALL""",
+)
+def g_kept_summary(t: Tables):
+    """G5 + G9 + K11 kept by month: built before some reservations were made or cancelled and
+    two days were restated, then brought up to date in the months these touch."""
+    late = F.col("created").cast("date").between("2001-06-01", "2001-06-20")
+    new = F.col("created").cast("date") >= "2001-12-01"
+    restated = F.col("yyyy_mm_dd").isin(*RESTATED)
+    cost = F.col("commission_amount_euro")
+    before = {
+        **t,
+        "reservations": t.reservations.where(~new).withColumn(
+            "date_cancelled", F.when(~late, F.col("date_cancelled"))
+        ),
+        "performance": t.performance.withColumn(
+            "commission_amount_euro", F.when(restated, cost * 2).otherwise(cost)
+        ),
+    }
+    folder = f"{shared_folder(t.spark)}/kept_metrics_{uuid.uuid4().hex}"
+    first, last = date.fromisoformat(START), date.fromisoformat(END)
+
+    def kept(tables):
+        return rg.kept_metrics(
+            t.spark, folder, tables, "account_4", KEPT_METRICS, scope("account_4")
+        )
+
+    kept(before).refresh(ds.parts_between(first, last, "month"))
+    changed = t.reservations.where(late | new)
+    touched = ds.touched_days(changed, F.col("created"), F.col("date_cancelled"))
+    now = kept(t)
+    now.refresh([d for d in (*touched, *RESTATED) if first <= d <= last])
+    return now.read(first, last)
