@@ -16,6 +16,7 @@ from tidecast.operators import metrics as mt
 from tidecast.plans import registry as rg
 from tidecast.plans.catalog import SQL_VIEWS, query
 from tidecast.session import shared_folder
+from tidecast.sources import bucketed as bk
 from tidecast.sources import scans
 from tidecast.sources.standin import END, MAX_RPB, STANDIN_PARTNERS, START, Tables
 
@@ -536,13 +537,14 @@ def j3_existence_join(t: Tables):
     )
 
 
-@query(
-    "j4_score_fallback",
-    """SELECT r.id, count(*) AS copies,
-              CAST(sum(1 - coalesce(prediction, nits_score, 0)) AS DOUBLE) AS kept
-       FROM reservations r LEFT JOIN pref USING (id) LEFT JOIN fall USING (id)
-       GROUP BY r.id""",
-)
+SCORE_FALLBACK_SQL = """
+    SELECT r.id, count(*) AS copies,
+           CAST(sum(1 - coalesce(prediction, nits_score, 0)) AS DOUBLE) AS kept
+    FROM reservations r LEFT JOIN pref USING (id) LEFT JOIN fall USING (id)
+    GROUP BY r.id"""
+
+
+@query("j4_score_fallback", SCORE_FALLBACK_SQL)
 def j4_score_fallback(t: Tables):
     rows = t.reservations.select(F.col("id").alias("hotelreservation_id"))
     joined = joins.score_fallback_join(
@@ -555,6 +557,20 @@ def j4_score_fallback(t: Tables):
     )
 
 
+@query("j4_bucketed_join", SCORE_FALLBACK_SQL)
+def j4_bucketed_join(t: Tables):
+    """J3 / J4 on reservations and scores that were written by reservation id."""
+    mark, rows = uuid.uuid4().hex[:12], t.reservations.select("id")
+    scores = {
+        "preferred": scans.preferred_scores(t.preferred_scores, START, END),
+        "fallback": scans.fallback_scores(t.fallback_scores, START, END),
+    }
+    made = [bk.write_bucketed(rows, f"reservations_{mark}", "id", 16)]
+    made += [bk.write_bucketed(df, f"{name}_{mark}", bk.ID, 16) for name, df in scores.items()]
+    joined = bk.bucketed_score_join(*made)
+    return joined.select(F.col(bk.ID).alias("id"), "copies", F.col("kept").cast("double"))
+
+
 @query(
     "j5_full_outer",
     f"""SELECT hotel_id, locale, device, {DAY}, CAST(clicks AS BIGINT) AS clicks,
