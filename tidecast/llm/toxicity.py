@@ -204,7 +204,7 @@ class Lists:
 
     @classmethod
     def of(cls, docs: list[np.ndarray]) -> Lists:
-        terms = np.concatenate([np.zeros(0, np.int64), *docs])
+        terms = np.concatenate([np.zeros(0, np.int32), *docs])
         return cls(terms, np.cumsum([0, *map(len, docs)]))
 
     def within(self, used: np.ndarray) -> Lists:
@@ -228,13 +228,14 @@ class Lists:
             for own, n_own in zip(np.split(at[mine], cuts), np.split(n, cuts), strict=True):
                 before = np.repeat(np.cumsum(n_own) - n_own, n_own)
                 later = np.arange(len(before)) - before + np.repeat(own + 1, n_own)
-                key = np.repeat((self.terms[own] - first) * size, n_own) + self.terms[later]
+                key = np.repeat((self.terms[own] - first) * size, n_own)
+                key += self.terms[later]
                 counts += np.bincount(key, minlength=len(counts))
             yield first, counts.reshape(rows, size)
 
 
 # Cells and pairs that one step of counting works on, and shares of the terms.
-STEP_CELLS, STEP_PAIRS, PAIR_SHARES = 1 << 21, 1 << 21, 16
+STEP_CELLS, STEP_PAIRS, PAIR_SHARES = 1 << 20, 1 << 20, 16
 
 
 def telling_pairs(survey: Survey, toxic: Lists, clean: Lists, low: int, high: int) -> np.ndarray:
@@ -326,8 +327,7 @@ def fit_toxicity(
         model.fit(docs_, np.array(labels_, np.float64))
         yield pa.RecordBatch.from_arrays([pa.array([model.packed()], pa.binary())], names=["model"])
 
-    slim = with_terms(made, learned, "doc_id", own_numbers=False)
-    one = slim.repartition(1).sortWithinPartitions("doc_id").mapInArrow(train, "model binary")
+    one = with_terms(made, learned).repartition(1).sortWithinPartitions("doc_id").mapInArrow(train, "model binary")
     return bytes(one.first()["model"])
 
 
@@ -350,26 +350,49 @@ def count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
-def with_terms(made: DataFrame, kept: np.ndarray, *columns: str, own_numbers: bool) -> DataFrame:
-    """The sample with the terms of ``kept`` (sorted) only, as their places there if asked for."""
+def with_terms(made: DataFrame, kept: np.ndarray) -> DataFrame:
+    """The sample with the terms of ``kept`` only."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        used = np.zeros(BUCKETS, bool)
+        used[kept] = True
+        for batch in batches:
+            rows = [own[used[own]] for own in (x.values.to_numpy() for x in batch.column("terms"))]
+            flags = np.clip(batch.column("toxic").to_numpy(), 0, 1)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(flags), pa.array(rows, pa.list_(pa.int32()))],
+                names=["doc_id", "toxic", "terms"],
+            )
+
+    return made.mapInArrow(run, made.schema)
+
+
+def dealt_terms(made: DataFrame, kept: np.ndarray, cuts: list[int]) -> DataFrame:
+    """(part, toxic, places): for each share of the terms, the documents with a term in it.
+
+    A document's terms are places in ``kept`` (sorted), from the share's first on: pairs are
+    counted where their first term lies.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = np.full(BUCKETS, -1, np.int32)
         place[kept] = np.arange(len(kept))
         for batch in batches:
-            rows = []
-            for own in batch.column("terms"):
-                own = own.values.to_numpy()
-                at = place[own]
-                rows.append(at[at >= 0] if own_numbers else own[at >= 0])
-            flags = np.clip(batch.column("toxic").to_numpy(), 0, 1)
+            parts, flags, rows = [], [], []
+            for toxic, own in zip(batch.column("toxic").to_pylist(), batch.column("terms"), strict=True):
+                at = place[own.values.to_numpy()]
+                at = at[at >= 0]
+                edges = np.searchsorted(at, cuts)
+                for part in np.flatnonzero(np.diff(edges)).tolist():
+                    parts.append(part)
+                    flags.append(int(toxic >= 1))
+                    rows.append(at[edges[part] :])
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in columns], pa.array(flags), pa.array(rows, pa.list_(pa.int32()))],
-                names=[*columns, "toxic", "terms"],
+                [pa.array(parts, pa.int32()), pa.array(flags, pa.int32()), pa.array(rows, pa.list_(pa.int32()))],
+                names=["part", "toxic", "places"],
             )
 
-    kinds = ", ".join(f"{c} {made.schema[c].dataType.simpleString()}" for c in (*columns, "toxic"))
-    return made.select(*columns, "toxic", "terms").mapInArrow(run, f"{kinds}, terms array<int>")
+    return made.select("toxic", "terms").mapInArrow(run, "part int, toxic int, places array<int>")
 
 
 def paired_terms(made: DataFrame, survey: Survey) -> np.ndarray:
@@ -377,8 +400,7 @@ def paired_terms(made: DataFrame, survey: Survey) -> np.ndarray:
     size = len(survey.terms)
     shares = min(PAIR_SHARES, max(size, 1))
     cuts = np.linspace(0, size, shares + 1).astype(int).tolist()
-    lists = with_terms(made, survey.terms, own_numbers=True)
-    dealt = lists.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
+    dealt = dealt_terms(made, survey.terms, cuts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found(part: int, docs: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
@@ -388,13 +410,14 @@ def paired_terms(made: DataFrame, survey: Survey) -> np.ndarray:
 
         part, docs = None, []
         for batch in batches:
-            rows = zip(*(batch.column(c).to_pylist() for c in ("part", "toxic")), batch.column("terms"), strict=True)
+            rows = zip(*(batch.column(c).to_pylist() for c in ("part", "toxic")), batch.column("places"), strict=True)
             for at, flag, own in rows:
                 if at != part:
                     if docs:
                         yield found(part, docs)
                     part, docs = at, []
-                docs.append((flag, own.values.to_numpy().astype(np.int64)))
+                # A copy: the batch it lies in can go.
+                docs.append((flag, own.values.to_numpy().copy()))
         if docs:
             yield found(part, docs)
 
