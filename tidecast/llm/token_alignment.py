@@ -23,9 +23,11 @@ gives no rows; only the id and the text are read, whatever other columns are cal
 from __future__ import annotations
 
 import itertools
+import re
 import uuid
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +43,7 @@ from tidecast.session import ship_package
 REMEMBERED = 3_000_000
 SHARD_DOCS, SHARD_PAIRS = 20_000, 1 << 18
 LEAD = "a"
+FEED = re.compile(r"(?<=\S)(?=\n\S)")
 
 ALIGNED = (
     "kind int, shard long, doc_id long, n_a long, n_b long, n_groups long, n_links long, "
@@ -76,6 +79,7 @@ class Aligner:
             for i, p in enumerate(pieces)
         ]
         self.starts_b = np.array([p[:1] == BLANK for p in pieces])
+        self.feeds_b = np.array([x == b"\n" for x in self.bytes_b])
         self.size_a, self.size_b = (np.array(list(map(len, x)), np.int64) for x in (self.bytes_a, self.bytes_b))
         # Of entries with the same bytes, pieces go before byte tokens.
         own: dict[bytes, int] = {}
@@ -86,51 +90,74 @@ class Aligner:
         self.before = len(self.b.encode(LEAD))
         # Words after a single blank, and whole pieces around runs of blanks.
         self.words, self.runs = WordCache(remembered), WordCache(remembered // 8)
-        self.decimal = list(map(str, range(max(self.n_a, self.n_b))))
-
-    def ids_b(self, pieces: list[str]) -> list[np.ndarray]:
-        """Ids of pieces that begin with a blank each; many words by one call of the library."""
-        plain = [i for i, p in enumerate(pieces) if len(p) > 1 and " " not in p[1:]]
-        out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(pieces)
-        if plain:
-            ids = np.array(self.b.encode("".join(pieces[i] for i in plain)[1:]), np.int64)
-            first = np.flatnonzero(self.starts_b[ids])
-            if len(first) == len(plain):
-                for i, low, high in zip(plain, first, np.append(first[1:], len(ids)), strict=True):
+        self.decimal = [f"{i}{sign}" for i in range(max(self.n_a, self.n_b)) for sign in ",|;"]
+
+    def ids_b(self, pieces: list[str]) -> list[list[int]]:
+        """Ids of pieces that begin with a blank or a line feed each; many by one library call."""
+        out: list[list[int]] = [[]] * len(pieces)
+        left = set(range(len(pieces)))
+        for sign, first in ((" ", self.starts_b), ("\n", self.feeds_b)):
+            own = [i for i in left if pieces[i][0] == sign and len(pieces[i]) > 1 and sign not in pieces[i][1:]]
+            if sign == "\n":
+                own = [i for i in own if " " not in pieces[i]]
+            if not own:
+                continue
+            joined = "".join([pieces[i] for i in own])
+            # The library puts a blank in front of the first one.
+            ids = self.b.encode(joined[1:] if sign == " " else joined)
+            ids = ids if sign == " " else ids[1:]
+            at = np.flatnonzero(first[np.array(ids, np.int64)]).tolist()
+            if len(at) == len(own):
+                for i, low, high in zip(own, at, [*at[1:], len(ids)], strict=True):
                     out[i] = ids[low:high]
-            else:
-                plain = []
-        for i in set(range(len(pieces))).difference(plain):
+                left.difference_update(own)
+        for i in left:
             # Behind another character, so that a piece of blanks only keeps them.
-            out[i] = np.array(self.b.encode(LEAD + pieces[i])[self.before :], np.int64)
+            out[i] = self.b.encode(LEAD + pieces[i])[self.before :]
         return out
 
-    def learn(self, cache: WordCache, words: list[str], lead: str) -> None:
-        """word -> (groups, [n_a, n_b, n_groups, n_links], links), or None if bytes differ."""
+    def learn(self, cache: WordCache, words: Iterable[str], lead: str) -> None:
+        """word -> (groups, n_a, n_b, n_groups and n_links, links), or None if bytes differ.
+
+        A word follows ``lead``; one that begins with a line feed stands as it is.
+        """
         absent = list(cache.missing(words))
         if not absent:
             return
+        lines = [w for w in absent if w[:1] == "\n"] if lead else []
+        led = [w for w in absent if w[:1] != "\n"] if lead else absent
+        absent = [*led, *lines]
         own = self.a.later if lead else self.a.first
-        self.a.fill(own, absent, lead)
-        ids_a = [np.frombuffer(own.new[word], "<u4").astype(np.int64) for word in absent]
-        pieces = [lead + word for word in absent]
+        raw_a = []
+        for kept, some, before in ((own, led, lead), (self.a.first, lines, "")):
+            if some:
+                self.a.fill(kept, some, before)
+                raw_a += map(kept.new.__getitem__, some)
+        pieces = [*[lead + w for w in led], *lines]
         ids_b = self.ids_b(pieces)
-        good = []
-        for i, piece in enumerate(pieces):
-            raw = piece.encode()
-            spelt = (b"".join(map(self.bytes_a.__getitem__, ids_a[i])), b"".join(map(self.bytes_b.__getitem__, ids_b[i])))
-            if spelt == (raw, raw):
-                good.append(i)
-            else:
-                cache.new[absent[i]] = None
-        if good:
-            made = self.aligned([ids_a[i] for i in good], [ids_b[i] for i in good])
-            cache.new.update(zip((absent[i] for i in good), made, strict=True))
-
-    def aligned(self, ids_a: list[np.ndarray], ids_b: list[np.ndarray]) -> list[tuple[str, list[int], bytes]]:
-        """Groups and links of many pieces at once, on end."""
-        n_a, n_b = (np.array(list(map(len, x))) for x in (ids_a, ids_b))
-        a, b = np.concatenate(ids_a), np.concatenate(ids_b)
+        n_a, n_b = np.array(list(map(len, raw_a))) // 4, np.array(list(map(len, ids_b)))
+        a = np.frombuffer(b"".join(raw_a), "<u4").astype(np.int64)
+        b = np.fromiter(itertools.chain.from_iterable(ids_b), np.int64, int(n_b.sum()))
+        raw = [p.encode() for p in pieces]
+        good = np.ones(len(pieces), bool)
+        spelt_a, spelt_b = list(map(self.bytes_a.__getitem__, a)), list(map(self.bytes_b.__getitem__, b))
+        ends = np.cumsum(list(map(len, raw)))
+        same_length = all(
+            np.array_equal(np.concatenate([[0], np.cumsum(size[ids])])[np.cumsum(n)], ends)
+            for size, ids, n in ((self.size_a, a, n_a), (self.size_b, b, n_b))
+        )
+        if not (same_length and b"".join(spelt_a) == b"".join(spelt_b) == b"".join(raw)):
+            for i, (own_raw, cut_a, cut_b) in enumerate(zip(raw, np.cumsum(n_a), np.cumsum(n_b), strict=True)):
+                both = b"".join(spelt_a[cut_a - n_a[i] : cut_a]), b"".join(spelt_b[cut_b - n_b[i] : cut_b])
+                good[i] = both == (own_raw, own_raw)
+            cache.new.update((w, None) for w, fine in zip(absent, good, strict=True) if not fine)
+            a, b = a[np.repeat(good, n_a)], b[np.repeat(good, n_b)]
+        if good.any():
+            made = self.aligned(a, b, n_a[good], n_b[good])
+            cache.new.update(zip((w for w, fine in zip(absent, good, strict=True) if fine), made, strict=True))
+
+    def aligned(self, a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> Iterator[tuple]:
+        """Groups, numbers and links of many pieces at once, on end; n_a and n_b tokens each."""
         end_a, end_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
         both = np.intersect1d(end_a, end_b, assume_unique=True)
         low = np.searchsorted(end_b, end_a - self.size_a[a], "right")
@@ -145,43 +172,59 @@ class Aligner:
         order = np.argsort(turn, kind="stable")
         ids, turn = np.concatenate([a, b])[order], turn[order]
         more = np.append(turn[1:] == turn[:-1], False)
-        sign = np.where(more, 0, 1 + (turn & 1)).tolist()
-        spelt = [self.decimal[i] + ",|;"[s] for i, s in zip(ids.tolist(), sign, strict=True)]
+        # The numbers' texts with each sign that may follow.
+        sign = np.where(more, 0, 1 + (turn & 1))
+        spelt = list(map(self.decimal.__getitem__, (3 * ids + sign).tolist()))
         ends = np.cumsum(n_a)
         cut_text = np.cumsum(n_a + n_b).tolist()
         cut_link = np.cumsum(n)[ends - 1]
         groups = np.searchsorted(both, end_a[ends - 1], "right")
-        numbers = np.stack([n_a, n_b, np.diff(groups, prepend=0), np.diff(cut_link, prepend=0)], axis=1).tolist()
-        raw = link.tobytes()
-        return [
-            ("".join(spelt[t0:t1]), own, raw[8 * l0 : 8 * l1])
-            for (t0, t1), own, (l0, l1) in zip(
-                itertools.pairwise([0, *cut_text]), numbers, itertools.pairwise([0, *cut_link.tolist()]), strict=True
-            )
-        ]
-
-    def text(self, text: str) -> tuple[str, np.ndarray, np.ndarray, np.ndarray] | None:
-        """Groups, [n_a, n_b, n_groups, n_links], distinct links, and how often each stands."""
-        if not text or BLANK in text:
-            return None
-        if self.a.has_runs(" " + text):
-            cache, words = self.runs, self.a.cuts.findall(" " + text)
-            self.learn(cache, words, "")
-        else:
-            cache, words = self.words, text.split(" ")
-            self.learn(cache, words, " ")
-        known = cache.new
+        numbers = np.stack([n_a, n_b, np.diff(groups, prepend=0), np.diff(cut_link, prepend=0)], axis=1)
+        raw, packed = link.tobytes(), numbers.astype("<i8").tobytes()
+        cuts = zip(
+            range(len(n_a)), itertools.pairwise([0, *cut_text]), itertools.pairwise([0, *cut_link.tolist()]), strict=True
+        )
+        for i, (t0, t1), (l0, l1) in cuts:
+            yield "".join(spelt[t0:t1]), packed[32 * i : 32 * i + 32], raw[8 * l0 : 8 * l1]
+
+    def pieces(self, text: str) -> tuple[list[str], bool]:
+        """The pieces of a text, and whether runs of blanks keep them longer.
+
+        Words follow a blank each. A line feed between two characters that are no white space
+        joins with neither in A or B, so what follows it is a piece of its own.
+        """
+        lead = " " + text
+        if self.a.has_runs(lead) or " \n" in lead:
+            return self.a.cuts.findall(lead), True
+        words = text.split(" ")
+        if "\n" in text:
+            words = [part for w in words for part in (FEED.split(w) if "\n" in w else (w,))]
+        return words, False
+
+    def texts(self, texts: list[str]) -> list[tuple[str, np.ndarray, np.ndarray, np.ndarray] | None]:
+        """Groups, [n_a, n_b, n_groups, n_links], distinct links, how often each stands; by text."""
+        cut = [None if not t or BLANK in t else self.pieces(t) for t in texts]
+        for cache, lead in ((self.words, " "), (self.runs, "")):
+            own = [words for words, runs in filter(None, cut) if runs == (not lead)]
+            self.learn(cache, set().union(*own), lead)
+        return [made and self.summed(*made) for made in cut]
+
+    def summed(self, words: list[str], runs: bool) -> tuple[str, np.ndarray, np.ndarray, np.ndarray] | None:
+        known = (self.runs if runs else self.words).new
         times = Counter(words)
         found = list(map(known.__getitem__, times))
         if None in found:
             return None
         n = np.fromiter(times.values(), np.int64, len(times))
-        numbers = n @ np.array([x[1] for x in found])
-        links = np.frombuffer(b"".join([x[2] for x in found]), "<i8")
-        weights = np.repeat(n, [x[1][3] for x in found])
+        numbers = np.frombuffer(b"".join(map(itemgetter(1), found)), "<i8").reshape(-1, 4)
+        links = np.frombuffer(b"".join(map(itemgetter(2), found)), "<i8")
         distinct, at = np.unique(links, return_inverse=True)
-        often = np.bincount(at, weights, len(distinct)).astype(np.int64)
-        return "".join([known[w][0] for w in words])[:-1], numbers, distinct, often
+        often = np.bincount(at, np.repeat(n, numbers[:, 3]), len(distinct)).astype(np.int64)
+        spelt = "".join(map(itemgetter(0), map(known.__getitem__, words)))[:-1]
+        return spelt, n @ numbers, distinct, often
+
+    def text(self, text: str) -> tuple[str, np.ndarray, np.ndarray, np.ndarray] | None:
+        return self.texts([text])[0]
 
 
 _aligners: dict[tuple[str, str], Aligner] = {}
@@ -201,7 +244,7 @@ class Shard:
         self.name = uuid.uuid4().int >> 65
         self.same = np.zeros(n_a, np.int64)
         self.places: dict[int, int] = {}
-        self.docs: list[int] = []
+        self.docs = np.zeros(1024, np.int64)
         self.size = 0
 
     def add(self, links: np.ndarray) -> np.ndarray:
@@ -209,25 +252,26 @@ class Shard:
         split = int(np.searchsorted(links, len(self.same)))
         self.size += 1
         self.same[links[:split]] += 1
-        out = links.copy()
-        for at, pair in enumerate(links[split:].tolist(), split):
-            place = self.places.setdefault(pair, len(self.docs))
-            if place == len(self.docs):
-                self.docs.append(0)
-            self.docs[place] += 1
-            out[at] = len(self.same) + place
-        return out
+        pairs, known = links[split:].tolist(), self.places
+        place = np.fromiter(map(known.get, pairs, itertools.repeat(-1)), np.int64, len(pairs))
+        for at in np.flatnonzero(place < 0).tolist():
+            place[at] = known[pairs[at]] = len(known)
+        if len(known) > len(self.docs):
+            self.docs = np.concatenate([self.docs, np.zeros(2 * len(known), np.int64)])
+        # A document's links are distinct.
+        self.docs[place] += 1
+        return np.concatenate([links[:split], len(self.same) + place])
 
     def full(self) -> bool:
-        return self.size >= SHARD_DOCS or len(self.docs) >= SHARD_PAIRS
+        return self.size >= SHARD_DOCS or len(self.places) >= SHARD_PAIRS
 
     def rows(self) -> dict[str, np.ndarray]:
         """A row per pair and per id of A that stand in the shard."""
         same = np.flatnonzero(self.same)
         return {
             "pair": np.concatenate([same, np.fromiter(self.places, np.int64, len(self.places))]),
-            "place": np.concatenate([same, len(self.same) + np.arange(len(self.docs))]),
-            "docs": np.concatenate([self.same[same], np.array(self.docs, np.int64)]),
+            "place": np.concatenate([same, len(self.same) + np.arange(len(self.places))]),
+            "docs": np.concatenate([self.same[same], self.docs[: len(self.places)]]),
         }
 
 
@@ -255,8 +299,7 @@ def aligned_shards(docs: DataFrame, path_a: str, path_b: str, digests_only: bool
 
         for batch in chunks(batches, "text"):
             numbers, groups, links = [], [], []
-            for text in texts_of(batch.column("text")):
-                made = own.text(text)
+            for made in own.texts(texts_of(batch.column("text"))):
                 if made is None:
                     made = "", np.zeros(4, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
                 spelt, n, distinct, often = made

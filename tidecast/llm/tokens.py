@@ -128,16 +128,15 @@ class Encoder:
         raw = np.array(ids, "<u4").tobytes()
         self.parts.update((p, raw[a:b]) for p, a, b in zip(new, [0, *ends], ends, strict=False))
 
-    def fill_plain(self, cache: WordCache, words: list[str]) -> None:
-        """Words without blanks, each after a blank, split by one call over all of them."""
-        joined = " " + " ".join(words)
+    def fill_plain(self, cache: WordCache, words: list[str], joined: str, mark: str) -> None:
+        """Words split by one call over all of them; ``mark`` begins each and stands nowhere else."""
         if not self.blanks:
             joined = joined.lower()
         split = self.pattern.findall(joined)
         self.learn_parts(split if self.blanks else filter(" ".__ne__, split))
         at, ids = -1, [[] for _ in words]
         for part in split:
-            if part[0] == " ":
+            if part[0] == mark:
                 at += 1
                 if not self.blanks:
                     continue
@@ -145,13 +144,22 @@ class Encoder:
         cache.new.update(zip(words, map(b"".join, ids), strict=True))
 
     def fill(self, cache: WordCache, words: Iterable[str], lead: str) -> None:
-        plain, odd = [], []
+        plain, lines, odd = [], [], []
         after_blank = lead == " " or not self.blanks
         for word in cache.missing(words):
-            simple = word and after_blank and PLAIN.fullmatch(word) and " " not in word
-            (plain if simple and not any(s in word for s in self.special) else odd).append(word)
+            simple = word and " " not in word and PLAIN.fullmatch(word)
+            if not simple or any(s in word for s in self.special):
+                odd.append(word)
+            elif after_blank:
+                plain.append(word)
+            elif word[0] == "\n" and word.count("\n") == 1 < len(word):
+                lines.append(word)
+            else:
+                odd.append(word)
         if plain:
-            self.fill_plain(cache, plain)
+            self.fill_plain(cache, plain, " " + " ".join(plain), " ")
+        if lines:
+            self.fill_plain(cache, lines, "".join(lines), "\n")
         if odd:
             found = self.library.encode_batch_fast(
                 [lead + word for word in odd], add_special_tokens=False
