@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from tidecast.functions import numbers as nm
+from tidecast.operators import bands as bd
 from tidecast.operators import folds as fd
 from tidecast.operators import forecast_closed as fc
 from tidecast.operators import holidays as hol
@@ -563,6 +564,30 @@ def c7_cv_scores_closed(t: Tables):
     return rounded(scores, "smape", digits=6)
 
 
+SQL_VIEWS["lead_scores"] = """
+    SELECT p.series_id, p.fold_id, CAST(p.ds - last_ds AS BIGINT) AS lead,
+           abs(p.y - yhat) / scale AS score
+    FROM fold_pred p
+    JOIN (SELECT series_id, fold_id, max(ds) AS last_ds, abs(avg(y)) AS scale
+          FROM fold_rows GROUP BY ALL) f
+    ON f.series_id = p.series_id AND f.fold_id = p.fold_id
+    WHERE param_id = 8 AND p.y IS NOT NULL AND scale > 0"""
+SQL_VIEWS["lead_widths"] = f"""
+    SELECT lead, count(*) AS n_scores,
+           list_sort(list(score))[CAST(ceil({bd.WIDTH} * count(*)) AS BIGINT)] AS half_width
+    FROM lead_scores GROUP BY lead"""
+
+
+@query(
+    "k6_lead_bands",
+    "SELECT lead, n_scores, round(half_width, 6) AS half_width FROM lead_widths ORDER BY lead",
+)
+def k6_lead_bands(t: Tables):
+    """K6: how wide a band of 95 % is at each lead day, from all folds of all series."""
+    widths = bd.half_widths(bd.closed_scores(train_pos(t), HORIZON, origin=ORIGIN))
+    return rounded(widths, "half_width", digits=6)
+
+
 SQL_VIEWS["best_sets"] = """
     SELECT series_id, param_id, cv_smape FROM (
         SELECT series_id, param_id, cv_smape,
