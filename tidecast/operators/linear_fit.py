@@ -25,7 +25,7 @@ from tidecast.operators import holidays as hol
 from tidecast.operators import params as pm
 from tidecast.operators import scoring as sc
 from tidecast.operators import series as ts
-from tidecast.session import ship_package
+from tidecast.session import ship_package, task_slots
 
 # Solutions for a noise scale and noise scales for a solution take turns; the prior is weak, so
 # few turns settle it.
@@ -105,7 +105,11 @@ def day_sums(rows: DataFrame, design: Design, keys: list[str], origin: str) -> D
 
     ``origin`` is a day near the data; sums of squares of day numbers stay small with it.
     """
-    known = rows.where(F.col("y").isNotNull())
+    # A day is small but makes a product per pair of columns, so days are dealt out evenly; AQE
+    # would pack them into one task by their bytes. A hot series is dealt out too.
+    slots = task_slots(rows.sparkSession)
+    known = rows.where(F.col("y").isNotNull()).select(*keys, "ds", "y", "effects")
+    known = known.repartition(slots, *keys, "ds")
     start = F.datediff(F.to_date(F.lit(origin)), F.to_date(F.lit(EPOCH))).cast("double")
     # A column of its own, so that it is made once per day and not once per product.
     made = known.select(*keys, design.row(start).alias("row"), design.day().alias("day"), "y")
