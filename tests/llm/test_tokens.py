@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -20,6 +21,7 @@ from tidecast.llm.sentencepiece_table import PieceCoder, encode_pieces
 from tidecast.llm.token_counts import TokenCounter, count_tokens
 from tidecast.llm.token_files import (
     TokenFile,
+    TokenReader,
     decode_levels,
     encode_levels,
     open_token_file,
@@ -226,3 +228,50 @@ def test_plan_is_near_the_least_possible():
     assert len(many) < 3 * len(rules)
     with pytest.raises(ValueError):
         plan({600: 1}, Capacity(512))
+
+
+def test_reader_seeks_tokens_documents_and_ids(tmp_path):
+    rng = np.random.default_rng(7)
+    docs, ids = [], [None, None, 3, 3, 3, *range(10, 400, 3)]
+    for i in ids:
+        size = int(rng.integers(0, 300))
+        kinds = rng.choice([200, 50_000, 2**24, 2**32 - 1], size)
+        docs.append((i, (rng.integers(0, 2**63, size) % kinds).astype("<u4").tobytes()))
+    file = TokenFile.build(docs)
+    path = tmp_path / "part.dac"
+    path.write_bytes(file.to_bytes())
+    every = file.tokens()
+    with TokenReader(str(path)) as reader:
+        assert len(reader) == len(every)
+        for at in range(0, len(every), 61):
+            before = reader.bytes_read
+            assert reader.token(at) == every[at]
+            # A byte, a bit, a rank and at most a block per level.
+            assert reader.bytes_read - before <= 4 * (1 + 1 + 4 + 64)
+        for low, high in ((0, 0), (0, 1), (5, 900), (len(every) - 3, len(every)), (0, len(every))):
+            assert reader.tokens(low, high).tolist() == every[low:high].tolist()
+        for k, (_, raw) in enumerate(docs):
+            assert reader.document(k).astype("<u4").tobytes() == raw
+        for i in (3, 10, 397, 11, -5, 1000):
+            assert list(reader.find(i)) == [k for k, (own, _) in enumerate(docs) if own == i]
+        with pytest.raises(IndexError):
+            reader.token(len(every))
+    path.write_bytes(b"something else entirely")
+    with pytest.raises(ValueError):
+        TokenReader(str(path))
+
+
+def test_clean_up_removes_intermediate_folders_and_tables(spark):
+    from tidecast.llm import common
+    from tidecast.llm.exact_dedup import exact_dedup
+
+    common.clean_up(spark)
+    folder = Path(new_folder(spark, "x").removeprefix("file:")).parent
+    before = {p.name for p in folder.iterdir()}
+    tables = spark.sql("SHOW TABLES").count()
+    rows = exact_dedup(edge_table(spark))
+    assert rows.count() == len(EDGE_ROWS)
+    assert {p.name for p in folder.iterdir()} - before and spark.sql("SHOW TABLES").count() == tables + 1
+    assert common.clean_up(spark) >= 4
+    assert {p.name for p in folder.iterdir()} == before and spark.sql("SHOW TABLES").count() == tables
+    assert common.clean_up(spark) == 0

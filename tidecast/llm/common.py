@@ -26,9 +26,37 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Folders and tables that this driver has made for intermediate results, by application.
+_made: dict[str, list[tuple[str, str]]] = {}
+
+
+def remember(spark: SparkSession, kind: str, name: str) -> str:
+    _made.setdefault(spark.sparkContext.applicationId, []).append((kind, name))
+    return name
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path of its own below the folder that driver and executors share."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    return remember(spark, "folder", path)
+
+
+def clean_up(spark: SparkSession) -> int:
+    """Remove the intermediate tables and folders that this application has made so far.
+
+    Call it when the results that were built on them have been written: a DataFrame of an
+    operator still reads them. Tables and folders that the caller named stay. Returns how many
+    were removed.
+    """
+    made = _made.pop(spark.sparkContext.applicationId, [])
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for kind, name in reversed(made):
+        if kind == "table":
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+        else:
+            path = jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(conf).delete(path, True)
+    return len(made)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

@@ -19,7 +19,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidecast.llm.common import new_folder, staged
+from tidecast.llm.common import new_folder, remember, staged
 
 SPACES = r"[\x20\x09-\x0D]+"
 # Buckets of a new index: enough for so many rows each of the first batch, and not fewer.
@@ -48,7 +48,7 @@ class DigestIndex:
         buckets: int = BUCKETS,
     ) -> DigestIndex:
         """A new index, or the one whose files are in ``folder`` from an earlier session."""
-        table = table or f"digest_index_{uuid.uuid4().hex[:12]}"
+        table = table or remember(spark, "table", f"digest_index_{uuid.uuid4().hex[:12]}")
         folder = folder or new_folder(spark, "digest-index")
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {table} (digest BINARY, keep_id BIGINT) USING parquet "

@@ -275,3 +275,90 @@ def open_token_file(path: str) -> TokenFile:
     with system.open_input_stream(path) as source:
         return TokenFile.from_bytes(source.read())
 
+
+
+class TokenReader:
+    """A token file that stays where it is: any token or range is read by seeking.
+
+    Only the header is read when it is opened. A token takes, per level, its byte, one entry of
+    the rank directory and at most one block of bits; a range of tokens is one range per level.
+    ``bytes_read`` counts what was read.
+    """
+
+    def __init__(self, path: str):
+        system, inner = fs.FileSystem.from_uri(as_uri(path))
+        self.file, self.bytes_read = system.open_input_file(inner), 0
+        head = self._bytes(0, 12)
+        if head[:8] != MAGIC:
+            raise ValueError("not a token file")
+        (size,) = struct.unpack_from("<I", head, 8)
+        at, self.arrays = 12 + size, []
+        for kind, n in json.loads(self._bytes(12, size)):
+            self.arrays.append((np.dtype(kind), n, at))
+            at += np.dtype(kind).itemsize * n
+        self.n_levels = (len(self.arrays) - 3) // 3
+
+    def __enter__(self) -> TokenReader:
+        return self
+
+    def __exit__(self, *error) -> None:
+        self.file.close()
+
+    def __len__(self) -> int:
+        return self.arrays[3][1]
+
+    def _bytes(self, at: int, size: int) -> bytes:
+        self.file.seek(at)
+        self.bytes_read += size
+        return self.file.read(size)
+
+    def _part(self, k: int, low: int, high: int) -> np.ndarray:
+        kind, n, at = self.arrays[k]
+        if not 0 <= low <= high <= n:
+            raise IndexError(f"{low} to {high} of {n}")
+        return np.frombuffer(self._bytes(at + low * kind.itemsize, (high - low) * kind.itemsize), kind)
+
+    def _bits(self, level: int, low: int, high: int) -> np.ndarray:
+        raw = self._part(4 + 3 * level, low // 8, -(-high // 8))
+        return np.unpackbits(raw, bitorder="little")[low % 8 : low % 8 + high - low]
+
+    def _rank(self, level: int, at: int) -> int:
+        """Set bits before position ``at``."""
+        block = at // BLOCK_BITS
+        return int(self._part(5 + 3 * level, block, block + 1)[0]) + int(
+            self._bits(level, block * BLOCK_BITS, at).sum()
+        )
+
+    def tokens(self, low: int, high: int, level: int = 0) -> np.ndarray:
+        """The ids at positions low..high - 1."""
+        ids = self._part(3 + 3 * level, low, high).astype(np.uint32)
+        more = self._bits(level, low, high).astype(bool)
+        if more.any():
+            first = self._rank(level, low)
+            ids[more] |= self.tokens(first, first + int(more.sum()), level + 1) << 8
+        return ids
+
+    def token(self, at: int) -> int:
+        return int(self.tokens(at, at + 1)[0])
+
+    def document(self, k: int) -> np.ndarray:
+        """The ids of the k-th document of the file."""
+        low, high = self._part(2, k, k + 2).tolist()
+        return self.tokens(low, high)
+
+    def find(self, doc_id: int) -> range:
+        """Places of the documents with an id; several may share one. Rows without an id come
+        first in a file and are not found by one."""
+        n = self.arrays[0][1]
+        nameless = self._first(1, n, 1)
+        return range(self._first(0, n, doc_id, nameless), self._first(0, n, doc_id + 1, nameless))
+
+    def _first(self, k: int, high: int, value: int, low: int = 0) -> int:
+        """The first place from ``low`` on whose entry is ``value`` or more, by halving."""
+        while low < high:
+            middle = (low + high) // 2
+            if int(self._part(k, middle, middle + 1)[0]) < value:
+                low = middle + 1
+            else:
+                high = middle
+        return low
