@@ -20,9 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidecast.operators import additive_fit as af
 from tidecast.operators import folds as fd
-from tidecast.operators import forecast_closed as fc
 from tidecast.operators import holidays as hol
-from tidecast.operators import params as pm
 from tidecast.operators import scoring as sc
 from tidecast.operators import series as ts
 from tidecast.session import ship_package, task_slots
