@@ -59,12 +59,24 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return one.select("row.*")
 
 
+def with_row_key(docs: DataFrame) -> DataFrame:
+    """Adds ``row_key``: the id, or a number for id and text where the id is null or not unique.
+
+    Few ids are like that, as a rule; Spark sees the size of their table before it joins.
+    """
+    several = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 or doc_id is null")
+    several = staged(several.select(F.col("doc_id").alias("odd_id"), F.lit(True).alias("is_odd")), "odd-ids")
+    found = docs.join(several, F.col("doc_id").eqNullSafe(F.col("odd_id")), "left")
+    key = F.when(F.col("is_odd"), row_key("text")).otherwise(F.col("doc_id"))
+    return found.select(*COLUMNS, key.alias("row_key"))
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by shared word shingles, the one with the smallest id stays.
 
     Rows are compared, whatever their ids; of linked rows, one without an id goes first.
     """
-    named = docs.select(*COLUMNS).withColumn("row_key", row_key("text"))
+    named = with_row_key(docs.select(*COLUMNS))
     found = near_duplicates(named, queries.NEAR_COPIES, doc_id="row_key").select(
         F.col("doc_id").alias("row_key"), "component_id"
     )
