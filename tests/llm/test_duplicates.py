@@ -118,6 +118,29 @@ def test_near_duplicates_equal_brute_force(spark, similarity):
     assert got == by_force(docs, similarity)
 
 
+@pytest.mark.parametrize("block", [512, 8])
+def test_every_link_is_counted_also_inside_components(spark, monkeypatch, block):
+    """A chain of near copies, copies of them, and many texts around one passage."""
+    from tidecast.llm import jaccard_join as module
+
+    monkeypatch.setattr(module, "BLOCK", block)
+    similarity = Similarity(4, Fraction(85, 100))
+    words = [f"w{i}" for i in range(120)]
+    texts = [" ".join(words[i : i + 100]) for i in range(12)]
+    docs = list(enumerate(texts + texts[3:5] + [texts[0].upper()] + ["a b", "a b", None, " "] + copies(3)))
+    sets = {i: shingles(t, 4) for i, t in docs}
+    linked = {
+        i: [j for j, y in sets.items() if j != i and x and y and similarity.linked(len(x & y), len(x) + len(y))]
+        for i, x in sets.items()
+    }
+    want = {i: (len(js), len({sets[j] for j in js} - {sets[i]})) for i, js in linked.items()}
+    table = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    got = {r.doc_id: (r.n_links, r.n_verified_links) for r in near_duplicates(table, similarity).collect()}
+    assert got == want
+    # Texts of one component that are linked with some of it only.
+    assert {want[0][0], want[11][0]} == {10, 8}
+
+
 def test_near_duplicates_of_nothing_and_without_ids(spark):
     similarity = Similarity(4, Fraction(85, 100))
     assert near_duplicates(empty_table(spark), similarity).count() == 0

@@ -14,13 +14,10 @@ that half says little too, with one of the three thirds of the block after. Whet
 a property of the value itself, so both documents decide alike. A document sends its keys to
 its own band and to the one below, if a partner could lie there.
 
-Documents that share a key are candidates. Groups of copies would make all pairs, so pairs are
-never listed: each document is held against the smallest document of its keys, first the one
-it shares most keys with, then others where that could still join components. Only keys whose
-documents then still lie in several components are looked at again, in blocks of bounded size,
-with a short sketch to reject pairs. Every candidate that passes is verified on the exact sets
-of shingle hashes. Links inside a component change no component, so none that matters is left
-out.
+Keys are those of sets, so copies add none. Sets that share a key are candidates, every two of
+them, in blocks of bounded size; keys with the same sets are looked at once. A short sketch
+rejects most pairs, and each that passes is verified on the exact sets of shingle hashes. So all
+links between different sets are found; copies are counted with their set, not listed in pairs.
 """
 
 from __future__ import annotations
@@ -170,20 +167,6 @@ def short_sketch(shingles: np.ndarray) -> bytes:
     return np.packbits((flips & 1).astype(np.uint8)).tobytes()
 
 
-def sketch_distances(one: list[bytes], two: list[bytes]) -> np.ndarray:
-    """Hamming distances of sketches in pairs, the longer one folded to the shorter."""
-    out = np.zeros(len(one), np.int64)
-    short = np.array([len(x) * 8 == SHORT_BITS == len(y) * 8 for x, y in zip(one, two, strict=True)], bool)
-    at = np.flatnonzero(short)
-    a, b = (sketch_matrix([side[i] for i in at]) for side in (one, two))
-    out[at] = np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
-    for i in np.flatnonzero(~short).tolist():
-        size = min(len(one[i]), len(two[i]))
-        a, b = (folded(side[i], size) for side in (one, two))
-        out[i] = np.bitwise_count(a ^ b).sum(dtype=np.int64)
-    return out
-
-
 def folded(sketch: bytes, size: int) -> np.ndarray:
     """The sketch folded to ``size`` bytes."""
     return np.bitwise_xor.reduce(np.frombuffer(sketch, np.uint64).reshape(-1, size // 8), axis=0)
@@ -220,15 +203,16 @@ def profiles(docs: DataFrame, similarity: Similarity) -> DataFrame:
 
 
 def keys_of_sets(docs: DataFrame, similarity: Similarity) -> DataFrame:
-    """(doc_id, keys) from the texts: the keys take more room than a second look at the texts
+    """(set_low, keys) from the texts: the keys take more room than a second look at the texts
     takes time. A task gives the keys of a set once; rows of it with an equal set have none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
         for batch in chunks(batches, "text"):
             sets = shingle_sets(batch.column("text"), similarity.words)
+            low, high = set_names(sets)
             keys = []
-            for s, name in zip(sets, zip(*(x.tolist() for x in set_names(sets)), strict=True), strict=True):
+            for s, name in zip(sets, zip(low.tolist(), high.tolist(), strict=True), strict=True):
                 if name in seen or not len(s):
                     keys.append(np.zeros(0, np.int64))
                     continue
@@ -237,23 +221,22 @@ def keys_of_sets(docs: DataFrame, similarity: Similarity) -> DataFrame:
                 seen.add(name)
                 keys.append(sketch_keys(s, similarity).view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "keys"]
+                [pa.array(low), pa.array(keys, pa.list_(pa.int64()))], names=["set_low", "keys"]
             )
 
-    return docs.mapInArrow(run, "doc_id long, keys array<long>")
+    return docs.mapInArrow(run, "set_low long, keys array<long>")
 
 
 def sharing_a_key(keys: DataFrame) -> DataFrame:
-    """(key, leader, member, alone): for keys of several documents, each but the smallest with
-    it. ``alone`` says that the key has these two documents only."""
-    within = Window.partitionBy("key").orderBy("doc_id")
-    alone = (F.col("before") == F.col("leader")) & F.col("after").isNull()
+    """(key, set_low), once each, of the keys that several sets have."""
+    within = Window.partitionBy("key").orderBy("set_low")
+    # The second set of a key brings the first one along.
+    told = F.when(F.col("before") == F.col("least"), F.array("least", "set_low")).otherwise(F.array("set_low"))
     return (
-        keys.withColumn("leader", F.min("doc_id").over(within))
-        .withColumn("before", F.lag("doc_id").over(within))
-        .withColumn("after", F.lead("doc_id").over(within))
-        .where("doc_id <> leader and doc_id <> before")
-        .select("key", "leader", F.col("doc_id").alias("member"), alone.alias("alone"))
+        keys.withColumn("least", F.min("set_low").over(within))
+        .withColumn("before", F.lag("set_low").over(within))
+        .where("set_low <> least and set_low <> before")
+        .select("key", F.explode(told).alias("set_low"))
     )
 
 
@@ -266,10 +249,15 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: Similarity) -> Data
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
     with_texts = pairs.select("a", "b").join(left, "a").join(right, "b")
 
+    def sets_of(texts: pa.Array) -> list[np.ndarray]:
+        # A text may stand in many pairs.
+        distinct = texts.dictionary_encode()
+        sets = shingle_sets(distinct.dictionary, similarity.words)
+        return [sets[i] for i in distinct.indices.to_pylist()]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "text_a"):
-            first = shingle_sets(batch.column("text_a"), similarity.words)
-            second = shingle_sets(batch.column("text_b"), similarity.words)
+            first, second = sets_of(batch.column("text_a")), sets_of(batch.column("text_b"))
             shared = np.array(
                 [len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(first, second, strict=True)],
                 np.int64,
@@ -284,36 +272,6 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: Similarity) -> Data
     return with_texts.select("a", "b", "text_a", "text_b").mapInArrow(run, VERIFIED)
 
 
-def close_enough(pairs: DataFrame, nodes: DataFrame, similarity: Similarity) -> DataFrame:
-    """Pairs whose sizes and short sketches allow a link."""
-    sides = [
-        nodes.select(
-            F.col("doc_id").alias(name), F.col("n_shingles").alias(f"n_{name}"), F.col("sketch").alias(f"s_{name}")
-        )
-        for name in ("a", "b")
-    ]
-    joined = pairs.join(sides[0], "a").join(sides[1], "b")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n = [batch.column(f"n_{x}").to_numpy() for x in "ab"]
-            apart = sketch_distances(*[batch.column(f"s_{x}").to_pylist() for x in "ab"])
-            good = pa.array(possible(n[0], n[1], apart, similarity))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(x).filter(good) for x in "abn"], names=["a", "b", "n"]
-            )
-
-    return joined.mapInArrow(run, "a long, b long, n long")
-
-
-def at_sets(pairs: DataFrame, set_of: DataFrame) -> DataFrame:
-    """Adds the sets a and b that leader and member have."""
-    for side, name in (("leader", "a"), ("member", "b")):
-        names = set_of.select(F.col("doc_id").alias(side), F.col("set_id").alias(name))
-        pairs = pairs.join(names, side)
-    return pairs
-
-
 def texts_of_sets(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     """(doc_id, text) of the documents in pairs (a, b), once each."""
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
@@ -322,50 +280,37 @@ def texts_of_sets(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFr
     return found.groupBy("doc_id").agg(F.first("text").alias("text"))
 
 
-def in_component(df: DataFrame, labels: DataFrame, node: str, name: str) -> DataFrame:
-    """Adds the component of a node; a node without links is its own."""
-    own = labels.select(F.col("node").alias(node), F.col("component").alias("found"))
-    return df.join(own, node, "left").withColumn(name, F.coalesce("found", node)).drop("found")
-
-
-def apart(pairs: DataFrame, labels: DataFrame, a: str, b: str) -> DataFrame:
-    """The pairs whose ends lie in different components."""
-    both = in_component(in_component(pairs, labels, a, "comp_a"), labels, b, "comp_b")
-    return both.where("comp_a <> comp_b").drop("comp_a", "comp_b")
-
-
-def sketch_matrix(sketches: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(sketches), np.uint64).reshape(len(sketches), SHORT_BITS // 64)
-
-
 def possible(n_a, n_b, apart, similarity: Similarity) -> np.ndarray:
     t = similarity.at_least
     low, high = np.minimum(n_a, n_b), np.maximum(n_a, n_b)
     return (apart <= similarity.most_apart(n_a + n_b)) & (t.denominator * low >= t.numerator * high)
 
 
-def across_components(groups: DataFrame, similarity: Similarity) -> DataFrame:
-    """Possible links (a, b) between different components within each (key, cell).
+def within_cells(groups: DataFrame, similarity: Similarity) -> DataFrame:
+    """Possible links (a, b) between the sets of each (key, cell).
 
-    ``groups``: key, cell_a, cell_b, side, doc_id, component, n_shingles, sketch. Rows come as
-    a sorted stream; a cell's rows are bounded by twice BLOCK or so.
+    ``groups``: key, cell_a, cell_b, side, set_id, n_shingles, sketch. Rows come as a sorted
+    stream; a cell's rows are bounded by twice BLOCK or so.
     """
 
     def compare(rows: list[dict]) -> Iterator[tuple[int, int]]:
         one = [r for r in rows if r["side"] == 0]
-        two = [r for r in rows if r["side"] == 1] or one
+        two = [r for r in rows if r["side"] == 1]
+        own = rows[0]["cell_a"] == rows[0]["cell_b"]
+        if own:
+            two = one
+        if not one or not two:
+            return
         # Sizes in one band differ little, so most sketches have one length already.
         size = min(len(r["sketch"]) for r in rows)
-        bits, n, comp = [], [], []
-        for side in (one, two):
-            bits.append(np.stack([folded(r["sketch"], size) for r in side]))
-            n.append(np.array([r["n_shingles"] for r in side]))
-            comp.append(np.array([r["component"] for r in side]))
+        bits = [np.stack([folded(r["sketch"], size) for r in side]) for side in (one, two)]
+        n = [np.array([r["n_shingles"] for r in side]) for side in (one, two)]
         for i, row in enumerate(one):
-            apart = np.bitwise_count(bits[0][i] ^ bits[1]).sum(axis=1, dtype=np.int64)
-            good = possible(n[0][i], n[1], apart, similarity) & (comp[1] != comp[0][i])
+            after = i + 1 if own else 0
+            apart = np.bitwise_count(bits[0][i] ^ bits[1][after:]).sum(axis=1, dtype=np.int64)
+            good = possible(n[0][i], n[1][after:], apart, similarity)
             for j in np.flatnonzero(good).tolist():
-                a, b = row["doc_id"], two[j]["doc_id"]
+                a, b = row["set_id"], two[after + j]["set_id"]
                 yield (min(a, b), max(a, b))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -397,30 +342,31 @@ def across_components(groups: DataFrame, similarity: Similarity) -> DataFrame:
 
 
 def in_cells(members: DataFrame) -> DataFrame:
-    """Splits each key's documents into cells of about BLOCK and pairs the cells.
+    """Splits each key's sets into cells of about BLOCK and pairs the cells.
 
-    A document goes to as many cell pairs as its key has cells, one pair for most.
+    A set goes to as many cell pairs as its key has cells, one pair for most.
     """
     sizes = members.groupBy("key").agg(F.count("*").alias("n"))
     split = members.join(sizes, "key").withColumn("cells", F.ceil(F.col("n") / BLOCK).cast("int"))
-    own = split.withColumn("cell", F.pmod(F.xxhash64("doc_id"), F.col("cells")).cast("int"))
+    own = split.withColumn("cell", F.pmod(F.xxhash64("set_id"), F.col("cells")).cast("int"))
     every = F.explode(F.sequence(F.lit(0), F.col("cells") - 1))
     return own.withColumn("other", every).select(
         "key",
         F.least("cell", "other").alias("cell_a"),
         F.greatest("cell", "other").alias("cell_b"),
         (F.col("cell") > F.col("other")).cast("int").alias("side"),
-        "doc_id", "component", "n_shingles", "sketch",
+        "set_id", "n_shingles", "sketch",
     )
 
 
 def near_duplicates(
     docs: DataFrame, similarity: Similarity, text: str = "text", doc_id: str = "doc_id"
 ) -> DataFrame:
-    """doc_id, n_shingles, set_id, n_verified_links, component_id for every row.
+    """doc_id, n_shingles, set_id, n_links, n_verified_links, component_id for every row.
 
-    ``set_id`` is the smallest document with an equal set; ``n_verified_links`` counts the
-    links of that set that were needed to find components; ``component_id`` is the smallest
+    ``set_id`` is the smallest document with an equal set; ``n_links`` counts the documents
+    that a document is linked with, those with an equal set included; ``n_verified_links``
+    counts the other sets that its set is linked with; ``component_id`` is the smallest
     document reachable by links. Documents without words, null texts included, link with
     nothing and form components of their own. Rows without an id get no component and link
     with nothing. Ids are taken to be unique: rows that repeat one are one document, with the
@@ -438,7 +384,7 @@ def near_duplicates(
         F.min(F.struct("text_hash", *same_set, "sketch")).alias("own"), F.max("text_hash").alias("last_hash")
     )
     one = one.select("doc_id", "own.*", "last_hash")
-    sets = one.groupBy(*same_set).agg(F.min("doc_id").alias("set_id"))
+    sets = one.groupBy(*same_set).agg(F.min("doc_id").alias("set_id"), F.count("*").alias("copies"))
     # The further key makes Spark deal out both sides anew, so that it can split the rows of a
     # set that very many documents have.
     by_set = [*same_set, "set_hash"]
@@ -453,67 +399,46 @@ def near_duplicates(
     )
     own_text = F.coalesce(F.col("text_hash") == F.col("own_hash"), F.lit(True))
     counting = slim.where("doc_id is not null").join(several, "doc_id", "left").where(own_text)
-    keyed = keys_of_sets(counting.select("doc_id", "text"), similarity)
-    keys = keyed.select(F.explode("keys").alias("key"), "doc_id")
+    keyed = keys_of_sets(counting.select("text"), similarity)
+    keys = keyed.select(F.explode("keys").alias("key"), "set_low")
     shared = staged(sharing_a_key(keys), "shared-keys")
-    # Pairs of each set with the leaders of its keys; equal sets are one node.
-    counted = shared.groupBy("leader", "member").agg(F.count("*").alias("n"))
-    met = staged(at_sets(counted, set_of), "leaders")
-    low, high = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
-    pairs = met.where("a <> b").groupBy(low, high).agg(F.sum("n").alias("n"))
-    near = staged(close_enough(pairs, nodes, similarity), "near-pairs")
-    texts = staged(texts_of_sets(slim, nodes, near), "texts")
-
-    # Each set against the leader it shares most keys with.
-    best = near.groupBy("b").agg(F.max_by("a", F.struct("n", -F.col("a"))).alias("a"))
-    first = staged(verified(best, texts, similarity), "links")
-    labels = components(first)
-    # Against its other leaders, where that could still join components.
-    rest = near.join(best, ["a", "b"], "left_anti")
-    rest = staged(apart(rest, labels, "a", "b").select("a", "b"), "open-pairs")
-    second = staged(verified(rest, texts, similarity), "links")
-    links = first.union(second)
-    if not second.isEmpty():
-        labels = components(links)
-
-    # Members against each other, for keys of several sets that still lie in several
-    # components: some member is then in another than the leader.
-    open_met = apart(met, labels, "a", "b").select("leader", "member")
-    crowds = shared.where("not alone")
-    open_keys = crowds.join(open_met, ["leader", "member"], "left_semi").select("key").distinct()
-    rows = at_sets(crowds.join(open_keys, "key", "left_semi"), set_of)
-    members = rows.select("key", F.col("a").alias("doc_id")).union(rows.select("key", "b")).distinct()
-    members = staged(in_component(members, labels, "doc_id", "component"), "open-keys")
-    # Keys with the same members are looked at once.
+    # Keys with the same sets are looked at once.
     once = (
-        members.groupBy("key")
+        shared.groupBy("key")
         .agg(
             F.count("*").alias("n"),
-            F.bit_xor(F.xxhash64("doc_id")).alias("who"),
-            F.bit_xor(F.xxhash64("doc_id", F.lit(1))).alias("who_too"),
+            F.bit_xor(F.xxhash64("set_low")).alias("who"),
+            F.bit_xor(F.xxhash64("set_low", F.lit(1))).alias("who_too"),
         )
-        .where("n > 2")
         .groupBy("n", "who", "who_too")
         .agg(F.min("key").alias("key"))
         .select("key")
     )
-    sketched = members.join(once, "key", "left_semi").join(
-        nodes.select("doc_id", "n_shingles", "sketch"), "doc_id"
+    own_sets = nodes.where("doc_id = set_id")
+    # Should two sets share one half of their names, both are looked at.
+    members = shared.join(once, "key", "left_semi").join(
+        own_sets.select("set_low", "set_id", "n_shingles", "sketch"), "set_low"
+    )
+    members = staged(members.drop("set_low"), "members")
+    near = staged(within_cells(in_cells(members), similarity).distinct(), "near-pairs")
+    links = staged(verified(near, texts_of_sets(slim, nodes, near), similarity), "links")
+    labels = components(links)
+
+    sizes = own_sets.select("set_id", "copies")
+    ends = links.select(F.col("a").alias("set_id"), F.col("b").alias("other")).union(links.select("b", "a"))
+    n_links = (
+        ends.join(sizes.select(F.col("set_id").alias("other"), "copies"), "other")
+        .groupBy("set_id")
+        .agg(F.count("*").alias("n_verified_links"), F.sum("copies").alias("n_linked"))
     )
-    left = across_components(in_cells(sketched), similarity).distinct()
-    left = staged(left.join(near, ["a", "b"], "left_anti"), "open-pairs")
-    if not left.isEmpty():
-        third = verified(left, texts_of_sets(slim, nodes, left), similarity)
-        links = links.union(staged(third, "links"))
-        labels = components(links)
-
-    ends = links.select(F.col("a").alias("set_id")).union(links.select(F.col("b").alias("set_id")))
-    n_links = ends.groupBy("set_id").agg(F.count("*").alias("n_verified_links"))
     # A further key, as above: a set may be that of very many documents.
-    of_sets = labels.withColumnRenamed("node", "set_id").join(n_links, "set_id", "full")
+    of_sets = sizes.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left").join(
+        n_links, "set_id", "left"
+    )
     placed = set_of.withColumn("set_key", F.xxhash64("set_id")).join(
         of_sets.withColumn("set_key", F.xxhash64("set_id")), ["set_id", "set_key"], "left"
     )
+    others = F.col("copies") - 1 + F.coalesce("n_linked", F.lit(0))
     return (
         profile.select("doc_id", "n_shingles")
         .join(placed, "doc_id", "left")
@@ -521,6 +446,7 @@ def near_duplicates(
             "doc_id",
             "n_shingles",
             F.coalesce("set_id", "doc_id").alias("set_id"),
+            F.coalesce(others, F.lit(0)).alias("n_links"),
             F.coalesce("n_verified_links", F.lit(0)).alias("n_verified_links"),
             F.coalesce("component", "set_id", "doc_id").alias("component_id"),
         )
