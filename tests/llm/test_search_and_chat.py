@@ -135,6 +135,17 @@ def test_long_conversation_becomes_several_rows():
     assert reading.n_turns == 6 and reading.loss_chars == len("text 1text 3text 5")
 
 
+@pytest.mark.parametrize("scattered", [0, 6, 10**9])
+def test_vectors_without_order_take_few_scattered_sums(monkeypatch, scattered):
+    """Nothing can be proven early for them: whole dimensions are added up, with the same answer."""
+    monkeypatch.setattr(topk_search, "SCATTERED", scattered)
+    rng = np.random.default_rng(5)
+    vectors = np.floor(40 * rng.standard_normal((900, 32))).astype(np.int64)
+    index = ImpactIndex(np.arange(900), vectors)
+    for at in range(0, 900, 90):
+        assert index.search(at, vectors[at], 5) == best(np.arange(900), vectors, at, vectors[at], 5)
+
+
 def test_large_components_are_scored_exactly():
     rng = np.random.default_rng(3)
     for size in (1 << 12, 1 << 20, 1 << 27):

@@ -37,6 +37,8 @@ LEVELS = 64  # a level fits a signed byte
 BLOCK, QUERIES = 8192, 2048
 # Search ends once so few vectors can still be in the answer; they are scored exactly.
 FEW = 64
+# Postings that make up more than one in so many vectors are added up in the vectors' order.
+SCATTERED = 6
 # Where the bounds are looked at: shares of all segments.
 LOOKS = (0.25, 0.5, 0.7, 0.85, 1.0)
 
@@ -57,7 +59,8 @@ class ImpactIndex:
             count = np.stack([np.bincount(x, minlength=LEVELS + 1) for x in level.T])
             reached = np.cumsum(count[:, ::-1], axis=1)[:, ::-1]
             sorted_level = np.take_along_axis(level, order, axis=0).astype(np.float64)
-            self.sides.append((level, np.ascontiguousarray(order.T), np.ascontiguousarray(sorted_level.T), reached))
+            by_dim = (np.ascontiguousarray(x.T) for x in (level.astype(np.intp), order, sorted_level))
+            self.sides.append((level, *by_dim, reached))
 
     def search(self, query_id: int, query: np.ndarray, k: int) -> list[tuple[int, int]]:
         """(score, id) of the k best, best first, ties to the smaller id; not the query's own."""
@@ -70,20 +73,25 @@ class ImpactIndex:
         ranked = np.sort(worth, axis=None)[::-1]
         slack = 8 * (len(dims) + LEVELS) * np.finfo(np.float64).eps
         score = np.zeros(len(self.ids))
-        others = self.ids != query_id
-        levels = np.where(query < 0, self.sides[1][0], self.sides[0][0])[:, dims]
-        possible = np.flatnonzero(others)
+        possible = np.flatnonzero(self.ids != query_id)
         # Levels from ``top`` on are processed.
         top = np.full(len(dims), LEVELS)
+        rounding = size * (self.step[dims] - 1)
         for share in LOOKS if len(dims) else ():
             least = ranked[min(int(share * len(ranked)), len(ranked) - 1)] if share < 1 else 0.0
-            for i, d in enumerate(dims):
-                new = min(top[i], int(np.ceil(least / unit[i])))
-                _, order, sorted_level, reached = side[i]
-                a, b = reached[d, top[i]] if top[i] < LEVELS else 0, reached[d, new] if new < LEVELS else 0
-                if b > a:
+            following = np.minimum(top, np.ceil(least / unit)).astype(np.int64)
+            for i in np.flatnonzero(following < top).tolist():
+                d, new, old = dims[i], following[i], top[i]
+                _, by_dim, order, sorted_level, reached = side[i]
+                a, b = reached[d, old] if old < LEVELS else 0, reached[d, new]
+                if SCATTERED * (b - a) > len(score):
+                    # Segments of many vectors: what each level adds, in the order of vectors.
+                    adds = np.zeros(LEVELS)
+                    adds[new:old] = worth[new:old, i]
+                    score += adds.take(by_dim[d])
+                elif b > a:
                     score[order[d, a:b]] += sorted_level[d, a:b] * unit[i]
-                top[i] = new
+            top = following
             if len(possible) <= k:
                 break
             lower = score[possible]
@@ -91,11 +99,17 @@ class ImpactIndex:
             # A vector met in a dimension lacks the rounding there; one not met has a level
             # below top, so an impact of less than top * step. Sums are off by less than
             # their size times ``slack``.
-            rounding, below = size * (self.step[dims] - 1), np.maximum(unit * top - size, 0)
-            unmet = (levels[possible] < top.astype(np.int8)).astype(np.float64)
-            rest = unmet @ (below - rounding) + rounding.sum()
+            below = np.maximum(unit * top - size, 0)
             margin = 1 + slack * (ranked[0] * len(dims) + np.abs(below - rounding).sum() + rounding.sum())
-            possible = possible[lower + rest + margin >= kth]
+            # First with the larger of both for all dimensions; where that leaves few enough
+            # to look at them one by one, with what each has met.
+            near = lower + np.maximum(below, rounding).sum() + margin >= kth
+            possible, lower = possible[near], lower[near]
+            if max(FEW, k) < len(possible) <= len(score) // 2 and top.any():
+                levels = [s[0][np.ix_(possible, dims)] for s in self.sides]
+                unmet = np.where(query[dims] < 0, levels[1], levels[0]) < top.astype(np.int8)
+                rest = unmet.astype(np.float64) @ (below - rounding) + rounding.sum()
+                possible = possible[lower + rest + margin >= kth]
             if len(possible) <= max(FEW, k):
                 break
         exact = self.vectors[possible] @ query
