@@ -275,3 +275,18 @@ def test_clean_up_removes_intermediate_folders_and_tables(spark):
     assert common.clean_up(spark) >= 4
     assert {p.name for p in folder.iterdir()} == before and spark.sql("SHOW TABLES").count() == tables
     assert common.clean_up(spark) == 0
+
+
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_words_of_a_text_are_looked_at_together(encoders, path, monkeypatch):
+    """One look finds that all words are plain; a text with others takes them word by word."""
+    own, looks = Encoder(path), []
+    real = Encoder.is_plain
+    monkeypatch.setattr(Encoder, "is_plain", lambda self, text: looks.append(text) or real(self, text))
+    plain = " ".join(f"wörd{i}, it's-{i}\n{i}" for i in range(50))
+    odd = plain + " <|endoftext|>x 你好 e\u0301" + "".join(f" new{i}" for i in range(9))
+    for text in (plain, odd):
+        got = np.frombuffer(own.encode(text), "<u4").tolist()
+        assert got == own.library.encode(text, add_special_tokens=False).ids
+        if text is plain:
+            assert len(looks) <= 2

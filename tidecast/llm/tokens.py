@@ -120,10 +120,11 @@ class Encoder:
         if len(self.parts) > PARTS:
             self.parts.clear()
         new = list(set(parts).difference(self.parts))
-        ids, ends = [], []
-        for part in new:
-            mapped = part.encode().decode("latin-1").translate(TO_CHARACTERS)
-            ids += [t.id for t in self.model.tokenize(mapped)]
+        # All are mapped to the vocabulary's characters at once; no plain text holds a null.
+        mapped = "\0".join(new).encode().decode("latin-1").translate(TO_CHARACTERS)
+        tokenize, ids, ends = self.model.tokenize, [], []
+        for part in mapped.split(TO_CHARACTERS[0]) if new else ():
+            ids += [t.id for t in tokenize(part)]
             ends.append(4 * len(ids))
         raw = np.array(ids, "<u4").tobytes()
         self.parts.update((p, raw[a:b]) for p, a, b in zip(new, [0, *ends], ends, strict=False))
@@ -134,21 +135,27 @@ class Encoder:
             joined = joined.lower()
         split = self.pattern.findall(joined)
         self.learn_parts(split if self.blanks else filter(" ".__ne__, split))
-        at, ids = -1, [[] for _ in words]
-        for part in split:
-            if part[0] == mark:
-                at += 1
-                if not self.blanks:
-                    continue
-            ids[at].append(self.parts[part])
-        cache.new.update(zip(words, map(b"".join, ids), strict=True))
+        if not self.blanks:
+            self.parts[" "] = b""
+        raw = list(map(self.parts.__getitem__, split))
+        begin = [i for i, part in enumerate(split) if part[0] == mark]
+        ends = [*begin[1:], len(split)]
+        cache.new.update((w, b"".join(raw[a:b])) for w, a, b in zip(words, begin, ends, strict=True))
+
+    def is_plain(self, text: str) -> bool:
+        """Nothing in it needs Unicode tables or may be a special string."""
+        return bool(PLAIN.fullmatch(text)) and not any(s in text for s in self.special)
 
     def fill(self, cache: WordCache, words: Iterable[str], lead: str) -> None:
         plain, lines, odd = [], [], []
         after_blank = lead == " " or not self.blanks
-        for word in cache.missing(words):
-            simple = word and " " not in word and PLAIN.fullmatch(word)
-            if not simple or any(s in word for s in self.special):
+        absent = list(cache.missing(words))
+        joined = " ".join(absent)
+        # Most often one look at all of them will do.
+        if after_blank and joined.count(" ") == len(absent) - 1 and "" not in absent and self.is_plain(joined):
+            plain, absent = absent, []
+        for word in absent:
+            if not word or " " in word or not self.is_plain(word):
                 odd.append(word)
             elif after_blank:
                 plain.append(word)
@@ -172,22 +179,22 @@ class Encoder:
     def has_runs(self, text: str) -> bool:
         return any(run in text for run in self.runs)
 
+    def ids_of(self, cache: WordCache, words: list[str], lead: str) -> bytes:
+        found = list(map(cache.new.get, words))
+        if None in found:
+            self.fill(cache, [w for w, raw in zip(words, found, strict=True) if raw is None], lead)
+            new = cache.new
+            found = [new[w] if raw is None else raw for w, raw in zip(words, found, strict=True)]
+        return b"".join(found)
+
     def encode(self, text: str) -> bytes:
         """The ids of one text, with the end id."""
         if self.blanks and self.has_runs(text):
-            words = self.cuts.findall(text)
-            self.fill(self.first, words, "")
-            return b"".join(map(self.first.new.__getitem__, words)) + self.end
-        first, *words = text.split(" ")
-        if self.blanks:
-            self.fill(self.first, (first,), "")
-            head = self.first.new[first]
-        else:
-            words.append(first)
-            self.fill(self.later, words, "")
-            head = self.later.new[words.pop()]
-        self.fill(self.later, words, " " if self.blanks else "")
-        return head + b"".join(map(self.later.new.__getitem__, words)) + self.end
+            return self.ids_of(self.first, self.cuts.findall(text), "") + self.end
+        words = text.split(" ")
+        if not self.blanks:
+            return self.ids_of(self.later, words, "") + self.end
+        return self.ids_of(self.first, words[:1], "") + self.ids_of(self.later, words[1:], " ") + self.end
 
 
 _encoders: dict[tuple, Encoder] = {}
