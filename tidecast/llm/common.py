@@ -87,15 +87,17 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[begin[0] : begin[-1]], begin - begin[0]
 
 
-def chunks(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
-    """Slices of the batches with about CHUNK_BYTES of text each; one long text is one slice."""
+def chunks(
+    batches: Iterator[pa.RecordBatch], text: str, size: int = CHUNK_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches with about ``size`` bytes of text each; one long text is one slice."""
     for batch in batches:
         if not batch.num_rows:
             continue
         _, begin = text_bytes(batch.column(text))
         low = 0
         while low < batch.num_rows:
-            high = int(np.searchsorted(begin, begin[low] + CHUNK_BYTES, "right")) - 1
+            high = int(np.searchsorted(begin, begin[low] + size, "right")) - 1
             high = min(max(high, low + 1), batch.num_rows)
             yield batch.slice(low, high - low)
             low = high
@@ -131,7 +133,7 @@ _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 def _power_tables(n: int) -> list[np.ndarray]:
     if len(_powers[0]) < n:
         for i, base in enumerate((_BASE, _BASE_BACK)):
-            steps = np.full(max(n, 2 * CHUNK_BYTES), base, np.uint64)
+            steps = np.full(max(n + n // 4, 1 << 16), base, np.uint64)
             steps[0] = 1
             _powers[i] = np.multiply.accumulate(steps)
     return _powers

@@ -47,6 +47,8 @@ SHORT_BITS = 1024
 # Documents that one comparison step holds against each other, and sets a task remembers.
 BLOCK = 512
 REMEMBERED = 200_000
+# Text bytes that one step hashes: each byte takes many in between.
+STEP_BYTES = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -186,7 +188,7 @@ def profiles(docs: DataFrame, similarity: Similarity) -> DataFrame:
     """Size, identity (128 bits) and short sketch of every document's set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, "text"):
+        for batch in chunks(batches, "text", STEP_BYTES):
             sets = shingle_sets(batch.column("text"), similarity.words)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -208,7 +210,7 @@ def keys_of_sets(docs: DataFrame, similarity: Similarity) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
-        for batch in chunks(batches, "text"):
+        for batch in chunks(batches, "text", STEP_BYTES):
             sets = shingle_sets(batch.column("text"), similarity.words)
             low, high = set_names(sets)
             keys = []
@@ -256,7 +258,7 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: Similarity) -> Data
         return [sets[i] for i in distinct.indices.to_pylist()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, "text_a"):
+        for batch in chunks(batches, "text_a", STEP_BYTES):
             first, second = sets_of(batch.column("text_a")), sets_of(batch.column("text_b"))
             shared = np.array(
                 [len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(first, second, strict=True)],
