@@ -141,6 +141,42 @@ def test_every_link_is_counted_also_inside_components(spark, monkeypatch, block)
     assert {want[0][0], want[11][0]} == {10, 8}
 
 
+def test_links_of_a_large_group_do_not_become_rows(spark, monkeypatch):
+    """Of 300 near copies most pairs are linked; what tasks hand on grows with the copies."""
+    from tidecast.llm import jaccard_join as module
+
+    made = []
+    staged = module.staged
+
+    def counted(df, name):
+        out = staged(df, name)
+        made.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(module, "staged", counted)
+    similarity = Similarity(4, Fraction(85, 100))
+    rnd = random.Random(5)
+    base = [f"w{i}" for i in range(400)]
+    docs = []
+    for i in range(300):
+        words = list(base)
+        for k in range(i % 5 + 1):
+            words[rnd.randrange(len(words))] = f"own{i}.{k}"
+        docs.append((i, " ".join(words)))
+    sets = {i: shingles(t, 4) for i, t in docs}
+    linked = dict.fromkeys(sets, 0)
+    for a, b in itertools.combinations(sets, 2):
+        if similarity.linked(len(sets[a] & sets[b]), len(sets[a]) + len(sets[b])):
+            linked[a] += 1
+            linked[b] += 1
+    table = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    got = {r.doc_id: (r.n_links, r.component_id) for r in near_duplicates(table, similarity).collect()}
+    assert got == {i: (n, 0) for i, n in linked.items()}
+    assert sum(linked.values()) / 2 > 25_000
+    # Keys that several sets have are as many as a set has, whatever the group.
+    assert max(n for name, n in made if name != "shared-keys") < 6_000
+
+
 def test_near_duplicates_of_nothing_and_without_ids(spark):
     similarity = Similarity(4, Fraction(85, 100))
     assert near_duplicates(empty_table(spark), similarity).count() == 0

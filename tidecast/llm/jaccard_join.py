@@ -15,9 +15,11 @@ a property of the value itself, so both documents decide alike. A document sends
 its own band and to the one below, if a partner could lie there.
 
 Keys are those of sets, so copies add none. Sets that share a key are candidates, every two of
-them, in blocks of bounded size; keys with the same sets are looked at once. A short sketch
-rejects most pairs, and each that passes is verified on the exact sets of shingle hashes. So all
-links between different sets are found; copies are counted with their set, not listed in pairs.
+them, in blocks of bounded size; keys with the same sets are looked at once, and two sets with
+several keys in common meet in the first of them. A short sketch rejects most pairs, and each that
+passes is verified on the exact sets of shingle hashes. So all links between different sets are
+found. Neither they nor copies become rows: a group of sets is verified in one task, which gives
+each set's number of links and the smallest set it reaches.
 """
 
 from __future__ import annotations
@@ -44,9 +46,11 @@ PARTS = 6
 FEW, FEW_BOTH = 1, 2
 # Least bits of a short sketch.
 SHORT_BITS = 1024
-# Documents that one comparison step holds against each other, and sets a task remembers.
+# Sets that one comparison step holds against each other, and sets a task remembers.
 BLOCK = 512
 REMEMBERED = 200_000
+# Sets, and shingles, of either side of a job that verifies links.
+PART_SETS, PART_SHINGLES = 128, 1 << 20
 # Text bytes that one step hashes: each byte takes many in between.
 STEP_BYTES = 1 << 18
 
@@ -242,60 +246,98 @@ def sharing_a_key(keys: DataFrame) -> DataFrame:
     )
 
 
-VERIFIED = "a long, b long, shared long"
-
-
-def verified(pairs: DataFrame, texts: DataFrame, similarity: Similarity) -> DataFrame:
-    """The pairs (a, b) that are linked, by the exact sets of both texts."""
-    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    with_texts = pairs.select("a", "b").join(left, "a").join(right, "b")
-
-    def sets_of(texts: pa.Array) -> list[np.ndarray]:
-        # A text may stand in many pairs.
-        distinct = texts.dictionary_encode()
-        sets = shingle_sets(distinct.dictionary, similarity.words)
-        return [sets[i] for i in distinct.indices.to_pylist()]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, "text_a", STEP_BYTES):
-            first, second = sets_of(batch.column("text_a")), sets_of(batch.column("text_b"))
-            shared = np.array(
-                [len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(first, second, strict=True)],
-                np.int64,
-            )
-            sizes = np.array([len(x) + len(y) for x, y in zip(first, second, strict=True)], np.int64)
-            good = pa.array(similarity.linked(shared, sizes))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("a").filter(good), batch.column("b").filter(good), pa.array(shared).filter(good)],
-                names=["a", "b", "shared"],
-            )
-
-    return with_texts.select("a", "b", "text_a", "text_b").mapInArrow(run, VERIFIED)
-
-
-def texts_of_sets(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(doc_id, text) of the documents in pairs (a, b), once each."""
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    wanted = nodes.select("doc_id", "text_hash").join(ids, "doc_id", "left_semi")
-    found = docs.join(wanted, ["doc_id", "text_hash"], "left_semi")
-    return found.groupBy("doc_id").agg(F.first("text").alias("text"))
-
-
 def possible(n_a, n_b, apart, similarity: Similarity) -> np.ndarray:
     t = similarity.at_least
     low, high = np.minimum(n_a, n_b), np.maximum(n_a, n_b)
     return (apart <= similarity.most_apart(n_a + n_b)) & (t.denominator * low >= t.numerator * high)
 
 
-def within_cells(groups: DataFrame, similarity: Similarity) -> DataFrame:
-    """Possible links (a, b) between the sets of each (key, cell).
+def keyed_sets(shared: DataFrame) -> DataFrame:
+    """(set_low, keys): the keys of each set with the number of sets that have them, those of
+    most sets first. Of keys with the same sets only one counts."""
+    once = (
+        shared.groupBy("key")
+        .agg(
+            F.count("*").alias("n"),
+            F.bit_xor(F.xxhash64("set_low")).alias("who"),
+            F.bit_xor(F.xxhash64("set_low", F.lit(1))).alias("who_too"),
+        )
+        .groupBy("n", "who", "who_too")
+        .agg(F.min("key").alias("key"))
+        .select("key", (-F.col("n")).alias("less"))
+    )
+    keys = F.sort_array(F.collect_list(F.struct("less", "key")))
+    return shared.join(once, "key").groupBy("set_low").agg(keys.alias("keys"))
+
+
+def in_cells(members: DataFrame) -> DataFrame:
+    """Splits each key's sets into cells of about BLOCK and pairs the cells.
 
-    ``groups``: key, cell_a, cell_b, side, set_id, n_shingles, sketch. Rows come as a sorted
-    stream; a cell's rows are bounded by twice BLOCK or so.
+    A set goes to as many cell pairs as its key has cells, one pair for most. ``earlier`` are
+    the set's keys before this one.
     """
+    listed = members.select("*", F.posexplode("keys").alias("at", "own"))
+    split = listed.select(
+        F.col("own.key").alias("key"),
+        F.ceil(-F.col("own.less") / BLOCK).cast("int").alias("cells"),
+        F.slice("keys.key", F.lit(1), F.col("at")).alias("earlier"),
+        "set_id", "n_shingles", "copies", "sketch",
+    )
+    own = split.withColumn("cell", F.pmod(F.xxhash64("set_id"), F.col("cells")).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.col("cells") - 1))
+    return own.withColumn("other", every).select(
+        "key",
+        F.least("cell", "other").alias("cell_a"),
+        F.greatest("cell", "other").alias("cell_b"),
+        (F.col("cell") > F.col("other")).cast("int").alias("side"),
+        "set_id", "n_shingles", "copies", "sketch", "earlier",
+    )
 
-    def compare(rows: list[dict]) -> Iterator[tuple[int, int]]:
+
+def runs(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[list[dict]]:
+    """The rows of each run of equal ``names`` of a sorted stream. A column ``earlier`` stays an array."""
+    held: list[dict] = []
+    name = None
+    for batch in batches:
+        arrays = {c: batch.column(c) for c in batch.schema.names if c == "earlier"}
+        rows = batch.select([c for c in batch.schema.names if c not in arrays]).to_pylist()
+        for c, array in arrays.items():
+            ends, values = array.offsets.to_numpy(), array.values.to_numpy()
+            for row, low, high in zip(rows, ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+                row[c] = values[low:high]
+        for row in rows:
+            own = tuple(row[c] for c in names)
+            if own != name:
+                if held:
+                    yield held
+                held, name = [], own
+            held.append(row)
+    if held:
+        yield held
+
+
+CELL = ["key", "cell_a", "cell_b"]
+JOB = [*CELL, "part_a", "part_b"]
+JOBS = (
+    "key long, cell_a int, cell_b int, part_a int, part_b int, set_id long, copies long, partners array<long>"
+)
+
+
+def parts(sizes: np.ndarray) -> np.ndarray:
+    """A number of its part for each set: parts have few sets, and few shingles if sets are large."""
+    by_shingles = (np.cumsum(sizes) - sizes) // PART_SHINGLES
+    return by_shingles + np.arange(len(sizes)) // PART_SETS
+
+
+def possible_links(cells: DataFrame, similarity: Similarity) -> DataFrame:
+    """The possible links between the sets of each cell pair, as jobs of bounded size.
+
+    A job has one row for each of its sets; ``partners`` are those that the set is possibly
+    linked with. Two sets that share several keys are held against each other in the first of
+    them only. Rows come as a sorted stream; those of a cell pair are bounded by twice BLOCK or so.
+    """
+
+    def compare(rows: list[dict]) -> Iterator[tuple]:
         one = [r for r in rows if r["side"] == 0]
         two = [r for r in rows if r["side"] == 1]
         own = rows[0]["cell_a"] == rows[0]["cell_b"]
@@ -307,58 +349,122 @@ def within_cells(groups: DataFrame, similarity: Similarity) -> DataFrame:
         size = min(len(r["sketch"]) for r in rows)
         bits = [np.stack([folded(r["sketch"], size) for r in side]) for side in (one, two)]
         n = [np.array([r["n_shingles"] for r in side]) for side in (one, two)]
+        part = [parts(x).tolist() for x in n]
+        earlier: dict[int, frozenset] = {}
+        jobs: dict[tuple[int, int], dict[int, list[int]]] = {}
+
+        def before(row: dict) -> frozenset:
+            if row["set_id"] not in earlier:
+                earlier[row["set_id"]] = frozenset(row["earlier"].tolist())
+            return earlier[row["set_id"]]
+
         for i, row in enumerate(one):
             after = i + 1 if own else 0
             apart = np.bitwise_count(bits[0][i] ^ bits[1][after:]).sum(axis=1, dtype=np.int64)
             good = possible(n[0][i], n[1][after:], apart, similarity)
-            for j in np.flatnonzero(good).tolist():
-                a, b = row["set_id"], two[after + j]["set_id"]
-                yield (min(a, b), max(a, b))
+            for j in (np.flatnonzero(good) + after).tolist():
+                if before(row).isdisjoint(before(two[j])):
+                    job = jobs.setdefault((part[0][i], part[1][j]), {})
+                    job.setdefault(i, []).append(j)
+        cell = tuple(rows[0][c] for c in CELL)
+        for at, partners in jobs.items():
+            for i, js in partners.items():
+                yield (*cell, *at, one[i]["set_id"], one[i]["copies"], [two[j]["set_id"] for j in js])
+            alone = {j for js in partners.values() for j in js}
+            for j in alone.difference(partners) if own else alone:
+                yield (*cell, *at, two[j]["set_id"], two[j]["copies"], [])
+
+    kinds = [pa.int64(), *[pa.int32()] * 4, pa.int64(), pa.int64(), pa.list_(pa.int64())]
+    names = [*JOB, "set_id", "copies", "partners"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[dict] = []
-        name = None
-        found: set[tuple[int, int]] = set()
+        found: list[tuple] = []
 
         def out() -> pa.RecordBatch:
-            pairs = sorted(found)
+            columns = zip(*found, strict=True) if found else [[]] * len(names)
+            arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
             found.clear()
-            return pa.RecordBatch.from_arrays(
-                [pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], names=["a", "b"]
-            )
+            return pa.RecordBatch.from_arrays(arrays, names=names)
 
-        for batch in batches:
-            for row in batch.to_pylist():
-                cell = (row["key"], row["cell_a"], row["cell_b"])
-                if cell != name:
-                    found.update(compare(held) if held else ())
-                    held, name = [], cell
-                    if len(found) > 100_000:
-                        yield out()
-                held.append(row)
-        found.update(compare(held) if held else ())
+        for rows in runs(batches, CELL):
+            found += compare(rows)
+            if len(found) > 10_000:
+                yield out()
         yield out()
 
-    ordered = groups.repartition("key", "cell_a", "cell_b").sortWithinPartitions("key", "cell_a", "cell_b")
-    return ordered.mapInArrow(run, "a long, b long")
+    return cells.repartition(*CELL).sortWithinPartitions(*CELL).mapInArrow(run, JOBS)
 
 
-def in_cells(members: DataFrame) -> DataFrame:
-    """Splits each key's sets into cells of about BLOCK and pairs the cells.
+def texts_of_sets(docs: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """(set_id, text) of the documents ``set_id``, once each."""
+    ids = sets.select(F.col("set_id").alias("doc_id")).distinct()
+    wanted = nodes.select("doc_id", "text_hash").join(ids, "doc_id", "left_semi")
+    found = docs.join(wanted, ["doc_id", "text_hash"], "left_semi")
+    return found.groupBy(F.col("doc_id").alias("set_id")).agg(F.first("text").alias("text"))
+
+
+COUNTED = "set_id long, least long, n_sets long, n_documents long"
 
-    A set goes to as many cell pairs as its key has cells, one pair for most.
+
+def counted_links(jobs: DataFrame, texts: DataFrame, similarity: Similarity) -> DataFrame:
+    """The links of the sets in each job, found by the exact sets of their texts.
+
+    ``n_sets`` counts a set's links in the job, ``n_documents`` the documents behind them;
+    ``least`` is the smallest set that it reaches by them. A set that links with nothing has no row.
     """
-    sizes = members.groupBy("key").agg(F.count("*").alias("n"))
-    split = members.join(sizes, "key").withColumn("cells", F.ceil(F.col("n") / BLOCK).cast("int"))
-    own = split.withColumn("cell", F.pmod(F.xxhash64("set_id"), F.col("cells")).cast("int"))
-    every = F.explode(F.sequence(F.lit(0), F.col("cells") - 1))
-    return own.withColumn("other", every).select(
-        "key",
-        F.least("cell", "other").alias("cell_a"),
-        F.greatest("cell", "other").alias("cell_b"),
-        (F.col("cell") > F.col("other")).cast("int").alias("side"),
-        "set_id", "n_shingles", "sketch",
-    )
+
+    def count(rows: list[dict]) -> Iterator[tuple[int, int, int, int]]:
+        text = pa.array([r["text"] for r in rows], pa.large_string())
+        one = pa.RecordBatch.from_arrays([text], names=["text"])
+        sets = [s for step in chunks([one], "text", STEP_BYTES) for s in shingle_sets(step.column("text"), similarity.words)]
+        # Hashes as small numbers: a set is marked, and the marks of others are counted.
+        _, small = np.unique(np.concatenate(sets), return_inverse=True)
+        own = np.split(small, np.cumsum([len(s) for s in sets])[:-1])
+        marked = np.zeros(len(small), bool)
+        place = {r["set_id"]: i for i, r in enumerate(rows)}
+        least = list(range(len(rows)))
+        n_sets, n_documents = [0] * len(rows), [0] * len(rows)
+
+        def top(i: int) -> int:
+            while least[i] != i:
+                least[i] = i = least[least[i]]
+            return i
+
+        for i, row in enumerate(rows):
+            if not row["partners"]:
+                continue
+            marked[own[i]] = True
+            for j in map(place.__getitem__, row["partners"]):
+                shared = int(np.count_nonzero(marked[own[j]]))
+                if similarity.linked(shared, len(own[i]) + len(own[j])):
+                    for x, y in ((i, j), (j, i)):
+                        n_sets[x] += 1
+                        n_documents[x] += rows[y]["copies"]
+                    x, y = top(i), top(j)
+                    if rows[x]["set_id"] > rows[y]["set_id"]:
+                        x, y = y, x
+                    least[y] = x
+            marked[own[i]] = False
+        for i, row in enumerate(rows):
+            if n_sets[i]:
+                yield (row["set_id"], rows[top(i)]["set_id"], n_sets[i], n_documents[i])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: list[tuple[int, int, int, int]] = []
+
+        def out() -> pa.RecordBatch:
+            arrays = [pa.array([row[k] for row in found], pa.int64()) for k in range(4)]
+            found.clear()
+            return pa.RecordBatch.from_arrays(arrays, names=["set_id", "least", "n_sets", "n_documents"])
+
+        for rows in runs(batches, JOB):
+            found += count(rows)
+            if len(found) > 10_000:
+                yield out()
+        yield out()
+
+    ordered = jobs.join(texts, "set_id").repartition(*JOB).sortWithinPartitions(*JOB)
+    return ordered.select(*JOB, "set_id", "copies", "partners", "text").mapInArrow(run, COUNTED)
 
 
 def near_duplicates(
@@ -404,34 +510,20 @@ def near_duplicates(
     keyed = keys_of_sets(counting.select("text"), similarity)
     keys = keyed.select(F.explode("keys").alias("key"), "set_low")
     shared = staged(sharing_a_key(keys), "shared-keys")
-    # Keys with the same sets are looked at once.
-    once = (
-        shared.groupBy("key")
-        .agg(
-            F.count("*").alias("n"),
-            F.bit_xor(F.xxhash64("set_low")).alias("who"),
-            F.bit_xor(F.xxhash64("set_low", F.lit(1))).alias("who_too"),
-        )
-        .groupBy("n", "who", "who_too")
-        .agg(F.min("key").alias("key"))
-        .select("key")
-    )
     own_sets = nodes.where("doc_id = set_id")
     # Should two sets share one half of their names, both are looked at.
-    members = shared.join(once, "key", "left_semi").join(
-        own_sets.select("set_low", "set_id", "n_shingles", "sketch"), "set_low"
+    members = keyed_sets(shared).join(
+        own_sets.select("set_low", "set_id", "n_shingles", "copies", "sketch"), "set_low"
     )
     members = staged(members.drop("set_low"), "members")
-    near = staged(within_cells(in_cells(members), similarity).distinct(), "near-pairs")
-    links = staged(verified(near, texts_of_sets(slim, nodes, near), similarity), "links")
+    jobs = staged(possible_links(in_cells(members), similarity), "jobs")
+    counted = staged(counted_links(jobs, texts_of_sets(slim, nodes, jobs), similarity), "links")
+    links = counted.where("set_id <> least").select(F.col("least").alias("a"), F.col("set_id").alias("b"))
     labels = components(links)
 
     sizes = own_sets.select("set_id", "copies")
-    ends = links.select(F.col("a").alias("set_id"), F.col("b").alias("other")).union(links.select("b", "a"))
-    n_links = (
-        ends.join(sizes.select(F.col("set_id").alias("other"), "copies"), "other")
-        .groupBy("set_id")
-        .agg(F.count("*").alias("n_verified_links"), F.sum("copies").alias("n_linked"))
+    n_links = counted.groupBy("set_id").agg(
+        F.sum("n_sets").alias("n_verified_links"), F.sum("n_documents").alias("n_linked")
     )
     # A further key, as above: a set may be that of very many documents.
     of_sets = sizes.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left").join(
