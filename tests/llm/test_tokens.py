@@ -290,3 +290,26 @@ def test_words_of_a_text_are_looked_at_together(encoders, path, monkeypatch):
         assert got == own.library.encode(text, add_special_tokens=False).ids
         if text is plain:
             assert len(looks) <= 2
+
+
+def test_pieces_are_numbered_with_one_sort_and_no_join(spark):
+    """Many pieces of few lengths, in more batches than one, each placed once and without gaps."""
+    rows = [(i % 700, i // 700, 0, 1 + i % 3, i) for i in range(2100)] * 2
+    pieces = spark.createDataFrame(rows, "doc_id long, piece int, start long, length int, ids_crc32 long")
+    packed = pack(pieces.repartition(7), Capacity(8))
+    plan_text = packed._jdf.queryExecution().sparkPlan().toString()
+    assert "Join" not in plan_text and "Window" not in plan_text and plan_text.count("Sort ") == 1
+    kept = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        found = packed.collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", kept)
+    assert sorted((r.doc_id, r.piece, r.length, r.ids_crc32) for r in found) == sorted((a, b, n, c) for a, b, _, n, c in rows)
+    held = {}
+    for r in found:
+        held.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for places in held.values():
+        ends = [0, *itertools.accumulate(n for _, n in sorted(places))]
+        assert [at for at, _ in sorted(places)] == ends[:-1] and ends[-1] <= 8
+    assert len(held) == -(-sum(r[3] for r in rows) // 8)

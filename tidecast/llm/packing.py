@@ -24,7 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidecast.llm.common import chunks, prepare, staged, texts_of
@@ -37,6 +37,9 @@ PLACED = (
 )
 # Numbers of pieces of one length stay below this.
 LENGTH_STEP = 1 << 48
+# Pieces of a length are numbered in so many shares, in this order within each.
+ORDER = ["doc_id", "piece", "ids_crc32"]
+SHARES = 256
 
 
 @dataclass(frozen=True)
@@ -168,44 +171,54 @@ def plan(counts: dict[int, int], capacity: Capacity) -> list[tuple[int, int, int
     return rules
 
 
-def numbered_within_length(pieces: DataFrame) -> DataFrame:
-    """Adds ``number``, 0, 1, ... within each length, without bringing a length together.
-
-    Rows are numbered within (length, share), a share being one of 256 by hash; the shares'
-    sizes, at most 256 per length, are summed before them. The input must be staged.
-    """
-    order = ["doc_id", "piece", "ids_crc32"]
-    shared = pieces.withColumn("share", F.pmod(F.xxhash64(*order), F.lit(256)))
-    sizes = shared.groupBy("length", "share").agg(F.count("*").alias("n"))
-    before = Window.partitionBy("length").orderBy("share").rowsBetween(Window.unboundedPreceding, -1)
-    bases = sizes.select("length", "share", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    within = F.row_number().over(Window.partitionBy("length", "share").orderBy(*order))
-    return (
-        shared.withColumn("own", within - 1)
-        .join(bases, ["length", "share"])
-        .withColumn("number", F.col("own") + F.col("base"))
-        .drop("own", "base", "share")
-    )
+def with_share(pieces: DataFrame) -> DataFrame:
+    """Adds ``share``, one of SHARES by hash: pieces are numbered by length, share and ORDER."""
+    return pieces.withColumn("share", F.pmod(F.xxhash64(*ORDER), F.lit(SHARES)).cast("int"))
 
 
 def pack(pieces: DataFrame, capacity: Capacity) -> DataFrame:
     """Adds sequence_id and offset to the pieces (doc_id, piece, start, length, ids_crc32).
 
     Every piece is placed once; an empty table stays empty. Pieces that tie go by document id,
-    so the result is the same each time.
+    so the result is the same each time. No length comes together in one task: a task numbers
+    the pieces of its lengths and shares, from the number that each of these begins at.
     """
-    pieces = staged(pieces, "pieces")
-    # One row per length: at most as many as a sequence has tokens.
-    counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    rules = np.array(sorted(plan(counts, capacity)), np.int64).reshape(-1, 5)
+    pieces = with_share(staged(pieces, "pieces"))
+    # One row per length and share: at most SHARES times as many as a sequence has tokens.
+    sizes = pieces.groupBy("length", "share").agg(F.count("*").alias("n")).toArrow()
+    length, share, n = (sizes.column(c).to_numpy().astype(np.int64) for c in ("length", "share", "n"))
+    cell = length * SHARES + share
+    by_cell = np.argsort(cell)
+    cell, length, n = cell[by_cell], length[by_cell], n[by_cell]
+    lengths, edge = np.unique(length, return_index=True)
+    before = np.cumsum(n) - n
+    before -= np.repeat(before[edge], np.diff([*edge, len(n)]))
+    counts = np.add.reduceat(n, edge) if len(n) else n
+    rules = np.array(sorted(plan(dict(zip(lengths.tolist(), counts.tolist(), strict=True)), capacity)), np.int64)
+    rules = rules.reshape(-1, 5)
     # Rules of a length cover its numbers without a gap, so the last one that begins at or
     # before a piece's number is the piece's.
     begins = rules[:, 0] * LENGTH_STEP + rules[:, 1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, passed = -1, 0
         for batch in batches:
-            number = batch.column("number").to_numpy(zero_copy_only=False)
-            length = batch.column("length").to_numpy(zero_copy_only=False).astype(np.int64)
+            if not batch.num_rows:
+                continue
+            length, share = (
+                batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("length", "share")
+            )
+            own = length * SHARES + share
+            edge = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+            many = np.diff([*edge, len(own)])
+            number = np.arange(len(own)) - np.repeat(edge, many)
+            # The first pieces may go on where the batch before ended.
+            if own[0] != last:
+                passed = 0
+            number[: many[0]] += passed
+            passed = int(number[-1]) + 1
+            last = own[-1]
+            number += before[np.searchsorted(cell, own)]
             rule = rules[np.searchsorted(begins, length * LENGTH_STEP + number, "right") - 1]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -218,4 +231,5 @@ def pack(pieces: DataFrame, capacity: Capacity) -> DataFrame:
                 names=[part.split()[0] for part in PLACED.split(", ")],
             )
 
-    return numbered_within_length(pieces).mapInArrow(run, PLACED)
+    ordered = pieces.repartition("length", "share").sortWithinPartitions("length", "share", *ORDER)
+    return ordered.mapInArrow(run, PLACED)
