@@ -292,6 +292,18 @@ def test_words_of_a_text_are_looked_at_together(encoders, path, monkeypatch):
             assert len(looks) <= 2
 
 
+def test_tasks_without_an_encoder_let_go_of_it():
+    from tidecast.llm import tokens
+    from tidecast.llm.toxicity import count_terms
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokens.encoder(path).encode("a text")
+    assert tokens._encoders
+    list(count_terms(iter([])))
+    assert not tokens._encoders
+    assert tokens.encoder(path).encode("a text")
+
+
 def test_pieces_are_numbered_with_one_sort_and_no_join(spark):
     """Many pieces of few lengths, in more batches than one, each placed once and without gaps."""
     rows = [(i % 700, i // 700, 0, 1 + i % 3, i) for i in range(2100)] * 2

@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidecast.llm.common import chunks, prepare, texts_of
+from tidecast.llm.common import chunks, kept_in_worker, prepare, texts_of
 from tidecast.llm.tokens import TO_CHARACTERS, encoder
 from tidecast.session import ship_package
 
@@ -116,7 +116,7 @@ class ChatCoder:
             yield unescape(self.decode(ids[low:high]))
 
 
-_coders: dict[str, ChatCoder] = {}
+_coders: dict[str, ChatCoder] = kept_in_worker()
 
 
 def chat_coder(path: str) -> ChatCoder:

@@ -70,6 +70,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# What operators keep in a worker from task to task, above all encoders with their caches.
+_kept: list[dict] = []
+
+
+def kept_in_worker() -> dict:
+    """For what an operator makes once per worker; see ``let_go``."""
+    _kept.append({})
+    return _kept[-1]
+
+
+def let_go() -> None:
+    """Drop what other operators keep in this worker: it lives on into tasks that need none of it."""
+    for held in _kept:
+        held.clear()
+
+
 def texts_of(column: pa.Array) -> list[str]:
     """The texts of a column; null is empty."""
     return [text or "" for text in column.to_pylist()]

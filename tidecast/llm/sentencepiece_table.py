@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidecast.llm.common import chunks, prepare, texts_of
+from tidecast.llm.common import chunks, kept_in_worker, prepare, texts_of
 from tidecast.llm.prefix_table import PrefixTable
 from tidecast.llm.tokens import BLANKS, WordCache
 from tidecast.session import ship_package
@@ -207,7 +207,7 @@ def decoded(run: bytes) -> Iterator[str]:
             run = run[1:]
 
 
-_coders: dict[str, PieceCoder] = {}
+_coders: dict[str, PieceCoder] = kept_in_worker()
 
 
 def coder(path: str) -> PieceCoder:

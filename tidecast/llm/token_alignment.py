@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidecast.llm.common import chunks, prepare, staged, texts_of
+from tidecast.llm.common import chunks, kept_in_worker, prepare, staged, texts_of
 from tidecast.llm.sentencepiece_table import BLANK, sha256
 from tidecast.llm.tokens import TO_CHARACTERS, Encoder, WordCache
 from tidecast.session import ship_package
@@ -227,7 +227,7 @@ class Aligner:
         return self.texts([text])[0]
 
 
-_aligners: dict[tuple[str, str], Aligner] = {}
+_aligners: dict[tuple[str, str], Aligner] = kept_in_worker()
 
 
 def aligner(path_a: str, path_b: str) -> Aligner:

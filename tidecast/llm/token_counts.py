@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidecast.llm.common import chunks, prepare, texts_of
+from tidecast.llm.common import chunks, kept_in_worker, prepare, texts_of
 from tidecast.llm.prefix_table import PrefixTable
 from tidecast.llm.tokens import PLAIN, TO_CHARACTERS, Encoder, WordCache
 from tidecast.session import ship_package
@@ -151,7 +151,7 @@ class TokenCounter(Encoder):
         return sums[-1], best
 
 
-_counters: dict[str, TokenCounter] = {}
+_counters: dict[str, TokenCounter] = kept_in_worker()
 
 
 def counter(path: str) -> TokenCounter:

@@ -18,6 +18,8 @@ from collections.abc import Iterable
 import numpy as np
 import regex
 
+from tidecast.llm.common import kept_in_worker
+
 # The split patterns of the two tokenizer files.
 BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -197,7 +199,7 @@ class Encoder:
         return self.ids_of(self.first, words[:1], "") + self.ids_of(self.later, words[1:], " ") + self.end
 
 
-_encoders: dict[tuple, Encoder] = {}
+_encoders: dict[tuple, Encoder] = kept_in_worker()
 
 
 def encoder(path: str, end_id: int | None = None, special_is_text: bool = False) -> Encoder:

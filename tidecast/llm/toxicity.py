@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidecast.llm.common import NO_LETTER, chunks, prepare, span_hashes, staged, word_spans
+from tidecast.llm.common import NO_LETTER, chunks, let_go, prepare, span_hashes, staged, word_spans
 from tidecast.session import ship_package
 
 SAMPLE_ROWS = 20_000
@@ -294,6 +294,7 @@ def fit_toxicity(
     sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(chosen, "doc_id")
 
     def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in chunks(batches, "text"):
             doc, bucket = term_buckets(batch.column("text"))
             cuts = np.searchsorted(doc, np.arange(1, batch.num_rows))
@@ -319,6 +320,7 @@ def fit_toxicity(
     learned = np.union1d(survey.telling, paired_terms(made, survey)).astype(np.int64)
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         labels_, docs_ = [], []
         for batch in batches:
             labels_ += batch.column("toxic").to_pylist()
@@ -337,6 +339,7 @@ def toxic_flag() -> F.Column:
 
 def count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents, and toxic ones, that hold each term: a row per bucket and task at most."""
+    let_go()
     found, bad = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
     for batch in batches:
         for toxic, own in zip(batch.column("toxic").to_pylist(), batch.column("terms"), strict=True):
@@ -408,6 +411,7 @@ def paired_terms(made: DataFrame, survey: Survey) -> np.ndarray:
             terms = telling_pairs(survey, *kinds, cuts[part], cuts[part + 1])
             return pa.RecordBatch.from_arrays([pa.array(terms, pa.int32())], names=["bucket"])
 
+        let_go()
         part, docs = None, []
         for batch in batches:
             rows = zip(*(batch.column(c).to_pylist() for c in ("part", "toxic")), batch.column("places"), strict=True)
@@ -437,6 +441,7 @@ def score_toxicity(docs: DataFrame, model: bytes | None, columns: list[str]) ->
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in slim.select(columns).schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         own = FactorizationMachine.unpacked(held.value) if held.value else None
         for batch in chunks(batches, text):
             n = batch.num_rows
