@@ -8,7 +8,8 @@ what would be left ("norm").
 
 What a piece asks for depends on its length alone, and what a sequence has left on the lengths
 in it. So the plan is made on counts: the number of pieces of each length and share (at most
-SHARES times as many rows as the sequence length, however many documents there are) and groups of sequences that
+SHARES times as many rows as the sequence length, however many documents there are) and groups
+of sequences that
 hold the same. Each step places as many pieces of a length as there are sequences in the best
 group. The plan is a list of rules "pieces a..b of length n go to sequences c.. at offset o", whose
 length follows the number of groups, not of documents; tasks apply it to the pieces, numbered
